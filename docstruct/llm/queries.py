@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import bpe, langid, quality, simhash
+from .common import crc_mod, table
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.coalesce(crc_mod(F.col("doc_id"), 5), F.lit(-1))
+    model = langid.train(docs.where(fold != 0))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold == 0).alias("held_out"), "_lang.lang_pred", "_lang.score", "_lang.bits_per_byte")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.coalesce(crc_mod(F.col("doc_id"), 3), F.lit(-1))
+    weights = quality.train(docs, table(spark, sf_dir, "labels").where(fold != 1))
+    found = quality.score(docs, weights)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +31,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-QUERIES = {"op8_simhash": op8_simhash}
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.token_counts(docs, public_tokenizers.path("word_bpe_49k.json"))
+    size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0))
+    return found.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > bpe.LIMIT).alias("over_limit"))
+
+
+QUERIES = {"op2_language": op2_language, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
 SQL: dict[str, str] = {}
