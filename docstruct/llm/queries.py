@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, simhash
+from . import bpe, fingerprint, langid, mixing, quality, simhash
 from .common import crc_mod, table
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.plan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     fold = F.coalesce(crc_mod(F.col("doc_id"), 5), F.lit(-1))
@@ -17,6 +22,25 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "_lang.lang_pred", "_lang.score", "_lang.bits_per_byte")
 
 
+def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = fingerprint.colliding(docs)
+    clashes = None if found.isEmpty() else found
+    rows = fingerprint.beside(docs).withColumn("_edited", fingerprint.edited(F.col("_text"), F.col("_next")))
+    for c in ("_text", "_edited", "_next"):
+        rows = fingerprint.resolve(rows.withColumn(f"_canon{c}", fingerprint.canonical(F.col(c))), clashes, f"_canon{c}", f"_print{c}")
+
+    def like(other: str):
+        same = F.when(F.col("_print_text") == F.col(f"_print{other}"), F.col("_canon_text") == F.col(f"_canon{other}")).otherwise(False)
+        return same.cast("double")
+
+    return rows.select(
+        F.col("_id").alias("doc_id"), F.char_length("_text").cast("long").alias("n_chars"), F.sha2("_edited", 256).alias("edited_sha256"),
+        F.col("_print_text").alias("fingerprint"), F.col("_print_edited").alias("edited_fingerprint"),
+        like("_edited").alias("near_edited"), like("_next").alias("near_next"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.coalesce(crc_mod(F.col("doc_id"), 3), F.lit(-1))
@@ -40,5 +64,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > bpe.LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op2_language": op2_language, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
+QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
 SQL: dict[str, str] = {}
