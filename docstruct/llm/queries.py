@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, langid, mixing, quality, simhash
+from . import bpe, decontaminate, fingerprint, langid, mixing, quality, simhash
 from .common import crc_mod, table
 
 
@@ -49,6 +49,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("_fp")), 16, "0")
@@ -64,5 +68,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > bpe.LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
+QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
 SQL: dict[str, str] = {}
