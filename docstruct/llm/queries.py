@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, langid, mixing, quality, simhash
+from . import bpe, decontaminate, fingerprint, langid, lm, mixing, quality, simhash
 from .common import crc_mod, table
 
 
@@ -22,6 +22,13 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold == 0).alias("held_out"), "_lang.lang_pred", "_lang.score", "_lang.bits_per_byte")
 
 
+def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lm.score(docs, lm.train(docs))
+    mean = F.when(F.col("_lm.n_tokens") > 0, F.col("_lm.log_prob") / F.col("_lm.n_tokens"))
+    return found.select("doc_id", "_lm.n_tokens", "_lm.log_prob", mean.alias("mean_log_prob"))
+
+
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = fingerprint.colliding(docs)
@@ -68,5 +75,5 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > bpe.LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
+QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op3_pseudo_likelihood": op3_pseudo_likelihood, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
 SQL: dict[str, str] = {}
