@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, langid, lm, mixing, quality, simhash
+from . import bpe, decontaminate, fingerprint, langid, licenses, lm, mixing, quality, simhash, warc
 from .common import crc_mod, table
 
 
@@ -48,6 +48,11 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), "page_id")
+    return found.withColumn("block_bytes", F.octet_length("block").cast("long"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.coalesce(crc_mod(F.col("doc_id"), 3), F.lit(-1))
@@ -66,6 +71,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -75,5 +84,16 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > bpe.LIMIT).alias("over_limit"))
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_language": op2_language, "op3_pseudo_likelihood": op3_pseudo_likelihood, "op4_fingerprint": op4_fingerprint, "op6_quality": op6_quality, "op7_decontaminate": op7_decontaminate, "op8_simhash": op8_simhash, "op10_tokens": op10_tokens}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_language": op2_language,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
+    "op4_fingerprint": op4_fingerprint,
+    "op5_warc": op5_warc,
+    "op6_quality": op6_quality,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_simhash": op8_simhash,
+    "op9_licences": op9_licences,
+    "op10_tokens": op10_tokens,
+}
+SQL: dict[str, str] = {"op9_licences": licenses.duckdb_sql()}
