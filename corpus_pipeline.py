@@ -1,10 +1,64 @@
-"""The corpus pipeline: documents in, a mixed training set out. See STAGES."""
+"""The corpus pipeline: from documents to a mix of clean, distinct, uncontaminated ones.
+
+Each stage is a function of (spark, docs, sf_dir); what it returns is written as a table and read back as the next one's
+docs. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docstruct.llm import decontaminate, langid, mixing, quality, simhash
+from docstruct.llm.common import materialize, table
+
+#: Documents that a language model of the corpus finds less likely than this, or that cost more bits per byte, go.
+LANGUAGE_SCORE, LANGUAGE_BITS = 0.3, 7.5
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labels, thinks good. Without labels all stay."""
+    weights = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, weights, out="_score").where("_score >= 0.5").select(*docs.columns)
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that docs name: those without letters, and those that no language explains, go."""
+    found = langid.predict(docs, langid.train(docs), out="_found")
+    fits = (F.col("_found.lang_pred") != langid.UNKNOWN) & (F.col("_found.score") >= LANGUAGE_SCORE) & (F.col("_found.bits_per_byte") <= LANGUAGE_BITS)
+    return found.where(fits).select(*docs.columns)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return simhash.representatives(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.held(docs, table(spark, sf_dir, "benchmark")).where("_held = 0").select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which the mix takes something, with the number of words taken, repeats counted."""
+    found = mixing.plan(docs, carry=True).where("taken > 0")
+    return found.select("row.*", F.col("size").alias("n_words"), F.col("target").alias("source_target"), "taken")
+
+
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("language ID", language_stage),
+    ("SimHash near-dedup", dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing to target weights", mixing_stage),
+]
+
+#: Trained models and hashes aren't within SQL's reach; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -260,15 +260,16 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
 def held(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "_held") -> DataFrame:
     """docs and the number of items that each holds; all else stays as it is."""
-    total = F.lit(0)
-    for _, texts in _blocks(items, item_id, item_text):
+    def counter(texts: list[list[bytes]]):
         sent, key = docs.sparkSession.sparkContext.broadcast(texts), uuid.uuid4().hex
 
-        def count(column: pd.Series, sent=sent, key=key) -> pd.Series:
+        @F.pandas_udf("long")
+        def count(column: pd.Series) -> pd.Series:
             numbers = np.zeros(len(column), np.int64)
             for t, _, _, _ in _index(key, sent).search([words(t) for t in column]):
                 numbers[t] += 1
             return pd.Series(numbers)
 
-        total = total + F.pandas_udf(count, "long")(F.col(text))
-    return docs.withColumn(out, total)
+        return count(F.col(text))
+
+    return docs.withColumn(out, sum((counter(texts) for _, texts in _blocks(items, item_id, item_text)), F.lit(0).cast("long")))

@@ -6,8 +6,8 @@ per shard. In a shard the documents lie on a line in seeded order, cut into bloc
 as it goes into it, and of what is left the blocks that a seeded permutation puts first. Every word of a document is taken
 as often as the blocks over it are.
 
-Only (id, source, size, hash) rows are shuffled, never texts, and no window spans more than a shard's documents or a
-source's shards.
+Only (id, source, size, hash) rows are shuffled, texts at most once and on demand, and no window spans more than a shard's
+documents or a source's shards.
 """
 
 from __future__ import annotations
@@ -78,16 +78,16 @@ def targets(sizes: DataFrame) -> DataFrame:
     return out.withColumn("target", F.coalesce(F.least("_cap", free["_level"] * F.col("weight")), F.col("_cap"))).drop("_level", "_cap")
 
 
-def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """(id, source, size, source_size, target, taken) of every document of the mix.
+def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", carry: bool = False) -> DataFrame:
+    """(id, source, size, source_size, target, taken) of every document of the mix; with carry also a struct row of all columns.
 
     size: words of the text (null: 0). Null is a source of its own. taken: words that the mix takes of the document,
     repeats counted, at most REPEATS times its size; the sum over a source differs from its target by about a block.
     Repeated rows count as documents each. A source without words has target 0. An empty table gives an empty one.
     Reruns agree: order and choice depend on the seed, the ids and the texts only.
     """
-    sized = docs.select(F.col(doc_id).alias("_id"), F.col(source).alias("_source"), words(F.col(text)).alias("_size"), F.xxhash64(F.lit(SEED), doc_id, text).alias("_lot"))
-    sized = materialize(sized)
+    narrow = [F.col(doc_id).alias("_id"), F.col(source).alias("_source"), words(F.col(text)).alias("_size"), F.xxhash64(F.lit(SEED), doc_id, text).alias("_lot")]
+    sized = materialize(docs.select(*narrow))
     sizes = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     every = Window.partitionBy(F.lit(1))
     sources = targets(sizes).withColumn("_total", F.sum("source_size").over(every))
@@ -98,19 +98,24 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     least = F.greatest(F.lit(SHARD), F.floor(F.col("_total") / SHARDS))
     sources = materialize(sources.withColumn("_shards", F.greatest(F.lit(1), F.floor(F.col("source_size") / least)).cast("long")))
 
-    placed = sized.join(maybe_broadcast(sources.select(F.col("_source").alias("_s"), "_shards")), F.col("_source").eqNullSafe(F.col("_s")))
-    placed = placed.withColumn("_shard", F.pmod("_lot", F.col("_shards"))).drop("_s", "_shards")
-    shards = placed.groupBy("_source", "_shard").agg(F.sum("_size").alias("_words"))
+    split = maybe_broadcast(sources.select(F.col("_source").alias("_s"), "_shards"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        joined = rows.join(split, F.col("_source").eqNullSafe(F.col("_s")))
+        return joined.withColumn("_shard", F.pmod("_lot", F.col("_shards"))).drop("_s", "_shards")
+
+    shards = placed(sized).groupBy("_source", "_shard").agg(F.sum("_size").alias("_words"))
     about = sources.select(F.col("_source").alias("_s"), "source_size", "target", "_block", "_quota")
     shards = shards.join(maybe_broadcast(about), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
     shards = shards.withColumn("_most", F.floor(F.col("_words") * REPEATS / F.col("_block")).cast("long"))
     shards = materialize(apportion(shards, ["_source"], [F.col("_shard")], "_words", "_seats", "_quota", "_most").drop("_quota", "_most"))
 
     line = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64("_lot", F.lit(SEED)), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    laid = placed.withColumn("_end", F.sum("_size").over(line)).withColumn("_start", F.col("_end") - F.col("_size"))
+    rows = docs.select(*narrow, F.struct("*").alias("_row")) if carry else sized
+    laid = placed(rows).withColumn("_end", F.sum("_size").over(line)).withColumn("_start", F.col("_end") - F.col("_size"))
     keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_seats")
     laid = laid.join(keys, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
-    return laid.select(F.col("_id").alias(doc_id), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"))
+    return laid.select(F.col("_id").alias(doc_id), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"), *([F.col("_row").alias("row")] if carry else []))
 
 
 def _taken() -> Column:

@@ -144,17 +144,44 @@ def links(distinct: DataFrame) -> DataFrame:
     return placed.mapInArrow(_links, "a long, b long")
 
 
+def _prints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(_id, _hash, _fp) of every row, written down; _hash tells texts apart that share an id."""
+    few = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    return materialize(fingerprints(few, "_text").select("_id", "_hash", "_fp"))
+
+
+def _components(prints: DataFrame) -> DataFrame:
+    """(_fp, first) of every fingerprint: the first row, by id (nulls last) and text, of all that its links lead to."""
+    first = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"))
+    distinct = materialize(prints.groupBy("_fp").agg(F.min(first).alias("_least")))
+    roots = materialize(components(links(distinct))).select(F.col("node").alias("_fp"), "root")
+    named = distinct.join(roots, "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
+    least = named.groupBy("root").agg(F.min("_least").alias("first"))
+    return materialize(named.join(least, "root").select("_fp", "first"))
+
+
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, _fp, component): component is the smallest id of all documents that links lead to, the own included.
 
     Null texts count as empty. Documents without words share fingerprint zero and are linked like any other. Repeated rows
-    come back repeated. Null ids are kept; they never are a component's name unless all its ids are null. Other columns
-    are not read. An empty table gives an empty one.
+    come back repeated. Null ids are kept; they name a component only if all its ids are null. Other columns are not read.
+    An empty table gives an empty one.
     """
-    prints = materialize(fingerprints(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_text").select("_id", "_fp"))
-    distinct = materialize(prints.groupBy("_fp").agg(F.min("_id").alias("_least")))
-    roots = materialize(components(links(distinct))).select(F.col("node").alias("_fp"), "root")
-    named = distinct.join(roots, "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
-    least = named.groupBy("root").agg(F.min("_least").alias("component"))
-    map_ = materialize(named.join(least, "root").select("_fp", "component"))
-    return prints.join(map_, "_fp").select(F.col("_id").alias(doc_id), "_fp", "component")
+    prints = _prints(docs, doc_id, text)
+    return prints.join(_components(prints), "_fp").select(F.col("_id").alias(doc_id), "_fp", F.col("first.id").alias("component"))
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that stay when one of each group does: the one of the smallest id (nulls last).
+
+    Of rows that share id and text one stays as well. Columns stay as they are; the rest is as in groups.
+    """
+    prints = _prints(docs, doc_id, text)
+    placed = prints.join(_components(prints), "_fp")
+    own = F.col("_id").eqNullSafe(F.col("first.id")) & (F.col("_hash") == F.col("first.hash"))
+    gone = materialize(placed.where(~own).select("_id", "_hash").distinct())
+    again = not prints.groupBy("_id", "_hash").count().where("count > 1").join(gone, ["_id", "_hash"], "left_anti").isEmpty()
+    few = maybe_broadcast(gone.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")))
+    marked = docs.withColumn("_text_hash", F.xxhash64(text))
+    kept = marked.join(few, F.col(doc_id).eqNullSafe(F.col("_i")) & (F.col("_text_hash") == F.col("_h")), "left_anti")
+    return (kept.dropDuplicates([doc_id, "_text_hash"]) if again else kept).drop("_text_hash")
