@@ -38,7 +38,7 @@ SEED = 3
 #: Chunks between spaces remembered by a worker; distinct tokens counted before they are passed on.
 MEMORY = 400_000
 #: Tokens scored at a time.
-BLOCK = 1 << 15
+BLOCK = 1 << 14
 
 SIZE = KNOWN + BUCKETS
 _SHAPES = {"e": (2 * SIDE, SIZE + 1, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "wm": (CLASSES, HIDDEN, SIZE // CLASSES), "bm": (CLASSES, SIZE // CLASSES)}
@@ -46,28 +46,24 @@ _SHAPES = {"e": (2 * SIDE, SIZE + 1, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLA
 _TOKENS = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}\s]+").findall
 
 
-def chunk_counts(texts) -> Counter:
-    out: Counter = Counter()
-    for t in texts:
-        if t:
-            out.update(t.lower().split())
-    return out
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(counts: Counter) -> pa.RecordBatch:
         tokens: Counter = Counter()
         for chunk, n in counts.items():
-            for t in _TOKENS(chunk):
-                tokens[t] += n
-        return pa.RecordBatch.from_arrays([pa.array([t.encode("utf-8", "replace").decode() for t in tokens], pa.string()), pa.array(tokens.values(), pa.int64())], names=["token", "n"])
+            if chunk.isalpha():
+                tokens[chunk] += n
+            else:
+                for t in _TOKENS(chunk):
+                    tokens[t] += n
+        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(tokens.values(), pa.int64())], names=["token", "n"])
 
     counts: Counter = Counter()
     for batch in batches:
-        counts += chunk_counts(batch.column(0).to_pylist())
-        if len(counts) > MEMORY:
-            yield rows(counts)
-            counts = Counter()
+        for text in batch.column(0).to_pylist():
+            counts.update((text or "").lower().split())
+            if len(counts) > MEMORY:
+                yield rows(counts)
+                counts = Counter()
     yield rows(counts)
 
 
@@ -83,30 +79,65 @@ def vocabulary(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarr
     return named, counts
 
 
+#: Bits of a token's number, and tokens of a chunk that fit into one word with their count.
+_BITS, _PACKED = SIZE.bit_length(), 4
+
+
+class _Chunks(dict):
+    """Chunk between spaces -> its tokens' numbers in one integer; the lowest bits count them. 0: too many to fit."""
+
+    def __init__(self, number: dict[str, int]):
+        super().__init__()
+        self.number = number
+
+    def tokens(self, chunk: str) -> list[int]:
+        number = self.number
+        return [
+            number[t] if t in number else KNOWN + xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) % BUCKETS for t in _TOKENS(chunk)
+        ]
+
+    def __missing__(self, chunk: str) -> int:
+        if chunk.isalpha():
+            code = self.number.get(chunk)
+            if code is None:
+                code = KNOWN + xxhash.xxh64_intdigest(chunk.encode(), SEED) % BUCKETS
+            code = code << 3 | 1
+            if len(chunk) < 64:
+                self[chunk] = code
+            return code
+        code = 0
+        if len(tokens := self.tokens(chunk)) <= _PACKED:
+            for t in reversed(tokens):
+                code = code << _BITS | t
+            code = code << 3 | len(tokens)
+        if len(chunk) < 64:
+            self[chunk] = code
+        return code
+
+
 class Tokens:
-    """Token numbers of texts; remembers chunks between spaces."""
+    """Token numbers of texts."""
 
     def __init__(self, named: list[str]):
-        self.number = {t: i for i, t in enumerate(named)}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.chunks = _Chunks({t: i for i, t in enumerate(named)})
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        return tuple(
-            self.number[t] if t in self.number else KNOWN + xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) % BUCKETS for t in _TOKENS(chunk)
-        )
-
-    def __call__(self, text: str | None) -> list[int]:
+    def __call__(self, text: str | None) -> np.ndarray:
         if len(self.chunks) > MEMORY:
             self.chunks.clear()
-        out: list[int] = []
-        known = self.chunks
-        for c in (text or "").lower().split():
-            if (n := known.get(c)) is None:
-                n = self.chunk(c)
-                if len(c) < 64:
-                    known[c] = n
-            out += n
-        return out
+        chunks = (text or "").lower().split()
+        codes = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+        counts = codes & 7
+        if len(long := np.flatnonzero(counts == 0)):
+            # rare: such chunks' tokens one by one, between those of the others
+            parts = np.split(np.arange(len(codes)), np.stack([long, long + 1], 1).ravel())
+            return np.concatenate([self._unpack(codes[p]) if i % 2 == 0 else np.array(self.chunks.tokens(chunks[p[0]]), np.int64) for i, p in enumerate(parts)])
+        return self._unpack(codes)
+
+    @staticmethod
+    def _unpack(codes: np.ndarray) -> np.ndarray:
+        counts = codes & 7
+        shifts = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        return np.repeat(codes >> 3, counts) >> (shifts * _BITS) & ((1 << _BITS) - 1)
 
 
 def start(counts: np.ndarray) -> dict[str, np.ndarray]:
@@ -130,8 +161,8 @@ _AROUND = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True))
-    return x / x.sum(1, keepdims=True)
+    x = np.exp(np.minimum(x, 60))
+    return x / (x @ _ONES)[:, None]
 
 
 def _hidden(w: dict, around: np.ndarray) -> np.ndarray:
@@ -150,16 +181,25 @@ def _by_class(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield c, order[cuts[c] : cuts[c + 1]]
 
 
+_ONES = np.ones(CLASSES, np.float32)
+
+
+def _log_sum(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Log of the rows' summed exponentials. Hidden values are within 1, so small weights can't overflow unshifted."""
+    if np.abs(weights).sum(0).max() + np.abs(bias).max() < 60:
+        return np.log(np.exp(x) @ _ONES)
+    most = x.max(1)
+    return most + np.log(np.exp(x - most[:, None]) @ _ONES)
+
+
 def log_probabilities(w: dict, around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of each token's conditional probability."""
     h = _hidden(w, around)
     x = h @ w["wc"] + w["bc"]
-    x -= x.max(1, keepdims=True)
-    out = x[np.arange(len(tokens)), tokens // (SIZE // CLASSES)] - np.log(np.exp(x).sum(1))
+    out = x[np.arange(len(tokens)), tokens // (SIZE // CLASSES)] - _log_sum(x, w["wc"], w["bc"])
     for c, rows in _by_class(tokens):
         y = h[rows] @ w["wm"][c] + w["bm"][c]
-        y -= y.max(1, keepdims=True)
-        out[rows] += y[np.arange(len(rows)), tokens[rows] % (SIZE // CLASSES)] - np.log(np.exp(y).sum(1))
+        out[rows] += y[np.arange(len(rows)), tokens[rows] % (SIZE // CLASSES)] - _log_sum(y, w["wm"][c], w["bm"][c])
     return out.astype(np.float64)
 
 
@@ -205,17 +245,17 @@ class Trainer:
             self._move("e", (k, ids[first]), np.add.reduceat(back[order], first, axis=0))
 
 
-def _line(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _line(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All tokens of some texts in a line, SIDE pads before, between and after; and where the tokens are."""
     sizes = np.array([len(r) for r in rows])
     starts = SIDE + np.cumsum(sizes + SIDE) - sizes - SIDE
     line = np.full(int(sizes.sum()) + SIDE * (len(rows) + 1), SIZE, np.int64)
     at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-    line[at] = np.fromiter((t for r in rows for t in r), np.int64, int(sizes.sum()))
+    line[at] = np.concatenate(rows)
     return line, at
 
 
-def _pieces(rows: list[list[int]]) -> Iterator[tuple[list[int], list[list[int]]]]:
+def _pieces(rows: list[np.ndarray]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Numbers and tokens of rows, about BLOCK tokens at a time."""
     numbers: list[int] = []
     size = 0
@@ -229,7 +269,7 @@ def _pieces(rows: list[list[int]]) -> Iterator[tuple[list[int], list[list[int]]]
         yield numbers, [rows[j] for j in numbers]
 
 
-def sums(w: dict, rows: list[list[int]]) -> np.ndarray:
+def sums(w: dict, rows: list[np.ndarray]) -> np.ndarray:
     """Summed log-probability of each row of tokens."""
     out = np.zeros(len(rows))
     for numbers, part in _pieces(rows):
@@ -244,26 +284,44 @@ def sums(w: dict, rows: list[list[int]]) -> np.ndarray:
 def _tokens(key: str, sent) -> Tokens:
     kept = sys.modules.setdefault("_docstruct_lm", types.ModuleType("_docstruct_lm"))
     if getattr(kept, "key", None) != key:
-        kept.key, kept.tokens = key, Tokens(sent.value[0])
+        kept.key, kept.tokens = key, Tokens(sent.value)
     return kept.tokens
 
 
-def train(docs: DataFrame, text: str = "text") -> tuple[list[str], dict[str, np.ndarray]]:
-    """Vocabulary and weights learned from all documents. Without any token: the starting weights."""
-    sc = docs.sparkSession.sparkContext
-    named, counts = vocabulary(docs, text)
-    w, key = start(counts), uuid.uuid4().hex
-    texts = docs.select(F.col(text).alias("_text"))
-    groups = max(1, ceil(sqrt(texts.rdd.getNumPartitions())))
+def encode(docs: DataFrame, named: list[str], text: str = "text", out: str = "_tokens") -> DataFrame:
+    """docs and the token numbers of each whole text, two bytes each. Null and blank texts: none.
+
+    Worth writing down before training and scoring, which read it several times.
+    """
+    sent, key = docs.sparkSession.sparkContext.broadcast(named), uuid.uuid4().hex
+
+    @F.pandas_udf("binary")
+    def numbers(texts: pd.Series) -> pd.Series:
+        tokens = _tokens(key, sent)
+        return pd.Series([tokens(t).astype("<u2").tobytes() for t in texts], dtype=object)
+
+    return docs.withColumn(out, numbers(F.col(text)))
+
+
+def _decode(values) -> list[np.ndarray]:
+    return [np.frombuffer(v, "<u2").astype(np.int64) for v in values]
+
+
+def train(encoded: DataFrame, counts: np.ndarray, tokens: str = "_tokens") -> dict[str, np.ndarray]:
+    """Weights learned from all documents. Without any token: the starting weights."""
+    sc = encoded.sparkSession.sparkContext
+    w = start(counts)
+    rows = encoded.select(F.col(tokens).alias("_tokens"))
+    groups = max(1, ceil(sqrt(rows.rdd.getNumPartitions())))
     for round_ in range(ROUNDS):
-        sent = sc.broadcast((named, w))
+        sent = sc.broadcast(w)
 
         def learn(batches: Iterator[pa.RecordBatch], sent=sent, round_=round_) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            tokens, trainer = _tokens(key, sent), Trainer(sent.value[1])
+            trainer = Trainer(sent.value)
             for batch in batches:
-                for _, part in _pieces([tokens(t) for t in batch.column(0).to_pylist()]):
+                for _, part in _pieces(_decode(batch.column(0).to_pylist())):
                     line, at = _line(part)
                     at = at[(at + round_ * (STRIDE // ROUNDS)) % STRIDE == 0]
                     at = np.random.default_rng(len(at)).permutation(at)
@@ -278,21 +336,20 @@ def train(docs: DataFrame, text: str = "text") -> tuple[list[str], dict[str, np.
             n = int(rows["windows"].sum())
             return pd.DataFrame({"windows": [n], "weights": [(summed / n).astype(np.float32).tobytes()]})
 
-        parts = texts.mapInArrow(learn, "part int, windows long, weights binary").groupBy("part").applyInPandas(total, "windows long, weights binary").collect()
+        parts = rows.mapInArrow(learn, "part int, windows long, weights binary").groupBy("part").applyInPandas(total, "windows long, weights binary").collect()
         if parts:
             n = sum(p["windows"] for p in parts)
             w = unpack(sum(np.frombuffer(p["weights"], np.float32).astype(np.float64) * (p["windows"] / n) for p in parts))
-    return named, w
+    return w
 
 
-def score(docs: DataFrame, model: tuple[list[str], dict[str, np.ndarray]], text: str = "text", out: str = "_lm") -> DataFrame:
-    """docs and struct out(n_tokens, log_prob) of each whole text; log_prob is a sum of natural logs, 0 for texts without tokens."""
-    sent, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+def score(encoded: DataFrame, weights: dict[str, np.ndarray], tokens: str = "_tokens", out: str = "_lm") -> DataFrame:
+    """encoded and struct out(n_tokens, log_prob) of each whole text; log_prob is a sum of natural logs, 0 without tokens."""
+    sent = encoded.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("n_tokens long, log_prob double")
-    def pseudo(texts: pd.Series) -> pd.DataFrame:
-        tokens = _tokens(key, sent)
-        rows = [tokens(t) for t in texts]
-        return pd.DataFrame({"n_tokens": [len(r) for r in rows], "log_prob": sums(sent.value[1], rows)})
+    def pseudo(values: pd.Series) -> pd.DataFrame:
+        rows = _decode(values)
+        return pd.DataFrame({"n_tokens": [len(r) for r in rows], "log_prob": sums(sent.value, rows)})
 
-    return docs.withColumn(out, pseudo(F.col(text)))
+    return encoded.withColumn(out, pseudo(F.col(tokens)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, fingerprint, langid, licenses, lm, mixing, quality, simhash, warc
-from .common import crc_mod, table
+from .common import crc_mod, materialize, table
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,9 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = lm.score(docs, lm.train(docs))
+    named, counts = lm.vocabulary(docs)
+    encoded = materialize(lm.encode(docs, named).drop("text"))
+    found = lm.score(encoded, lm.train(encoded, counts))
     mean = F.when(F.col("_lm.n_tokens") > 0, F.col("_lm.log_prob") / F.col("_lm.n_tokens"))
     return found.select("doc_id", "_lm.n_tokens", "_lm.log_prob", mean.alias("mean_log_prob"))
 
