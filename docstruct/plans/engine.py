@@ -22,6 +22,7 @@ from ..operators import start as ST
 from ..operators import stats as STATS
 from ..operators import tables as TB
 from ..operators import tree as TR
+from ..sources.store import materialize
 from . import clinical  # noqa: F401  registers its profile
 from .profile import Profile, create_profile
 
@@ -43,10 +44,15 @@ class Layout:
 
 
 class Result:
-    """Relations of a parsed corpus, each worked out when asked for."""
+    """Relations of a parsed corpus, each worked out when asked for.
 
-    def __init__(self, layout: Layout, profile: Profile, registry: DataFrame | None):
+    With store, those that others build on are written down when they are first asked for (see sources.store): the fold and
+    the windows before it run once, however many relations are read.
+    """
+
+    def __init__(self, layout: Layout, profile: Profile, registry: DataFrame | None, store: bool = True):
         self.layout, self.profile, self.registry = layout, profile, registry
+        self._keep = materialize if store else lambda df: df
         spark: SparkSession = layout.lines.sparkSession
         self._detected = layout.detected if layout.detected is not None else spark.createDataFrame([], S.DETECTED)
 
@@ -75,7 +81,7 @@ class Result:
         ok = self.judged.where("verdict = 'ok'").select("doc_id", "page", "bbox")
         rows = TB.outside(rows, ok, F.col("heading.level") == 1)
         rows = rows.join(L.blank_gap(rows), "doc_id")
-        return rows.withColumn("idx", F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) - 1)
+        return self._keep(rows.withColumn("idx", F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) - 1))
 
     @cached_property
     def started(self) -> DataFrame:
@@ -86,7 +92,7 @@ class Result:
             "doc_id", "idx", "heading", "visual", L.is_leader(F.col("text")).alias("leader"), (F.col("region") == "toc").alias("_toc"),
             ST.code(F.col("heading"), F.col("region"), prose).alias("code"),
         ).withColumn("toc", F.coalesce("_toc", F.lit(False)))
-        return rows.join(ST.content_start(seen), "doc_id")
+        return self._keep(rows.join(ST.content_start(seen), "doc_id"))
 
     @cached_property
     def front(self) -> DataFrame:
@@ -102,14 +108,14 @@ class Result:
         rows = rows.withColumn("seq", F.struct("idx", "part")).withColumn("heading", self.profile.heading(F.col("text"), F.col("visual")))
         rows = rows.withColumn("region", self.profile.region(F.col("text"))).withColumn("break_before", F.col("gap_before") >= F.col("blank_gap"))
         rows = rows.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("idx", "part")) - 1)
-        return ST.excluded_tail(rows)
+        return self._keep(ST.excluded_tail(rows))
 
     @cached_property
     def placed(self) -> DataFrame:
         """(doc_id, seq, text, heading, attach_title, action, sec_no) of the lines before the excluded tail."""
         rows = FO.features(self.body, self.profile).where("not tail")
         done = FO.fold(rows)
-        return rows.select("doc_id", "seq", "text", "number", "title", "level", "attach_title").join(done, ["doc_id", "seq"])
+        return self._keep(rows.select("doc_id", "seq", "text", "number", "title", "level", "attach_title").join(done, ["doc_id", "seq"]))
 
     # --- sections -------------------------------------------------------------------------------------------------------
     @cached_property
@@ -132,7 +138,7 @@ class Result:
             F.when(F.col("_named"), F.col("_titles")[0]).otherwise(T.join_title(F.col("_titles"))).alias("title"),
             F.col("_head.level").alias("level"), T.norm(F.array_join("_texts", " ")).alias("text"),
         )
-        return TR.with_parents(flat)
+        return self._keep(TR.with_parents(flat))
 
     @cached_property
     def excluded(self) -> DataFrame:
@@ -145,7 +151,7 @@ class Result:
         tail = tail.select("doc_id", "bucket", nth.alias("item_no"), "title", T.norm(F.col("text")).alias("text"))
         nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) - 1
         other = self.placed.where("action = 'other'").select("doc_id", F.lit("other").alias("bucket"), nth.alias("item_no"), F.lit("unassigned").alias("title"), T.norm(F.col("text")).alias("text"))
-        return front.unionByName(tail).unionByName(other)
+        return self._keep(front.unionByName(tail).unionByName(other))
 
     # --- documents ------------------------------------------------------------------------------------------------------
     @cached_property
@@ -155,11 +161,11 @@ class Result:
 
     @cached_property
     def metadata(self) -> DataFrame:
-        return self.profile.metadata(self.texts, self.registry)
+        return self._keep(self.profile.metadata(self.texts, self.registry))
 
     @cached_property
     def stats(self) -> DataFrame:
-        return STATS.coverage(self.texts, self.sections, self.excluded, self.tables)
+        return self._keep(STATS.coverage(self.texts, self.sections, self.excluded, self.tables))
 
     @cached_property
     def warnings(self) -> DataFrame:
@@ -184,5 +190,5 @@ class Engine:
         self.spark = spark
         self.profile = create_profile(profile) if isinstance(profile, str) else profile
 
-    def parse(self, layout: Layout, registry: DataFrame | None = None) -> Result:
-        return Result(layout, self.profile, registry)
+    def parse(self, layout: Layout, registry: DataFrame | None = None, store: bool = True) -> Result:
+        return Result(layout, self.profile, registry, store)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import patterns as P
+from ..operators import tree
 
 KEPT = ("source_file", "document_type", "title", "id", "year", "end_year", "age_group", "mkb_codes")
 FROM_REGISTRY = ("developer", "approval_status", "publication_date", "application_status")
@@ -13,31 +13,21 @@ OPTIONS = {"ignoreNullFields": "false"}
 
 
 def section_trees(sections: DataFrame) -> DataFrame:
-    """(doc_id, sections): JSON of the section tree, built from the leaves up, one level of the tree at a time."""
-    own = sections.select("doc_id", "sec_no", "parent_sec_no", "number", "title", "level", "text")
-    none = F.lit("[]")
-
-    def as_json(rows: DataFrame) -> DataFrame:
-        head = F.to_json(F.struct("number", "title", "level", "text"), OPTIONS)
-        node = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"children":'), F.coalesce("children", none), F.lit("}"))
-        return rows.select("doc_id", "sec_no", "parent_sec_no", "level", node.alias("node"))
-
-    def listed(rows: DataFrame, keys: list[str]) -> DataFrame:
-        parts = F.transform(F.array_sort(F.collect_list(F.struct("sec_no", "node"))), lambda x: x["node"])
-        return rows.groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]")).alias("children"))
-
-    # a section's children have larger levels, so by descending level each finds its children done
-    done = None
-    for level in range(P.MAX_DEPTH, 0, -1):
-        here = own.where(F.col("level") == level)
-        if done is None:
-            here = here.withColumn("children", none)
-        else:
-            kids = listed(done.where("parent_sec_no is not null"), ["doc_id", "parent_sec_no"]).withColumnRenamed("parent_sec_no", "sec_no")
-            here = here.join(kids, ["doc_id", "sec_no"], "left")
-        made = as_json(here)
-        done = made if done is None else done.unionByName(made)
-    return listed(done.where("parent_sec_no is null"), ["doc_id"]).withColumnRenamed("children", "sections")
+    """(doc_id, sections): JSON of the section tree.
+
+    Sections stand in pre-order, so the brackets between two neighbours follow from their depths in the tree; one pass of
+    windows and one ordered concatenation make the whole text.
+    """
+    by = Window.partitionBy("doc_id").orderBy("sec_no")
+    rows = sections.withColumn("_depth", tree.depth())
+    rows = rows.withColumn("_next", F.lead("_depth").over(by))
+    head = F.to_json(F.struct("number", "title", "level", "text"), OPTIONS)
+    opened = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"children":['))
+    closed = F.when(F.col("_next").isNull(), F.repeat(F.lit("]}"), F.col("_depth")))
+    closed = closed.when(F.col("_next") > F.col("_depth"), "").otherwise(F.concat(F.repeat(F.lit("]}"), F.col("_depth") - F.col("_next") + 1), F.lit(",")))
+    placed = rows.withColumn("node", F.concat(opened, closed))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("sec_no", "node"))), lambda x: x["node"])
+    return placed.groupBy("doc_id").agg(F.concat(F.lit("["), F.array_join(parts, ""), F.lit("]")).alias("sections"))
 
 
 def documents_json(result) -> DataFrame:
