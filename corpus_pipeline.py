@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docstruct.llm import decontaminate, langid, mixing, quality, simhash
-from docstruct.llm.common import materialize, table
+from docstruct.llm.common import fresh, materialize, table
 
 #: Documents that a language model of the corpus finds less likely than this, or that cost more bits per byte, go.
 LANGUAGE_SCORE, LANGUAGE_BITS = 0.3, 7.5
@@ -19,14 +19,16 @@ LANGUAGE_SCORE, LANGUAGE_BITS = 0.3, 7.5
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels, thinks good. Without labels all stay."""
     weights = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, weights, out="_score").where("_score >= 0.5").select(*docs.columns)
+    (score,) = fresh(docs, "_score")
+    return quality.score(docs, weights, out=score).where(F.col(score) >= 0.5).drop(score)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that docs name: those without letters, and those that no language explains, go."""
-    found = langid.predict(docs, langid.train(docs), out="_found")
-    fits = (F.col("_found.lang_pred") != langid.UNKNOWN) & (F.col("_found.score") >= LANGUAGE_SCORE) & (F.col("_found.bits_per_byte") <= LANGUAGE_BITS)
-    return found.where(fits).select(*docs.columns)
+    (out,) = fresh(docs, "_found")
+    found = langid.predict(docs, langid.train(docs), out=out)
+    said = F.col(out)
+    return found.where((said["lang_pred"] != langid.UNKNOWN) & (said["score"] >= LANGUAGE_SCORE) & (said["bits_per_byte"] <= LANGUAGE_BITS)).drop(out)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +38,19 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return decontaminate.held(docs, table(spark, sf_dir, "benchmark")).where("_held = 0").select(*docs.columns)
+    (out,) = fresh(docs, "_held")
+    return decontaminate.held(docs, table(spark, sf_dir, "benchmark"), out=out).where(F.col(out) == 0).drop(out)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which the mix takes something, with the number of words taken, repeats counted."""
+    """Documents of which the mix takes something, with their words, their source's target and the words taken, repeats counted.
+
+    These three replace columns of docs that are called so.
+    """
     found = mixing.plan(docs, carry=True).where("taken > 0")
-    return found.select("row.*", F.col("size").alias("n_words"), F.col("target").alias("source_target"), "taken")
+    own = {"n_words": F.col("size"), "source_target": F.col("target"), "taken": F.col("taken")}
+    kept = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in own]
+    return found.select(*kept, *[x.alias(c) for c, x in own.items()])
 
 
 STAGES = [

@@ -139,6 +139,7 @@ def token_counts(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
 
     path: the vocabulary file, read by the driver; its merges (some MB, whatever the data) are broadcast. A special string
     inside a text is one token, as in the library's default. Null and empty texts: 0. Other columns stay as they are.
+    A column named like out is replaced.
     """
     model = docs.sparkSession.sparkContext.broadcast(Model(path))
 

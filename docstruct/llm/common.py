@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import materialize, shared_dir
+
+__all__ = ["BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "materialize", "maybe_broadcast", "shared_dir", "small", "table"]
+
 #: What separates words everywhere in this subpackage unless a docstring says otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,29 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session.
-
-    Where the cluster names none (local tests), one is made once and set for the session.
-    """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="docstruct-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write df as a table into the shared folder and read it back.
-
-    Unlike a cache, the table outlives the executors that wrote it. Columns keep their order and types.
-    """
-    spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"docstruct-{uuid.uuid4().hex}.parquet")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     """Whether df has at most so many rows. Only for narrow tables; reads no further than it must."""
     return df.limit(rows + 1).count() <= rows
@@ -53,6 +30,17 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """names, changed where df has columns called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_mod(column, n: int):
     """crc32 of the value as text, modulo n; null values give null."""
     return F.crc32(column.cast("string").cast("binary")) % n

@@ -259,7 +259,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def held(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", out: str = "_held") -> DataFrame:
-    """docs and the number of items that each holds; all else stays as it is."""
+    """docs and the number of items that each holds; all else stays as it is. A column named like out is replaced."""
     def counter(texts: list[list[bytes]]):
         sent, key = docs.sparkSession.sparkContext.broadcast(texts), uuid.uuid4().hex
 

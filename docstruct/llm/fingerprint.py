@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast
+from .common import fresh, materialize, maybe_broadcast
 
 #: Range buckets of the neighbour search, for so many rows each, up to so many.
 ROWS = 2_000
@@ -47,22 +47,25 @@ def colliding(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def resolve(docs: DataFrame, clashes: DataFrame | None, canon: str, out: str) -> DataFrame:
-    """docs and the fingerprint of the canonical text in column canon."""
+    """docs and, in column out, the fingerprint of the canonical text in column canon."""
     docs = docs.withColumn(out, digest(F.col(canon)))
     if clashes is None:
         return docs
-    few = clashes.select(F.col("_digest").alias("_d"), F.col("_canon").alias("_c"), "_place")
-    joined = docs.join(maybe_broadcast(few, 1_000), (F.col(out) == F.col("_d")) & (F.col(canon) == F.col("_c")), "left")
-    return joined.withColumn(out, F.concat_ws("-", out, F.col("_place").cast("string"))).drop("_d", "_c", "_place")
+    d, c, p = fresh(docs, "_d", "_c", "_p")
+    few = clashes.select(F.col("_digest").alias(d), F.col("_canon").alias(c), F.col("_place").alias(p))
+    joined = docs.join(maybe_broadcast(few, 1_000), (F.col(out) == F.col(d)) & (F.col(canon) == F.col(c)), "left")
+    return joined.withColumn(out, F.concat_ws("-", out, F.col(p).cast("string"))).drop(d, c, p)
 
 
 def fingerprints(docs: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """docs and the fingerprint of each whole text: equal exactly if the canonical texts are equal. Null counts as empty.
 
-    Repeated rows have equal fingerprints; other columns stay as they are; an empty table stays empty.
+    Repeated rows have equal fingerprints; other columns stay as they are, but for one named like out, which is replaced; an
+    empty table stays empty.
     """
     found = colliding(docs, text)
-    return resolve(docs.withColumn("_canon", canonical(F.col(text))), None if found.isEmpty() else found, "_canon", out).drop("_canon")
+    (canon,) = fresh(docs, "_canon")
+    return resolve(docs.withColumn(canon, canonical(F.col(text))), None if found.isEmpty() else found, canon, out).drop(canon)
 
 
 def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -155,6 +155,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "_lang
 
     score is the chosen language's share if every language were as likely beforehand; ties go to the first name. Null
     texts, texts without a letter, and all texts under an empty model: und, 0.
+    A column named like out is replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

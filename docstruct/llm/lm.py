@@ -292,6 +292,7 @@ def encode(docs: DataFrame, named: list[str], text: str = "text", out: str = "_t
     """docs and the token numbers of each whole text, two bytes each. Null and blank texts: none.
 
     Worth writing down before training and scoring, which read it several times.
+    A column named like out is replaced.
     """
     sent, key = docs.sparkSession.sparkContext.broadcast(named), uuid.uuid4().hex
 

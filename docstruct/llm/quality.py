@@ -91,7 +91,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
-    """docs and the probability (0 to 1) that each whole text is good. Null, empty and wordless texts: the bias alone."""
+    """docs and the probability (0 to 1) that each whole text is good. Null, empty and wordless texts: the bias alone. A column named like out is replaced."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("double")

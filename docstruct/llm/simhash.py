@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast
+from .common import fresh, materialize, maybe_broadcast
 from .components import components
 
 RADIUS = 3
@@ -181,7 +181,8 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     own = F.col("_id").eqNullSafe(F.col("first.id")) & (F.col("_hash") == F.col("first.hash"))
     gone = materialize(placed.where(~own).select("_id", "_hash").distinct())
     again = not prints.groupBy("_id", "_hash").count().where("count > 1").join(gone, ["_id", "_hash"], "left_anti").isEmpty()
-    few = maybe_broadcast(gone.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h")))
-    marked = docs.withColumn("_text_hash", F.xxhash64(text))
-    kept = marked.join(few, F.col(doc_id).eqNullSafe(F.col("_i")) & (F.col("_text_hash") == F.col("_h")), "left_anti")
-    return (kept.dropDuplicates([doc_id, "_text_hash"]) if again else kept).drop("_text_hash")
+    i, h, own_hash = fresh(docs, "_i", "_h", "_text_hash")
+    few = maybe_broadcast(gone.select(F.col("_id").alias(i), F.col("_hash").alias(h)))
+    marked = docs.withColumn(own_hash, F.xxhash64(text))
+    kept = marked.join(few, F.col(doc_id).eqNullSafe(F.col(i)) & (F.col(own_hash) == F.col(h)), "left_anti")
+    return (kept.dropDuplicates([doc_id, own_hash]) if again else kept).drop(own_hash)
