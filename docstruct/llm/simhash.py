@@ -1,24 +1,33 @@
 """SimHash near-duplicate groups with pivot distance tables.
 
-A fingerprint has 64 bits, one per bit of the shingles' XXH64 hashes by majority. Two documents are linked if their
-fingerprints differ in at most RADIUS bits. Equal fingerprints collapse first, so a group of copies of any size counts as
-one row from then on. Candidate pairs meet in one of the tables that key a fingerprint by three of six bit blocks (of six
-blocks, three differing bits leave three untouched, so no link is missed). Inside a bucket the pairs are pruned by the
-pivot tables: the Hamming distances to many fixed reference fingerprints are at hand for each member, and a pair whose
-largest coordinate difference is over RADIUS can't be linked (triangle inequality). Survivors are verified bit by bit.
+A fingerprint has one bit per bit of the shingles' hashes, by majority. Two documents are linked if their fingerprints
+differ in at most a radius of bits. Equal fingerprints collapse first, so a group of copies of any size counts as one row
+from then on. Candidate pairs meet in buckets of tables:
+
+- narrow (groups): 64 bits of XXH64 over three words, radius 3. Each table keys a fingerprint by three of six bit blocks;
+  of six blocks, three differing bits leave three untouched, so no link is missed.
+- wide (representatives): 256 bits over five words. A radius of WIDE_RADIUS bits is what a similarity of 0.8 of the shingle
+  sets comes to. Each table keys a fingerprint by a sample of its bits; the number of tables follows from the number of
+  fingerprints, so that a pair at a similarity of 0.8 meets with a probability of RECALL or more, whatever the size.
+
+Inside a bucket the pairs are pruned by the pivot tables: the Hamming distances to many fixed reference fingerprints are at
+hand for each member, and a pair whose largest coordinate difference is over the radius can't be linked (triangle
+inequality). Survivors are verified bit by bit. Pairs that links found before connect already are passed over.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
+from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType
 
 from .common import fresh, materialize, maybe_broadcast
 from .components import components
@@ -27,6 +36,10 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 PIVOTS = 32
+#: Words per shingle, bits and radius of the wide fingerprint: at similarity 0.8 of the sets 39 bits differ on average, give or take 6.
+WIDE_SHINGLE, WIDE_BITS, WIDE_RADIUS = 5, 256, 45
+#: Share of bits that agree at similarity 0.8, and the probability that such a pair meets.
+AGREE, RECALL = 0.848, 0.99
 #: Widths of the bit blocks, lowest bits first.
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: A bucket of more members is dealt out as pairs of chunks of about this size.
@@ -54,14 +67,37 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(total * 2 > shingles).tobytes(), "big")
 
 
-@F.pandas_udf("long")
-def _fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.fromiter(map(fingerprint, texts), dtype=np.uint64, count=len(texts)).view(np.int64))
+_ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs and a column _fp (the fingerprint's bits as a signed long)."""
-    return docs.withColumn("_fp", _fingerprints(F.col(text)))
+def wide(text: str | None) -> bytes:
+    """WIDE_BITS bits of SimHash; null or no words: zeros."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    n = len(words)
+    if not n:
+        return bytes(WIDE_BITS // 8)
+    total = np.zeros(WIDE_BITS, np.int64)
+    shingles = 0
+    for at in range(0, max(1, n - WIDE_SHINGLE + 1), CHUNK // 4):
+        part = words[at : at + CHUNK // 4 + WIDE_SHINGLE - 1]
+        runs = map(b" ".join, zip(*(part[i:] for i in range(WIDE_SHINGLE)))) if n >= WIDE_SHINGLE else [b" ".join(part)]
+        first = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, runs)), np.uint64).reshape(-1, 2)
+        second = first * _ODD  # the other half, from the first
+        second = (second ^ (second >> np.uint64(32))) * _ODD[::-1]
+        bits = np.unpackbits(np.concatenate([first, second ^ (second >> np.uint64(29))], axis=1).view(np.uint8), axis=1)
+        shingles += len(bits)
+        total += bits.sum(0, dtype=np.int32)
+    return np.packbits(total * 2 > shingles).tobytes()
+
+
+@F.pandas_udf(BinaryType())
+def _wide(texts: pd.Series) -> pd.Series:
+    return pd.Series([wide(t) for t in texts], dtype=object)
+
+
+@F.pandas_udf(LongType())
+def _fingerprints(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.fromiter(map(fingerprint, texts), dtype=np.uint64, count=len(texts)).view(np.int64))
 
 
 def _keys():
@@ -73,13 +109,18 @@ def _keys():
         yield F.lit(number << 40).cast("long") + bits
 
 
-def pivots() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(0, 1 << 64, PIVOTS, dtype=np.uint64)
+def pivots(words: int) -> np.ndarray:
+    """Reference fingerprints of so many 64-bit words."""
+    return np.random.default_rng(SEED).integers(0, 1 << 64, (PIVOTS, words), dtype=np.uint64)
+
 
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int16)
 
-def _linked(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between members of the same bucket. keys must be sorted."""
-    table = np.bitwise_count(prints[:, None] ^ pivots()[None, :]).astype(np.int8)
+
+def linked(keys: np.ndarray, prints: np.ndarray, radius: int) -> np.ndarray:
+    """Pairs of places: a spanning forest of the links between members of the same bucket. keys must be sorted."""
+    table = _apart(prints[:, None], pivots(prints.shape[1])[None])
     root = np.arange(len(keys))
     found: list[tuple[int, int]] = []
 
@@ -89,47 +130,36 @@ def _linked(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarra
             i = root[i]
         return i
 
-    first = np.arange(len(keys) - 1)
+    first = np.arange(len(keys))
     lag = 1
     while len(first := first[: np.searchsorted(first, len(keys) - lag)]):
         first = first[keys[first] == keys[first + lag]]
-        i = first[np.abs(table[first] - table[first + lag]).max(axis=1, initial=0) <= RADIUS]
-        i = i[np.bitwise_count(prints[i] ^ prints[i + lag]) <= RADIUS]
-        for a in i[root[i] != root[i + lag]].tolist():
+        i = first[root[first] != root[first + lag]]
+        i = i[np.abs(table[i] - table[i + lag]).max(axis=1, initial=0) <= radius]
+        i = i[_apart(prints[i], prints[i + lag]) <= radius]
+        for a in i.tolist():
             if (x := top(a)) != (y := top(a + lag)):
                 root[max(x, y)] = min(x, y)
                 found.append((a, a + lag))
-        while (up := root[root]).tolist() != root.tolist() if len(i) else False:
+        while len(i) and not np.array_equal(up := root[root], root):
             root[:] = up
         lag += 1
-    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
-    return prints[pairs[:, 0]], prints[pairs[:, 1]]
-
-
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (bucket, fp) sorted by bucket, to links (a, b). Holds a batch and the bucket at its end."""
-    keys, prints = np.empty(0, np.int64), np.empty(0, np.uint64)
+    return np.array(found, dtype=np.int64).reshape(-1, 2)
 
-    def out(k, p):
-        a, b = _linked(k, p)
-        return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    for batch in batches:
-        keys = np.concatenate([keys, batch.column(0).to_numpy()])
-        prints = np.concatenate([prints, batch.column(1).to_numpy().view(np.uint64)])
-        if len(keys) and (cut := np.searchsorted(keys, keys[-1])) > 0:
-            yield out(keys[:cut], prints[:cut])
-            keys, prints = keys[cut:], prints[cut:]
-    if len(keys):
-        yield out(keys, prints)
+def _bits(column: pa.Array) -> np.ndarray:
+    """Fingerprints of a column of longs or of bytes as rows of 64-bit words."""
+    if pa.types.is_integer(column.type):
+        return column.to_numpy().view(np.uint64).reshape(-1, 1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (_fp), enough of them to join all that are connected.
+def links(members: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) between fingerprints of members(_key, _fp) that share a key, enough of them to join all that are connected.
 
     Buckets over BUCKET members are dealt out as pairs of chunks, so no task gets a whole hot bucket and no pair is lost.
+    A task holds a batch and the bucket at its end.
     """
-    members = distinct.select(F.explode(F.array(*_keys())).alias("_key"), "_fp")
     hot = members.groupBy("_key").count().where(F.col("count") > BUCKET)
     hot = materialize(hot.select("_key", F.ceil(F.col("count") / BUCKET).cast("int").alias("_chunks")))
     if hot.isEmpty():
@@ -140,21 +170,71 @@ def links(distinct: DataFrame) -> DataFrame:
         split = members.join(maybe_broadcast(hot), "_key", "left")
         split = split.withColumn("_cells", F.when(F.col("_chunks").isNull(), F.array(F.xxhash64("_key"))).otherwise(cells))
         buckets = split.select(F.explode("_cells").alias("_bucket"), "_fp")
+    kind = members.schema["_fp"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, column = np.empty(0, np.int64), None
+
+        def out(k: np.ndarray, c: pa.Array) -> pa.RecordBatch:
+            pairs = linked(k, _bits(c), radius)
+            return pa.RecordBatch.from_arrays([c.take(pa.array(pairs[:, 0])), c.take(pa.array(pairs[:, 1]))], names=["a", "b"])
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            column = batch.column(1) if column is None else pa.concat_arrays([column, batch.column(1)])
+            if (cut := int(np.searchsorted(keys, keys[-1]))) > 0:
+                yield out(keys[:cut], column[:cut])
+                keys, column = keys[cut:], column[cut:]
+        if len(keys):
+            yield out(keys, column)
+
     placed = buckets.repartition("_bucket").sortWithinPartitions("_bucket")
-    return placed.mapInArrow(_links, "a long, b long")
+    return placed.mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def narrow_members(distinct: DataFrame) -> DataFrame:
+    return distinct.select(F.explode(F.array(*_keys())).alias("_key"), "_fp")
+
+
+def samples(n: int) -> np.ndarray:
+    """Places of the bits that key each table, for n fingerprints: long enough keys that buckets stay small by chance."""
+    width = min(38, max(16, ceil(log2(max(2, n))) - 2))
+    tables = ceil(log(1 - RECALL) / log(1 - AGREE**width))
+    random = np.random.default_rng(SEED)
+    return np.stack([random.choice(WIDE_BITS, width, replace=False) for _ in range(tables)])
+
+
+def wide_members(distinct: DataFrame) -> DataFrame:
+    places = samples(distinct.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            bits = np.unpackbits(_bits(batch.column(0)).view(np.uint8), axis=1)
+            for number, at in enumerate(places):
+                packed = np.packbits(bits[:, at], axis=1)
+                key = np.zeros(len(bits), np.int64)
+                for i in range(packed.shape[1]):
+                    key = key << 8 | packed[:, i]
+                yield pa.RecordBatch.from_arrays([pa.array(key + (number << 40)), batch.column(0)], names=["_key", "_fp"])
+
+    return distinct.select("_fp").mapInArrow(run, "_key long, _fp binary")
 
 
-def _prints(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def _prints(docs: DataFrame, doc_id: str, text: str, print_: Column) -> DataFrame:
     """(_id, _hash, _fp) of every row, written down; _hash tells texts apart that share an id."""
     few = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    return materialize(fingerprints(few, "_text").select("_id", "_hash", "_fp"))
+    return materialize(few.select("_id", "_hash", print_.alias("_fp")))
 
 
-def _components(prints: DataFrame) -> DataFrame:
+def _components(prints: DataFrame, members: Callable[[DataFrame], DataFrame], radius: int) -> DataFrame:
     """(_fp, first) of every fingerprint: the first row, by id (nulls last) and text, of all that its links lead to."""
     first = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"))
     distinct = materialize(prints.groupBy("_fp").agg(F.min(first).alias("_least")))
-    roots = materialize(components(links(distinct))).select(F.col("node").alias("_fp"), "root")
+    roots = materialize(components(links(members(distinct), radius))).select(F.col("node").alias("_fp"), "root")
     named = distinct.join(roots, "_fp", "left").withColumn("root", F.coalesce("root", "_fp"))
     least = named.groupBy("root").agg(F.min("_least").alias("first"))
     return materialize(named.join(least, "root").select("_fp", "first"))
@@ -167,17 +247,18 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     come back repeated. Null ids are kept; they name a component only if all its ids are null. Other columns are not read.
     An empty table gives an empty one.
     """
-    prints = _prints(docs, doc_id, text)
-    return prints.join(_components(prints), "_fp").select(F.col("_id").alias(doc_id), "_fp", F.col("first.id").alias("component"))
+    prints = _prints(docs, doc_id, text, _fingerprints(F.col("_text")))
+    return prints.join(_components(prints, narrow_members, RADIUS), "_fp").select(F.col("_id").alias(doc_id), "_fp", F.col("first.id").alias("component"))
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs that stay when one of each group does: the one of the smallest id (nulls last).
+    """The rows of docs that stay when one of each group of near copies does: the one of the smallest id (nulls last).
 
-    Of rows that share id and text one stays as well. Columns stay as they are; the rest is as in groups.
+    Near copies: similar to 0.8 or more in their sets of five words, by the wide fingerprint's estimate, or linked by others
+    that are. Documents without words make one group. Of rows that share id and text one stays. Columns stay as they are.
     """
-    prints = _prints(docs, doc_id, text)
-    placed = prints.join(_components(prints), "_fp")
+    prints = _prints(docs, doc_id, text, _wide(F.col("_text")))
+    placed = prints.join(_components(prints, wide_members, WIDE_RADIUS), "_fp")
     own = F.col("_id").eqNullSafe(F.col("first.id")) & (F.col("_hash") == F.col("first.hash"))
     gone = materialize(placed.where(~own).select("_id", "_hash").distinct())
     again = not prints.groupBy("_id", "_hash").count().where("count > 1").join(gone, ["_id", "_hash"], "left_anti").isEmpty()
