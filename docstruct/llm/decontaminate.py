@@ -72,7 +72,7 @@ class Index:
         self.items = [np.fromiter(map(hash, x), np.int64, len(x)) for x in items]
         random = np.random.default_rng(SEED)
         self.odd = random.integers(0, 1 << 63, WALKS * 64, dtype=np.int64) * 2 + 1
-        self.step = random.integers(0, 1 << 63, 64, dtype=np.int64)
+        self.step = random.integers(-(1 << 63), (1 << 63) - 1, 64, dtype=np.int64)
         self.mix = random.integers(0, 1 << 63, SAMPLE, dtype=np.int64) * 2 + 1
         self.edits = [int(len(x) * EDITS + 1e-9) for x in items]
         self.grams: dict[int, tuple] = {}

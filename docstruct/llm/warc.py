@@ -59,7 +59,7 @@ def metadata(page: str, headers: str, payload: str) -> str:
         lines.append(("language", found[1]))
     lines += [("source-header", _one_line(h)) for h in headers.split("\n") if h.strip()]
     lines.append(("source-payload-digest", payload))
-    lines += [("outlink", _one_line(html.unescape("".join(x)))) for x in dict.fromkeys(_LINK.findall(page))]
+    lines += [("outlink", x) for x in dict.fromkeys(_one_line(html.unescape("".join(x))) for x in _LINK.findall(page))]
     return "".join(f"{k}: {v}\r\n" for k, v in lines)
 
 
