@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Chunks and pieces remembered by a Python worker before it starts anew.
-MEMORY = 400_000
+MEMORY = 200_000
 LIMIT = 2048
 
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import ceil
 
 import numpy as np
@@ -41,7 +41,7 @@ SEED = 7
 #: Items per pass over the documents; a benchmark of more is searched for in several passes.
 ITEMS = 20_000
 #: Words searched at a time.
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 #: Windows embedded at a time.
 WINDOWS = 1 << 14
 
@@ -136,22 +136,26 @@ class Index:
                 out[walk * TABLES + t] = key
         return out
 
-    def search(self, texts: list[list[bytes]]) -> list[tuple[int, int, int, int]]:
-        """(text, item, first word of the window, edits): the best window of every item in every text."""
+    def search(self, texts: Iterable[list[bytes]]) -> list[tuple[int, int, int, int]]:
+        """(text, item, first word of the window, edits): the best window of every item in every text.
+
+        texts may be a generator: about BLOCK words are held at a time.
+        """
         found: list[tuple[int, int, int, int]] = []
-        group: list[int] = []
-        size = 0
-        for i, t in enumerate(texts):
-            group.append(i)
+        group: list[list[bytes]] = []
+        first = size = 0
+        for t in texts:
+            group.append(t)
             size += len(t)
             if size >= BLOCK:
-                found += self._search(texts, group)
+                found += [(first + i, *rest) for i, *rest in self._search(group)]
+                first += len(group)
                 group, size = [], 0
-        return found + (self._search(texts, group) if group else [])
+        return found + ([(first + i, *rest) for i, *rest in self._search(group)] if group else [])
 
-    def _search(self, texts: list[list[bytes]], group: list[int]) -> list[tuple[int, int, int, int]]:
-        sizes = np.array([len(texts[i]) for i in group])
-        x = np.fromiter((h for i in group for h in map(hash, texts[i])), np.int64, int(sizes.sum()))
+    def _search(self, texts: list[list[bytes]]) -> list[tuple[int, int, int, int]]:
+        sizes = np.array([len(t) for t in texts])
+        x = np.fromiter((h for t in texts for h in map(hash, t)), np.int64, int(sizes.sum()))
         ends = np.cumsum(sizes)
         begins = ends - sizes
         wanted: dict[int, list[np.ndarray]] = {}
@@ -181,7 +185,7 @@ class Index:
                     run = self._cut(x, begins[text[w : w + 1]], ends[text[w : w + 1]], start[w : w + 1] - edge, size + 2 * edge)
                     d = int(distances(self.items[number], run)[0])
                     if d <= edge:
-                        key, value = (group[t], number), (d, max(0, lo - int(begins[t])))
+                        key, value = (t, number), (d, max(0, lo - int(begins[t])))
                         best[key] = min(best.get(key, value), value)
         return [(t, number, at, d) for (t, number), (d, at) in best.items()]
 
@@ -241,7 +245,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
         def run(batches: Iterator[pa.RecordBatch], ids=ids, sizes=sizes, sent=sent, key=key) -> Iterator[pa.RecordBatch]:
             index = _index(key, sent)
             for batch in batches:
-                found = index.search([words(t) for t in batch.column(1).to_pylist()])
+                found = index.search(words(t.as_py()) for t in batch.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([t for t, _, _, _ in found], pa.int64())),
@@ -266,7 +270,7 @@ def held(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "
         @F.pandas_udf("long")
         def count(column: pd.Series) -> pd.Series:
             numbers = np.zeros(len(column), np.int64)
-            for t, _, _, _ in _index(key, sent).search([words(t) for t in column]):
+            for t, _, _, _ in _index(key, sent).search(words(t) for t in column):
                 numbers[t] += 1
             return pd.Series(numbers)
 

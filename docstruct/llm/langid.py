@@ -39,7 +39,7 @@ class Model:
         self.symbols = a = len(seen) + 1
         self.symbol = np.full(256, a - 1, np.int32)
         self.symbol[seen] = np.arange(a - 1)
-        coded = [self.symbol[np.frombuffer(b, np.uint8)].astype(np.int64) for b in joined]
+        coded = [self.symbol[np.frombuffer(b, np.uint8)].astype(np.uint8) for b in joined]
 
         def grams(s: np.ndarray, k: int) -> np.ndarray:
             """(context of k symbols, next symbol) at every place past the start, as one number."""
@@ -51,10 +51,9 @@ class Model:
         unseen = 256 - (a - 1)
         uniform = np.full(a, 1 / 256)
         uniform[-1] = unseen / 256
-        lengths = np.tile(uniform, (1, len(self.langs), 1))  # row, language, symbol
-        known = np.zeros(1, np.int64)  # contexts of this order, sorted; rows of lengths, and all rows so far
+        lengths = np.tile(uniform, (1, len(self.langs), 1)).astype(np.float32)  # row, language, symbol
         tables: list[np.ndarray] = []
-        ids = np.zeros(1, np.int64)
+        ids = np.zeros(1, np.int32)
         total = 0
         for k in range(ORDER + 1):
             counts = [np.unique(grams(s, k), return_counts=True) for s in coded]
@@ -66,13 +65,19 @@ class Model:
             else:
                 names = np.zeros(1, np.int64)
             # each starts from what its context without the first symbol says
-            tail = names % (a ** max(0, k - 1))
-            up = ids[tail] if k else np.zeros(1, np.int64)
-            rows = (np.concatenate(tables) if tables else lengths)[up].copy()
+            rows = np.empty((len(names), *lengths.shape[1:]), np.float32)
+            up = ids[names % (a ** max(0, k - 1))]
+            done = 0
+            for t in tables:
+                here = (up >= done) & (up < done + len(t))
+                rows[here] = t[up[here] - done]
+                done += len(t)
+            if not tables:
+                rows[:] = lengths
             for lang, (g, c) in enumerate(counts):
                 at = np.searchsorted(names, g // a)
                 ok = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == g // a)
-                dense = np.zeros((len(names), a))
+                dense = np.zeros((len(names), a), np.float32)
                 dense[at[ok], (g % a)[ok]] = c[ok]
                 n, d = dense.sum(1), (dense > 0).sum(1)
                 has = n > 0
@@ -84,14 +89,17 @@ class Model:
                 rows[:, lang] = np.where(has[:, None], mixed, rows[:, lang])
             tables.append(rows)
             # every context of k symbols -> its own row, or that of its tail
-            spread = np.tile(ids, a) if k else np.zeros(1, np.int64)
+            spread = np.tile(ids, a) if k else np.zeros(1, np.int32)
             spread[names] = total + np.arange(len(names))
             ids = spread
             total += len(names)
         self.rows = ids.astype(np.int32)
-        cost = np.concatenate(tables)
-        cost[:, :, -1] /= max(1, unseen)  # the share of one unseen byte
-        self.table = np.ascontiguousarray(-np.log2(np.maximum(cost, 1e-30)).transpose(0, 2, 1).reshape(total * a, -1).astype(np.float32))
+        self.table = np.empty((total * a, len(self.langs)), np.float32)
+        done = 0
+        for t in tables:
+            t[:, :, -1] /= max(1, unseen)  # the share of one unseen byte
+            self.table[done : done + len(t) * a] = -np.log2(np.maximum(t, 1e-30)).transpose(0, 2, 1).reshape(len(t) * a, len(self.langs))
+            done += len(t) * a
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""

@@ -36,7 +36,7 @@ BATCH = 2048
 RATE = 0.1
 SEED = 3
 #: Chunks between spaces remembered by a worker; distinct tokens counted before they are passed on.
-MEMORY = 400_000
+MEMORY = 200_000
 #: Tokens scored at a time.
 BLOCK = 1 << 14
 

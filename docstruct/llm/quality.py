@@ -22,7 +22,7 @@ EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.05
 #: Shares of n-grams are small numbers; this brings them to the size of ordinary features.
 SCALE = 40.0
-MEMORY = 400_000
+MEMORY = 150_000
 
 _PARTS = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}]+").findall
 _STEP = np.uint64(0x9E3779B97F4A7C15)
