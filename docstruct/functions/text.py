@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), value being worked out once however often f names it (plain composition would repeat it in the plan)."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space of any kind at the ends."""
     return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")

@@ -28,11 +28,14 @@ def valid_number(number: Column) -> Column:
 
 def valid_main_title(title: Column, top: Column) -> Column:
     """The first main section whose title matches, in whole or by its first words, decides by its numbers."""
-    low = F.lower(T.norm(title))
-    out = F.when(low.rlike(P.FORBIDDEN_START), False)
-    for name, numbers in P.MAIN_SECTIONS:
-        out = out.when(low.startswith(name) | F.lit(name).startswith(F.concat(low, F.lit(" "))), top.isin(*numbers))
-    return out.otherwise(False)
+
+    def decide(low: Column) -> Column:
+        out = F.when(low.rlike(P.FORBIDDEN_START), False)
+        for name, numbers in P.MAIN_SECTIONS:
+            out = out.when(low.startswith(name) | F.lit(name).startswith(F.concat(low, F.lit(" "))), top.isin(*numbers))
+        return out.otherwise(False)
+
+    return T.let(F.lower(T.norm(title)), decide)
 
 
 def number_of(text: Column, pattern: str) -> Column:
@@ -49,26 +52,33 @@ class ClinicalGuideline(Profile):
 
     def numbered(self, text: Column, visual: Column) -> Column:
         """text: normalised."""
-        number, title = number_of(text, P.NUMBERED), T.norm(F.regexp_extract(text, P.NUMBERED, 2))
-        level = T.level(number)
-        top = (F.length(title) <= P.TOP_TITLE) & valid_main_title(title, T.top_int(number))
-        sub = (F.length(title) <= P.SUB_TITLE) & (visual | T.first_upper(title))
-        ok = number.isNotNull() & (title != "") & ~title.rlike(P.FORBIDDEN_START) & ~body_fragment(title) & valid_number(number)
-        return F.when(ok & F.when(level == 1, top).otherwise(sub), _heading("numbered", number, title, level))
+
+        def decide(m: Column) -> Column:
+            number, title = m["number"], m["title"]
+            top = (F.length(title) <= P.TOP_TITLE) & valid_main_title(title, T.top_int(number))
+            sub = (F.length(title) <= P.SUB_TITLE) & (visual | T.first_upper(title))
+            ok = number.isNotNull() & (title != "") & ~title.rlike(P.FORBIDDEN_START) & ~body_fragment(title) & valid_number(number)
+            return F.when(ok & F.when(T.level(number) == 1, top).otherwise(sub), _heading("numbered", number, title, T.level(number)))
+
+        found = F.struct(number_of(text, P.NUMBERED).alias("number"), T.norm(F.regexp_extract(text, P.NUMBERED, 2)).alias("title"))
+        return T.let(found, decide)
 
     def number_only(self, text: Column) -> Column:
-        number = number_of(text, P.NUMBER_ONLY)
-        return F.when(number.isNotNull() & valid_number(number), _heading("number_only", number, F.lit(""), T.level(number)))
+        def decide(number: Column) -> Column:
+            return F.when(number.isNotNull() & valid_number(number), _heading("number_only", number, F.lit(""), T.level(number)))
+
+        return T.let(number_of(text, P.NUMBER_ONLY), decide)
 
     def named(self, text: Column, visual: Column) -> Column:
         ok = self.named_id(text).isNotNull() & visual & (F.length(text) <= P.NAMED_TITLE)
         return F.when(ok, _heading("named", F.lit(None).cast("string"), text, F.lit(1)))
 
     def heading(self, text: Column, visual: Column) -> Column:
-        text = T.norm(text)
-        barred = (text == "") | text.rlike(P.FORBIDDEN_START) | text.rlike(P.LEADER) | text.rlike(P.CAPTION)
-        found = F.coalesce(self.numbered(text, visual), self.number_only(text), self.named(text, visual))
-        return F.when(~barred, found).cast(HEADING)
+        def decide(t: Column) -> Column:
+            barred = (t == "") | t.rlike(P.FORBIDDEN_START) | t.rlike(P.LEADER) | t.rlike(P.CAPTION)
+            return F.when(~barred, F.coalesce(self.numbered(t, visual), self.number_only(t), self.named(t, visual)))
+
+        return T.let(T.norm(text), decide).cast(HEADING)
 
     def region(self, text: Column) -> Column:
         return F.when(text.rlike(P.TOC), "toc").when(text.rlike(P.REFERENCES), "references").when(text.rlike(P.APPENDICES), "appendices")
@@ -77,19 +87,23 @@ class ClinicalGuideline(Profile):
         return F.coalesce(*[F.when(title.rlike(p), F.lit(name)) for p, name in P.NAMED])
 
     def continuation(self, text: Column) -> Column:
-        text = T.norm(text)
-        low = F.lower(text)
-        may = (text != "") & ~text.rlike(P.FORBIDDEN_START) & ~text.rlike(P.LEADER) & ~text.rlike(P.CONTINUATION_STOP) & (F.length(text) <= P.CONTINUATION_LINE)
-        always = any_of(low.startswith(p) for p in P.CONTINUATION_STARTS) | (T.first_lower(text) & (F.length(text) < P.LOWER_LINE))
-        at_top = (F.length(text) < P.KEYWORD_LINE) & any_of(low.contains(w) for w in P.CONTINUATION_WORDS)
-        return F.struct(may.alias("may"), always.alias("always"), at_top.alias("at_top"), text.contains(")").alias("closes"))
+        def decide(t: Column) -> Column:
+            low = F.lower(t)
+            may = (t != "") & ~t.rlike(P.FORBIDDEN_START) & ~t.rlike(P.LEADER) & ~t.rlike(P.CONTINUATION_STOP) & (F.length(t) <= P.CONTINUATION_LINE)
+            always = any_of(low.startswith(p) for p in P.CONTINUATION_STARTS) | (T.first_lower(t) & (F.length(t) < P.LOWER_LINE))
+            at_top = (F.length(t) < P.KEYWORD_LINE) & any_of(low.contains(w) for w in P.CONTINUATION_WORDS)
+            return F.struct(may.alias("may"), always.alias("always"), at_top.alias("at_top"), t.contains(")").alias("closes"))
+
+        return T.let(T.norm(text), decide)
 
     def attaches(self, title: Column, visual: Column, number: Column, level: Column) -> Column:
-        text = T.norm(title)
-        barred = (text == "") | text.rlike(P.FORBIDDEN_START) | text.rlike(P.LEADER) | text.rlike(P.ATTACH_STOP) | body_fragment(text)
-        barred = barred | self.numbered(text, F.lit(True)).isNotNull() | self.number_only(text).isNotNull()
-        sub = (F.length(text) <= P.SUB_TITLE) & (visual | T.first_upper(text))
-        return F.coalesce(~barred & F.when(level == 1, valid_main_title(text, T.top_int(number))).otherwise(sub), F.lit(False))
+        def decide(t: Column) -> Column:
+            barred = (t == "") | t.rlike(P.FORBIDDEN_START) | t.rlike(P.LEADER) | t.rlike(P.ATTACH_STOP) | body_fragment(t)
+            barred = barred | self.numbered(t, F.lit(True)).isNotNull() | self.number_only(t).isNotNull()
+            sub = (F.length(t) <= P.SUB_TITLE) & (visual | T.first_upper(t))
+            return F.coalesce(~barred & F.when(level == 1, valid_main_title(t, T.top_int(number))).otherwise(sub), F.lit(False))
+
+        return T.let(T.norm(title), decide)
 
     def parts(self, text: Column) -> Column:
         whole = T.norm(text)

@@ -167,7 +167,7 @@ def registry(spark: SparkSession, path: str | None) -> DataFrame:
         for batch in batches:
             for content in batch["content"]:
                 cells = sheet_rows(content)
-                yield pd.DataFrame({"ord": range(len(cells)), "cells": cells})
+                yield pd.DataFrame({"ord": pd.Series(range(len(cells)), dtype="int32"), "cells": pd.Series(cells, dtype=object)})
 
     empty = spark.createDataFrame([], S.REGISTRY)
     if not path:
