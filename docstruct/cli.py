@@ -1,7 +1,9 @@
 """Command line: parse, report, validate and a small web form.
 
     python -m docstruct.cli INPUT [--profile cr] [--registry FILE.xlsx] [--out DIR] [--quiet] [--layout parquet|json]
-    python -m docstruct.cli --report [N] [head|spread] INPUT ...
+    python -m docstruct.cli INPUT --report [N] [head|spread] [--out DIR]
+    python -m docstruct.cli INPUT --validate
+    python -m docstruct.cli INPUT --legacy [--out DIR]
     python -m docstruct.cli --serve [PORT]
 
 INPUT is a PDF file or a folder of them, or with --layout a folder of layout relations. Exit code: 0, or 1 if a document
@@ -11,6 +13,7 @@ failed, or 2 if there is nothing to read or no such profile.
 from __future__ import annotations
 
 import argparse
+import datetime
 import html
 import os
 import sys
@@ -38,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--quiet", action="store_true")
     p.add_argument("--layout", default=None, choices=("parquet", "json"), help="INPUT holds layout relations of this format")
     p.add_argument("--report", nargs="*", default=None, metavar="N", help="quality report over N documents, head or spread")
+    p.add_argument("--validate", action="store_true", help="PASS or FAIL of each document: unique ordered numbers, coverage, whole titles")
+    p.add_argument("--legacy", action="store_true", help="the predecessor's flat sections and JSON")
     p.add_argument("--serve", nargs="?", type=int, const=5000, default=None, metavar="PORT")
     return p
 
@@ -122,6 +127,18 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if not args.input:
         print("no input", file=sys.stderr)
         return 2
+    if args.legacy:
+        try:
+            rows = files.legacy(spark, args.input, args.layout, datetime.datetime.now().isoformat(timespec="seconds")).json
+            if args.out:
+                sinks.write_files(rows, args.out)
+            else:
+                for r in rows.orderBy("source_file").toLocalIterator():
+                    print(r["json"])
+            return 0
+        except ValueError as e:
+            print(e, file=sys.stderr)
+            return 2
     choose = None
     if args.report is not None:
         n = int(next((x for x in args.report if x.isdigit()), 150))
@@ -135,8 +152,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(e, file=sys.stderr)
         return 2
     try:
+        if args.validate:
+            rows = Q.regression(found.quality).join(found.quality.select("doc_id", "file"), "doc_id").orderBy("file").collect()
+            print("\n".join(f"  [{'PASS' if r['passed'] else 'FAIL'}] {r['file']}" for r in rows))
+            return int(not all(r["passed"] for r in rows))
         if args.report is not None:
             print("\n".join(report(found)))
+            if args.out:
+                found.quality.write.mode("overwrite").json(f"{args.out}/quality")
             return 0
         if args.out:
             sinks.write_files(found.json, args.out)

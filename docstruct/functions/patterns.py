@@ -122,3 +122,25 @@ V1_ID = r"(?U)\bID[:\s]+(\d+)"
 DANGLING = (
     "в том", "к применению", "и противопоказания", "включая", "на основе", "в том числе", "и", "или", "к", "по", "при", "с", "для", "на", "о", "методов", "медицинские",
 )
+
+# --- messages -------------------------------------------------------------------------------------------------------
+MESSAGES = {
+    "W_SCAN": "PDF без текстового слоя (вероятно скан) — разделы и таблицы не извлечены; метаданные взяты только из реестра",
+    "W_JUNK": "отфильтровано %d полностраничных ложных детекций (векторный мусор, bbox вне страницы)",
+    "W_SMALL": "%d мелких/одностолбцовых детекций не сохранены как таблицы — их текст остался в прозе раздела",
+    "W_NO_ID": "ID не извлечён из имени файла/титула",
+    "W_NO_REGISTRY": "реестр недоступен — метаданные взяты из титульного листа PDF",
+    "W_NOT_FOUND": "КР '%s' не найдена в реестре — метаданные из титульного листа PDF",
+    "W_NO_TITLE": "название КР не извлечено",
+    "W_NO_ICD": "коды МКБ не извлечены",
+    "W_NO_SECTIONS": "не найдено ни одного раздела — проверьте структуру PDF / эвристики",
+    "W_LOWCOV": "низкое покрытие (%s%%) — текст мог уйти в исключения или не распознались заголовки",
+    "V1_NO_TITLE": "название КР не извлечено (эвристика не сработала)",
+    "V1_NO_YEAR": "год утверждения не извлечён",
+    "V1_NO_ICD": "коды МКБ-10 не извлечены",
+    "V1_SMALL": "%d мелких/одностолбцовых детекций не сохранены как таблицы — их текст остался в прозе раздела/приложения",
+    "V1_NO_SECTIONS": "не найдено ни одного раздела — проверьте структуру PDF / эвристики заголовков",
+    "V1_UNATTACHED": "%d таблиц(ы) не привязаны — нет разделов",
+    "V1_DROPPED": "%d таблиц(ы) вне разделов (оглавление/литература/приложения) — пропущены",
+    "V1_LOWCOV": "низкое покрытие разделами (%s%%) — основной текст мог уйти в исключения или не распознались заголовки",
+}

@@ -52,17 +52,23 @@ def warnings(texts: DataFrame, counters: DataFrame, metadata: DataFrame, stats:
     rows = texts.select("doc_id", (T.strip(F.coalesce("full_text", F.lit(""))) == "").alias("_scan"))
     rows = rows.join(counters, "doc_id", "left").join(metadata, "doc_id", "left").join(stats.select("doc_id", "sections_found", "coverage_percent"), "doc_id", "left")
     none = F.coalesce("probe", F.lit("")) == ""
-    found = [
-        ("W_SCAN", F.col("_scan"), F.lit("PDF без текстового слоя (вероятно скан) — разделы и таблицы не извлечены; метаданные взяты только из реестра")),
-        ("W_JUNK", F.col("junk") > 0, F.format_string("отфильтровано %d полностраничных ложных детекций (векторный мусор, bbox вне страницы)", F.col("junk"))),
-        ("W_SMALL", F.col("small") > 0, F.format_string("%d мелких/одностолбцовых детекций не сохранены как таблицы — их текст остался в прозе раздела", F.col("small"))),
-        ("W_NO_ID", none, F.lit("ID не извлечён из имени файла/титула")),
-        ("W_NO_REGISTRY", ~F.col("registry_known"), F.lit("реестр недоступен — метаданные взяты из титульного листа PDF")),
-        ("W_NOT_FOUND", F.col("registry_known") & ~none & ~F.col("registry_matched"), F.format_string("КР '%s' не найдена в реестре — метаданные из титульного листа PDF", F.col("probe"))),
-        ("W_NO_TITLE", F.coalesce("title", F.lit("")) == "", F.lit("название КР не извлечено")),
-        ("W_NO_ICD", F.coalesce(F.size("mkb_codes"), F.lit(0)) < 1, F.lit("коды МКБ не извлечены")),
-        ("W_NO_SECTIONS", F.col("sections_found") == 0, F.lit("не найдено ни одного раздела — проверьте структуру PDF / эвристики")),
-        ("W_LOWCOV", F.col("coverage_percent") < P.LOW_COVERAGE, F.concat(F.lit("низкое покрытие ("), F.col("coverage_percent").cast("string"), F.lit("%) — текст мог уйти в исключения или не распознались заголовки"))),
-    ]
+    when = {
+        "W_SCAN": (F.col("_scan"),),
+        "W_JUNK": (F.col("junk") > 0, "junk"),
+        "W_SMALL": (F.col("small") > 0, "small"),
+        "W_NO_ID": (none,),
+        "W_NO_REGISTRY": (~F.col("registry_known"),),
+        "W_NOT_FOUND": (F.col("registry_known") & ~none & ~F.col("registry_matched"), "probe"),
+        "W_NO_TITLE": (F.coalesce("title", F.lit("")) == "",),
+        "W_NO_ICD": (F.coalesce(F.size("mkb_codes"), F.lit(0)) < 1,),
+        "W_NO_SECTIONS": (F.col("sections_found") == 0,),
+        "W_LOWCOV": (F.col("coverage_percent") < P.LOW_COVERAGE, F.col("coverage_percent").cast("string")),
+    }
+    return rows.select("doc_id", raised(when))
+
+
+def raised(when: dict[str, tuple]) -> Column:
+    """ord, code and message of each code whose condition holds, as rows; when: code -> condition and the message's values."""
+    found = [(code, c, F.format_string(P.MESSAGES[code], *values) if values else F.lit(P.MESSAGES[code])) for code, (c, *values) in when.items()]
     each = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(i).alias("ord"), F.lit(code).alias("code"), m.alias("message"))) for i, (code, c, m) in enumerate(found)])
-    return rows.select("doc_id", F.explode(F.array_compact(each)).alias("w")).select("doc_id", "w.ord", "w.code", "w.message")
+    return F.inline(F.array_compact(each))

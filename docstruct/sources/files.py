@@ -88,17 +88,38 @@ def pdf_layout(spark: SparkSession, path: str, prefix: str = ""):
     return Layout.from_spans(documents, pages.drop("text"), files.mapInPandas(_spans, S.SPANS), files.mapInPandas(_detected, S.DETECTED))
 
 
+def _relation(spark: SparkSession, path: str, format: str, name: str, schema: str) -> DataFrame | None:
+    try:
+        return spark.read.format(format).schema(schema).load(f"{path}/{name}")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def legacy(spark: SparkSession, path: str, format: str | None = None, parsed_at: str = "1970-01-01T00:00:00"):
+    """What the predecessor's pipeline makes of PDF files, or of a layout of spans."""
+    from ..plans.legacy import LegacyResult
+
+    if format is None:
+        _layout_library()
+        found = spark.read.format("binaryFile").option("pathGlobFilter", PDF_GLOB).load(path).select("path", "content")
+        pages = found.mapInPandas(_pages, "doc_id string, page int, width double, height double, text string")
+        first = pages.where("page = 1").select("doc_id", F.col("text").alias("first_page_text"))
+        documents = found.select(F.col("path").alias("doc_id"), "path", F.element_at(F.split("path", "/"), -1).alias("source_file")).join(first, "doc_id", "left")
+        return LegacyResult(documents, pages.drop("text"), found.mapInPandas(_spans, S.SPANS), found.mapInPandas(_detected, S.DETECTED), parsed_at)
+    parts = [_relation(spark, path, format, n, s) for n, s in (("documents", S.DOCUMENTS), ("pages", S.PAGES), ("spans", S.SPANS), ("detected_tables", S.DETECTED))]
+    if any(p is None for p in parts[:3]):
+        raise ValueError(f"{path} holds no layout of spans: documents, pages and spans are needed")
+    return LegacyResult(*parts, parsed_at)
+
+
 def layout(spark: SparkSession, path: str, format: str = "parquet"):
     """A layout stored as relations: folders documents, pages, spans or lines, and detected_tables if there are any."""
     from ..plans.engine import Layout
 
     def read(name: str, schema: str) -> DataFrame | None:
-        try:
-            return spark.read.format(format).schema(schema).load(f"{path}/{name}")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return None
+        return _relation(spark, path, format, name, schema)
 
     documents, pages = read("documents", S.DOCUMENTS), read("pages", S.PAGES)
     lines, spans, detected = read("lines", S.LINES), read("spans", S.SPANS), read("detected_tables", S.DETECTED)

@@ -314,3 +314,21 @@ def test_predecessor_metadata(spark):
     a = got["a"]
     assert (a["document"], a["title"], a["approval_year"], a["revision_year"], a["icd_10"], a["age_category"], a["developers"]) == ("КР359", "Астма", 2021, 2023, ["C50", "E11.9"], "Дети", ["Союз врачей России", "Фонд"])
     assert (got["b"]["document"], got["b"]["title"], got["b"]["developers"]) == ("КР.v2", "Крупная строка", [])
+
+
+def test_predecessor_end_to_end(spark):
+    from docstruct.plans.legacy import LegacyResult
+
+    texts = [("Оглавление", 20.0), ("1 Раз .... 2", 12.0), ("1 Первый раздел", 20.0), ("Текст а, который намного длиннее.", 12.0), ("Ячейка", 12.0), ("Список литературы", 20.0), ("Иванов", 12.0)]
+    spans = [("d", 1, i, 0, 0, t, s, 0, "Serif", (10.0, 20.0 * i, 100.0, 20.0 * i + 10)) for i, (t, s) in enumerate(texts)]
+    documents = spark.createDataFrame([("d", "/d.pdf", "d.pdf", "Клинические рекомендации\nАстма\nID: 7"), ("e", "/e.pdf", "e.pdf", "")], S.DOCUMENTS)
+    pages = spark.createDataFrame([("d", 1, 600.0, 800.0), ("e", 1, 600.0, 800.0)], S.PAGES)
+    tables = [("d", 1, 0, (0.0, 79.0, 200.0, 95.0), FULL, "raw"), ("d", 1, 1, (0.0, 79.0, 9.0, 900.0), FULL, "x")]
+    found = LegacyResult(documents, pages, spark.createDataFrame(spans, S.SPANS), spark.createDataFrame(tables, S.DETECTED))
+    got = {r["doc_id"]: json.loads(r["json"]) for r in found.json.collect()}
+    d = got["d"]
+    assert list(d) == ["doc_id", "source_file", "metadata", "sections", "excluded", "parse_stats"] and d["doc_id"] == "КР7"
+    assert d["sections"] == [{"section_id": "1", "level": 1, "title": "Первый раздел", "text": "Текст а, который намного длиннее.", "page_start": 1, "page_end": 1, "tables": [{"table_id": "1_t1", "page": 1, "raw": True, "raw_text": "raw", "bbox": [0.0, 79.0, 200.0, 95.0]}]}]
+    assert d["excluded"] == {"toc_text": "1 Раз .... 2", "references_text": "Иванов", "appendices_text": ""}
+    assert d["metadata"]["title"] == "Астма" and d["metadata"]["approval_year"] is None and d["parse_stats"]["tables_found"] == 1
+    assert got["e"]["sections"] == [] and got["e"]["parse_stats"]["text_coverage_pct"] == 0.0 and len(got["e"]["parse_stats"]["warnings"]) == 5

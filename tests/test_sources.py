@@ -114,6 +114,10 @@ def test_command_line(spark, stored, tmp_path, capsys):
     assert cli.main([stored, "--layout", "parquet", "--report", "1", "head"], spark) == 0
     out = capsys.readouterr().out
     assert "КР1.pdf" in out and "КР2.pdf" not in out and "n_ok: 1" in out
+    assert cli.main([stored, "--layout", "parquet", "--validate"], spark) == 1
+    out = capsys.readouterr().out
+    assert "[FAIL] КР2.pdf" in out or "[PASS] КР2.pdf" in out
+    assert cli.main([stored, "--layout", "parquet", "--legacy"], spark) == 2  # lines only, no spans
     assert cli.main([], spark) == 2
     assert cli.main([str(tmp_path), "--layout", "parquet"], spark) == 2
     with pytest.raises(SystemExit):
