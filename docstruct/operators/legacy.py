@@ -122,14 +122,19 @@ def excluded(placed: DataFrame) -> DataFrame:
 def attach(sections: DataFrame, tables: DataFrame) -> DataFrame:
     """tables(doc_id, tbl_no, page0, top, ...) with section_id and table_id; without owner: nulls.
 
-    The owner is the last section before the first that begins after the table, if its text reaches the table's page.
+    The owner is the last section before the first that begins after the table, if its text reaches the table's page. The
+    largest beginning so far grows from section to section, so sections and tables merge into one order by it and the owner
+    is the last section before the table: an as-of join without pairs.
     """
-    s = sections.select("doc_id", "sec_no", "section_id", "page_end", F.col("page0").alias("_p"), F.col("y").alias("_y"))
-    later = (F.col("_p") > F.col("page0")) | ((F.col("_p") == F.col("page0")) & (F.col("_y") > F.col("top")))
-    pairs = tables.select("doc_id", "tbl_no", "page0", "top").join(s, "doc_id").withColumn("_later", later)
-    found = pairs.groupBy("doc_id", "tbl_no", "page0").agg(F.min(F.when(F.col("_later"), F.col("sec_no"))).alias("_stop"), F.collect_list(F.struct("sec_no", "section_id", "page_end")).alias("_all"))
-    before = F.filter("_all", lambda x: F.col("_stop").isNull() | (x["sec_no"] < F.col("_stop")))
-    found = found.withColumn("_owner", F.array_max(before)).where(F.col("_owner.page_end") >= F.col("page0") + 1)
+    so_far = Window.partitionBy("doc_id").orderBy("sec_no").rowsBetween(Window.unboundedPreceding, 0)
+    begins = F.max(F.struct(F.col("page0").cast("double").alias("page"), F.col("y").cast("double").alias("y"))).over(so_far)
+    number = tables.schema["tbl_no"].dataType.simpleString()
+    s = sections.select("doc_id", begins.alias("_at"), F.struct("sec_no", "section_id", "page_end").alias("_section"), F.lit(None).cast(number).alias("tbl_no"), F.lit(None).cast("int").alias("page0"))
+    at = F.struct(F.col("page0").cast("double").alias("page"), F.col("top").cast("double").alias("y"))
+    t = tables.select("doc_id", at.alias("_at"), F.lit(None).cast(s.schema["_section"].dataType).alias("_section"), "tbl_no", F.col("page0").cast("int").alias("page0"))
+    order = Window.partitionBy("doc_id").orderBy("_at", F.col("_section").isNull(), "_section.sec_no").rowsBetween(Window.unboundedPreceding, 0)
+    found = s.unionByName(t).withColumn("_owner", F.last("_section", ignorenulls=True).over(order)).where("tbl_no is not null")
+    found = found.where(F.col("_owner.page_end") >= F.col("page0") + 1)
     nth = F.row_number().over(Window.partitionBy("doc_id", "_owner.section_id").orderBy("tbl_no"))
     named = found.select("doc_id", "tbl_no", F.col("_owner.section_id").alias("section_id"), F.concat(F.col("_owner.section_id"), F.lit("_t"), nth.cast("string")).alias("table_id"))
     return tables.join(named, ["doc_id", "tbl_no"], "left")

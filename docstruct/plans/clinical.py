@@ -139,9 +139,9 @@ class ClinicalGuideline(Profile):
         page = self.title_page(texts)
         if registry is None:
             registry = texts.sparkSession.createDataFrame([], "ord int, id string, row map<string,string>")
-        known = registry.agg((F.count("*") > 0).alias("_known"))
+        known = F.lit(not registry.isEmpty())
         found = R.lookup(page.select("doc_id", F.col("id").alias("probe")), registry)
-        joined = page.join(found.select("doc_id", F.col("id").alias("_rid"), "row"), "doc_id", "left").crossJoin(F.broadcast(known))  # one row
+        joined = page.join(found.select("doc_id", F.col("id").alias("_rid"), "row"), "doc_id", "left")
         value = {k: R.value(F.col("row"), names) for k, names in P.ALIASES.items()}
         developer = F.regexp_replace(value["developer"], r"(?U)\.\s*,", ",")
         year = F.coalesce("year", value["year"], T.group(value["published"], P.PUBLICATION_YEAR))
@@ -153,7 +153,7 @@ class ClinicalGuideline(Profile):
             F.coalesce(value["age"], "age_group").alias("age_group"),
             F.when(value["codes"].isNotNull(), T.icd_codes(value["codes"])).otherwise(F.col("mkb_codes")).alias("mkb_codes"),
             developer.alias("developer"), value["approval"].alias("approval_status"), value["published"].alias("publication_date"),
-            value["application"].alias("application_status"), matched.alias("registry_matched"), F.col("_known").alias("registry_known"), F.col("id").alias("probe"),
+            value["application"].alias("application_status"), matched.alias("registry_matched"), known.alias("registry_known"), F.col("id").alias("probe"),
         )
 
 
