@@ -664,6 +664,76 @@ def legacy_developers(spark, sf):
     return rows.select("doc_id", F.array_join(V1.developers(F.col("rows"), F.lit(1)), "; ").alias("developers"))
 
 
+# --- more of the line-local operators ---------------------------------------------------------------------------------------
+@query("bold_span", "SELECT p_partkey AS id, (p_size & 16) <> 0 OR regexp_matches(lower(f), 'bold|black|heavy') AS bold FROM (SELECT *, p_name || ['-SemiBold', '', '-BLACK', '-Light', '-Heavy'][p_partkey % 5 + 1] AS f FROM part)")
+def bold_span(spark, sf):
+    ends = F.get(F.array(*map(F.lit, ("-SemiBold", "", "-BLACK", "-Light", "-Heavy"))), (F.col("p_partkey") % 5).cast("int"))
+    return A.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), L.bold_span(F.col("p_size"), F.concat("p_name", ends)).alias("bold"))
+
+
+_STARTS = ["или ", "и ", "в том числе", "показания", "медицинские показания", "противопоказания", "и противопоказания", "к применению", "применению", "методов", "метода", "диагностики", "лечения", "профилактики", "реабилитации", "инфекция", "инфекции", "заболевания", "заболеваний", "состояний", "состояния"]
+CONT = f"""{NL}, cn AS (SELECT id, visual, trim(regexp_replace(CASE id % 4 WHEN 0 THEN text WHEN 1 THEN lower(text) || ' (и показания)' WHEN 2 THEN ['и ', 'Методов ', 'Приложение ', 'Таблица'][id // 4 % 4 + 1] || text ELSE text || repeat(' длинная строка', (id % 30)::INT) END, '\\s+', ' ', 'g')) AS t FROM nl)"""
+
+
+def _continued(spark, sf) -> DataFrame:
+    i = F.col("id")
+    before = F.get(F.array(*map(F.lit, ("и ", "Методов ", "Приложение ", "Таблица"))), (F.floor(i / 4) % 4).cast("int"))
+    long = F.concat("text", F.repeat(F.lit(" длинная строка"), (i % 30).cast("int")))
+    text = F.when(i % 4 == 0, F.col("text")).when(i % 4 == 1, F.concat(F.lower("text"), F.lit(" (и показания)"))).when(i % 4 == 2, F.concat(before, F.col("text"))).otherwise(long)
+    return A.numbered_lines(A.table(spark, sf, "part")).withColumn("t", text)
+
+
+@query("title_continuation", f"""WITH {CONT} SELECT id, t <> '' AND NOT regexp_matches(t, '^[+\\-•▪□✓*−–]') AND NOT regexp_matches(t, '\\.{{3,}}|_{{3,}}') AND length(t) <= 320
+  AND NOT regexp_matches(t, '(?i)^(Таблица|Рисунок|Список литературы|Приложение|Ключевые слова|Список сокращений|Оглавление)($|[^\\p{{L}}\\p{{N}}_])') AS may,
+  ({' OR '.join(f"starts_with(lower(t), '{w}')" for w in _STARTS)}) OR (regexp_matches(t, '^\\p{{Ll}}') AND length(t) < 220) AS always,
+  length(t) < 260 AND (contains(lower(t), 'показания') OR contains(lower(t), 'применению') OR contains(lower(t), 'методов')) AS at_top, contains(t, ')') AS closes FROM cn""")
+def title_continuation(spark, sf):
+    return _continued(spark, sf).select("id", F.inline(F.array(ClinicalGuideline().continuation(F.col("t")))))
+
+
+_ATTACH = HEADS.replace("FROM nl)", "FROM nl UNION ALL SELECT id + 100000000, visual, ['Краткая информация', 'Диагностика ' || id, 'Лечение [3]', 'приложение А', 'Медицинская'][id % 5 + 1] FROM nl)", 1).replace("(visual OR regexp_matches", "(true OR regexp_matches")
+
+
+@query("title_attach", f"""WITH {_ATTACH} SELECT id, NOT (barred AND NOT regexp_matches(t, '(?i)^(рисунок|табл\\.|рис\\.)')) AND NOT regexp_matches(t, '(?i)^(таблица|рисунок|список литературы|приложение|оглавление)($|[^\\p{{L}}\\p{{N}}_])')
+  AND NOT regexp_matches(t, '\\[\\s*\\d') AND NOT regexp_matches(t, '\\(\\s*\\d+\\s*[А-СA-Cа-сa-c]\\s*\\)') AND NOT is_num AND NOT is_only
+  AND CASE WHEN id % 2 = 0 THEN CASE {_CASES.replace('low', 'lower(t)').replace('top IN', '(id % 7 + 1) IN')} ELSE false END ELSE length(t) <= 300 AND (visual OR regexp_matches(t, '^\\p{{Lu}}')) END AS attaches FROM t3""")
+def title_attach(spark, sf):
+    rows = A.numbered_lines(A.table(spark, sf, "part")).select("id", "text", "visual")
+    i = F.col("id")
+    titles = F.get(F.array(F.lit("Краткая информация"), F.concat(F.lit("Диагностика "), i.cast("string")), F.lit("Лечение [3]"), F.lit("приложение А"), F.lit("Медицинская")), (i % 5).cast("int"))
+    rows = rows.unionByName(rows.select((i + 100_000_000).alias("id"), titles.alias("text"), "visual"))
+    level = F.when(i % 2 == 0, 1).otherwise(2)
+    return rows.select("id", ClinicalGuideline().attaches(F.col("text"), F.col("visual"), (i % 7 + 1).cast("string"), level).alias("attaches"))
+
+
+@query("legacy_classify", f"""WITH {NL} SELECT id, CASE WHEN big AND num <> '' THEN 'num' WHEN big THEN 'named' WHEN bold AND NOT regexp_matches(text, '\\.{{4,}}') AND regexp_matches(text, '^\\d+\\.\\d+(?:\\.\\d+)?\\.?\\s+\\S') THEN 'num' END AS htype,
+  CASE WHEN (big AND num <> '') OR (NOT big AND bold AND NOT regexp_matches(text, '\\.{{4,}}') AND regexp_matches(text, '^\\d+\\.\\d+(?:\\.\\d+)?\\.?\\s+\\S')) THEN num END AS number,
+  CASE WHEN num <> '' THEN coalesce(nullif(trim(regexp_replace(text, '^\\d+(?:\\.\\d+){{0,2}}\\.?\\s*', '')), ''), text) ELSE text END AS title
+FROM (SELECT *, id % 3 = 0 AS big, id % 2 = 0 AS bold, regexp_extract(text, '^(\\d+(?:\\.\\d+){{0,2}})\\.?\\s+\\S', 1) AS num FROM nl)""")
+def legacy_classify(spark, sf):
+    i = F.col("id")
+    rows = A.numbered_lines(A.table(spark, sf, "part")).withColumn("h", V1.classify(F.col("text"), F.when(i % 3 == 0, 17.0).otherwise(12.0), i % 2 == 0, F.lit(P.DEFAULT_BODY)))
+    number = F.nullif(F.regexp_extract("text", P.V1_NUMBERED, 1), F.lit(""))
+    return rows.select("id", "h.htype", "h.number", V1.title_clean(number, F.col("text")).alias("title"))
+
+
+@query("output_path", "SELECT page_id, '/out/' || regexp_replace(list_last(string_split(url, '/')), '^(.*[^/])\\.[^./]*$', '\\1') || '.json' AS target FROM pages")
+def output_path(spark, sf):
+    from .sources import sinks
+
+    return A.table(spark, sf, "pages").select("page_id", sinks.target(F.col("url"), "/out").alias("target"))
+
+
+@query("title_page", """WITH t AS (SELECT doc_id, list_filter(list_transform(list_concat(string_split(text, chr(10))[1:2], ['КЛИНИЧЕСКИЕ РЕКОМЕНДАЦИИ', 'Год 2020', 'ID: ' || doc_id], string_split(text, chr(10))[3:]), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents),
+m AS (SELECT doc_id, l[list_position(list_transform(l, lambda x: contains(lower(x), 'клинические рекомендации')), true) + 1:][1:5] AS a FROM t)
+SELECT doc_id, list_filter(a, lambda x: length(x) > 5 AND NOT starts_with(lower(x), 'год') AND NOT starts_with(lower(x), 'id'))[1] AS title, doc_id::VARCHAR AS id FROM m""")
+def title_page(spark, sf):
+    rows = F.split("text", "\n", -1)
+    first = F.concat(F.slice(rows, 1, 2), F.array(F.lit("КЛИНИЧЕСКИЕ РЕКОМЕНДАЦИИ"), F.lit("Год 2020"), F.concat(F.lit("ID: "), F.col("doc_id").cast("string"))), F.slice(rows, 3, 1_000_000))
+    texts = A.table(spark, sf, "documents").select("doc_id", F.lit("файл.pdf").alias("source_file"), F.lit("").alias("full_text"), F.array_join(first, "\n").alias("first_page_text"))
+    return ClinicalGuideline().title_page(texts).select("doc_id", "title", "id")
+
+
 # --- end to end -----------------------------------------------------------------------------------------------------------
 def page_layout(pages: DataFrame):
     """The web pages as a layout: every heading, paragraph, bold run and title is a line; one page a document."""
