@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..sources.store import materialize, shared_dir
 
-__all__ = ["BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "materialize", "maybe_broadcast", "shared_dir", "small", "table"]
+__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "materialize", "maybe_broadcast", "shared_dir", "small", "table"]
 
 #: What separates words everywhere in this subpackage unless a docstring says otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Tables of at most this many rows (each of bounded width) may be broadcast.
+#: Tables of at most this many rows (each of bounded width) may be broadcast; of two numbers per row, so many.
 BROADCAST_ROWS = 20_000
+BROADCAST_PAIRS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType
 
-from .common import fresh, materialize, maybe_broadcast
+from .common import BROADCAST_PAIRS, fresh, materialize, maybe_broadcast
 from .components import components
 
 RADIUS = 3
@@ -263,7 +263,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     gone = materialize(placed.where(~own).select("_id", "_hash").distinct())
     again = not prints.groupBy("_id", "_hash").count().where("count > 1").join(gone, ["_id", "_hash"], "left_anti").isEmpty()
     i, h, own_hash = fresh(docs, "_i", "_h", "_text_hash")
-    few = maybe_broadcast(gone.select(F.col("_id").alias(i), F.col("_hash").alias(h)))
+    few = maybe_broadcast(gone.select(F.col("_id").alias(i), F.col("_hash").alias(h)), BROADCAST_PAIRS)
     marked = docs.withColumn(own_hash, F.xxhash64(text))
     kept = marked.join(few, F.col(doc_id).eqNullSafe(F.col(i)) & (F.col(own_hash) == F.col(h)), "left_anti")
     return (kept.dropDuplicates([doc_id, own_hash]) if again else kept).drop(own_hash)
