@@ -138,7 +138,7 @@ class Model:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
-    """A model of every language that docs name, from at most SAMPLE_DOCS documents of each, chosen by a hash of their key.
+    """A model of every language that docs name, from at most SAMPLE_DOCS documents of each, chosen by a hash of key and text.
 
     Rows without text or language teach nothing. The model grows with the number of languages, not with the documents.
     """
@@ -147,7 +147,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     if not counts:
         return Model({})
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, 1.2 * SAMPLE_DOCS / n) * (1 << 32)))])
-    lot = F.shiftrightunsigned(F.xxhash64(F.lit(2), "_key"), 32)
+    lot = F.shiftrightunsigned(F.xxhash64(F.lit(2), "_key", "_text"), 32)  # the text as well: many rows may share a key
     few = known.withColumn("_lot", lot).where((F.col("_lot") <= share[F.col("_lang")]) & (F.octet_length("_text") <= SAMPLE_BYTES))
     samples: dict[str, list] = {k: [] for k in counts}
     for r in few.select("_lang", "_lot", "_text").collect():
