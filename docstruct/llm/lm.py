@@ -1,7 +1,9 @@
 """Masked pseudo-likelihood scores by a bidirectional window network, trained in numpy.
 
 Every token of a text is predicted from SIDE tokens on either side, the token itself being masked: embeddings by place are
-added up, a tanh layer follows, and a softmax in two levels (class, token in class) gives the conditional probability. A
+added up, a tanh layer follows, and a softmax in two levels (class, token in class) gives the conditional probability of a
+slot. The most frequent tokens have slots of their own; the others share some, and in those the slot's probability is
+divided among its tokens by their counts in all documents, however many there are (one is kept for tokens not counted). A
 document's score is the sum of its tokens' conditional log-probabilities.
 
 The vocabulary is counted over all documents. Training goes over all documents too, each giving every STRIDE-th of its
@@ -17,7 +19,8 @@ import types
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from math import ceil, sqrt
+from dataclasses import dataclass
+from math import ceil, log, nan, sqrt
 
 import numpy as np
 import pandas as pd
@@ -27,6 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, materialize
+
 SIDE = 2
 #: Tokens known by name, and buckets that the others are hashed to. Together CLASSES * CLASSES.
 KNOWN, BUCKETS, CLASSES = 896, 128, 32
@@ -37,6 +42,8 @@ RATE = 0.1
 SEED = 3
 #: Chunks between spaces remembered by a worker; distinct tokens counted before they are passed on.
 MEMORY = 200_000
+#: Tokens of shared slots whose counts are sent to workers; those of rarer ones are joined.
+NEAR = 100_000
 #: Tokens scored at a time.
 BLOCK = 1 << 14
 
@@ -67,10 +74,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(counts)
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray]:
-    """The KNOWN most frequent tokens of all documents (ties by code point) and the counts of all SIZE slots."""
-    counted = docs.select(F.col(text).alias("_text")).mapInArrow(_count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "token").limit(KNOWN).collect()
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(token, n) of every token of all documents. Worth writing down if it is read more than once."""
+    return docs.select(F.col(text).alias("_text")).mapInArrow(_count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, text: str = "text", tokens: DataFrame | None = None) -> tuple[list[str], np.ndarray]:
+    """The KNOWN most frequent tokens of all documents (ties by code point) and the counts of all SIZE slots. tokens: counted(docs)."""
+    top = (counted(docs, text) if tokens is None else tokens).orderBy(F.desc("n"), "token").limit(KNOWN).collect()
     total = sum(r["n"] for r in top)
     named = [r["token"] for r in top]
     counts = np.ones(SIZE)
@@ -79,6 +90,48 @@ def vocabulary(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarr
     return named, counts
 
 
+def _hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), SEED)
+
+
+@dataclass
+class Shares:
+    """How the tokens of shared slots divide them: log of each slot's total, logs of the counts of up to NEAR tokens, and a table of the rarer ones.
+
+    The table has (hash, log_n) of the tokens that were counted twice or more; for those that were counted once, as for
+    those that were not, the log is 0.
+    """
+
+    totals: np.ndarray
+    near: dict[str, float]
+    far: DataFrame
+
+
+def shares(tokens: DataFrame, named: list[str]) -> Shares:
+    """Shares of all tokens but the named ones; tokens as of counted. The driver gets the near ones, and a row for each count that occurs."""
+    known = frozenset(named)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [(t, _hash(t), n) for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t not in known]
+            hashes = np.array([h for _, h, _ in kept], np.uint64)
+            slots = (hashes % BUCKETS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _, _ in kept], pa.string()), pa.array(hashes.view(np.int64)), pa.array(slots), pa.array([n for _, _, n in kept], pa.int64())], names=["token", "hash", "slot", "n"])
+
+    rest = materialize(tokens.select("token", "n").mapInArrow(run, "token string, hash long, slot int, n long"))
+    totals = np.ones(BUCKETS)
+    for r in rest.groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        totals[r["slot"]] += r["n"]
+    least, room = None, NEAR
+    for r in sorted(rest.where("n > 1").groupBy("n").count().collect(), reverse=True):
+        if (room := room - r["count"]) < 0:
+            break
+        least = r["n"]
+    near = {} if least is None else {r["token"]: log(r["n"]) for r in rest.where(F.col("n") >= least).select("token", "n").collect()}
+    few = rest.where("n > 1") if least is None else rest.where((F.col("n") > 1) & (F.col("n") < least))
+    return Shares(np.log(totals), near, few.groupBy("hash").agg(F.log(F.sum("n").cast("double")).alias("log_n")))
+
+
 #: Bits of a token's number, and tokens of a chunk that fit into one word with their count.
 _BITS, _PACKED = SIZE.bit_length(), 4
 
@@ -93,14 +146,14 @@ class _Chunks(dict):
     def tokens(self, chunk: str) -> list[int]:
         number = self.number
         return [
-            number[t] if t in number else KNOWN + xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), SEED) % BUCKETS for t in _TOKENS(chunk)
+            number[t] if t in number else KNOWN + _hash(t) % BUCKETS for t in _TOKENS(chunk)
         ]
 
     def __missing__(self, chunk: str) -> int:
         if chunk.isalpha():
             code = self.number.get(chunk)
             if code is None:
-                code = KNOWN + xxhash.xxh64_intdigest(chunk.encode(), SEED) % BUCKETS
+                code = KNOWN + _hash(chunk) % BUCKETS
             code = code << 3 | 1
             if len(chunk) < 64:
                 self[chunk] = code
@@ -115,11 +168,46 @@ class _Chunks(dict):
         return code
 
 
+class _Logs(dict):
+    """Chunk between spaces -> summed log counts of its tokens in shared slots; nan: some must be joined."""
+
+    def __init__(self, number: dict[str, int], near: dict[str, float]):
+        super().__init__()
+        self.number, self.near = number, near
+
+    def __missing__(self, chunk: str) -> float:
+        number, near = self.number, self.near
+        value = 0.0
+        for t in (chunk,) if chunk.isalpha() else _TOKENS(chunk):
+            if t not in number:
+                value += near.get(t, nan)
+        if len(chunk) < 64:
+            self[chunk] = value
+        return value
+
+
 class Tokens:
     """Token numbers of texts."""
 
-    def __init__(self, named: list[str]):
+    def __init__(self, named: list[str], totals: np.ndarray | None = None, near: dict[str, float] | None = None):
         self.chunks = _Chunks({t: i for i, t in enumerate(named)})
+        self.totals, self.logs = totals, _Logs(self.chunks.number, near or {})
+
+    def within(self, text: str | None, numbers: np.ndarray) -> tuple[float, np.ndarray]:
+        """Summed log shares of a text's tokens in their slots, and the hashes of those whose log counts are still to be added."""
+        if len(self.logs) > MEMORY:
+            self.logs.clear()
+        chunks = (text or "").lower().split()
+        logs = np.fromiter(map(self.logs.__getitem__, chunks), np.float64, len(chunks))
+        value = float(np.nansum(logs)) - float(self.totals[numbers[numbers >= KNOWN] - KNOWN].sum())
+        number, near, far = self.chunks.number, self.logs.near, []
+        for i in np.flatnonzero(np.isnan(logs)).tolist():
+            for t in (chunks[i],) if chunks[i].isalpha() else _TOKENS(chunks[i]):
+                if t in near:
+                    value += near[t]
+                elif t not in number:
+                    far.append(_hash(t))
+        return value, np.array(far, np.uint64).view(np.int64)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if len(self.chunks) > MEMORY:
@@ -284,24 +372,37 @@ def sums(w: dict, rows: list[np.ndarray]) -> np.ndarray:
 def _tokens(key: str, sent) -> Tokens:
     kept = sys.modules.setdefault("_docstruct_lm", types.ModuleType("_docstruct_lm"))
     if getattr(kept, "key", None) != key:
-        kept.key, kept.tokens = key, Tokens(sent.value)
+        kept.key, kept.tokens = key, Tokens(*sent.value)
     return kept.tokens
 
 
-def encode(docs: DataFrame, named: list[str], text: str = "text", out: str = "_tokens") -> DataFrame:
+def encode(docs: DataFrame, named: list[str], text: str = "text", out: str = "_tokens", share: Shares | None = None, rest: str = "_rest") -> DataFrame:
     """docs and the token numbers of each whole text, two bytes each. Null and blank texts: none.
 
-    Worth writing down before training and scoring, which read it several times.
-    A column named like out is replaced.
+    With share also a struct rest, from which score makes probabilities of tokens instead of slots; it has a number of the
+    row, so it must be written down before it is used. Worth writing down anyway before training and scoring, which read it
+    several times. Columns named like out and rest are replaced.
     """
-    sent, key = docs.sparkSession.sparkContext.broadcast(named), uuid.uuid4().hex
+    sent, key = docs.sparkSession.sparkContext.broadcast((named,) if share is None else (named, share.totals, share.near)), uuid.uuid4().hex
 
     @F.pandas_udf("binary")
     def numbers(texts: pd.Series) -> pd.Series:
         tokens = _tokens(key, sent)
         return pd.Series([tokens(t).astype("<u2").tobytes() for t in texts], dtype=object)
 
-    return docs.withColumn(out, numbers(F.col(text)))
+    @F.pandas_udf("tokens binary, within double, far array<long>")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        tokens = _tokens(key, sent)
+        coded = [tokens(t) for t in texts]
+        within = [tokens.within(t, c) for t, c in zip(texts, coded)]
+        return pd.DataFrame({"tokens": [c.astype("<u2").tobytes() for c in coded], "within": [w for w, _ in within], "far": [f for _, f in within]})
+
+    if share is None:
+        return docs.withColumn(out, numbers(F.col(text)))
+    (made,) = fresh(docs, "_made")
+    coded = docs.withColumn(made, both(F.col(text)))
+    struct = F.struct(F.monotonically_increasing_id().alias("row"), F.col(made)["within"].alias("within"), F.col(made)["far"].alias("far"))
+    return coded.withColumns({out: F.col(made)["tokens"], rest: struct}).drop(made)
 
 
 def _decode(values) -> list[np.ndarray]:
@@ -344,8 +445,11 @@ def train(encoded: DataFrame, counts: np.ndarray, tokens: str = "_tokens") -> di
     return w
 
 
-def score(encoded: DataFrame, weights: dict[str, np.ndarray], tokens: str = "_tokens", out: str = "_lm") -> DataFrame:
-    """encoded and struct out(n_tokens, log_prob) of each whole text; log_prob is a sum of natural logs, 0 without tokens."""
+def score(encoded: DataFrame, weights: dict[str, np.ndarray], tokens: str = "_tokens", out: str = "_lm", share: Shares | None = None, rest: str = "_rest") -> DataFrame:
+    """encoded and struct out(n_tokens, log_prob) of each whole text; log_prob is a sum of natural logs, 0 without tokens.
+
+    share: that which encoded was made with; without it the logs are those of the tokens' slots.
+    """
     sent = encoded.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("n_tokens long, log_prob double")
@@ -353,4 +457,12 @@ def score(encoded: DataFrame, weights: dict[str, np.ndarray], tokens: str = "_to
         rows = _decode(values)
         return pd.DataFrame({"n_tokens": [len(r) for r in rows], "log_prob": sums(sent.value, rows)})
 
-    return encoded.withColumn(out, pseudo(F.col(tokens)))
+    found = encoded.withColumn(out, pseudo(F.col(tokens)))
+    if share is None:
+        return found
+    row, more = fresh(found, "_row_number", "_more")
+    far = encoded.select(F.col(rest)["row"].alias(row), F.explode(F.col(rest)["far"]).alias("hash"))
+    far = far.join(share.far, "hash").groupBy(row).agg(F.sum("log_n").alias(more))
+    found = found.withColumn(row, F.col(rest)["row"]).join(far, row, "left")
+    log_prob = F.col(out)["log_prob"] + F.col(rest)["within"] + F.coalesce(more, F.lit(0.0))
+    return found.withColumn(out, F.struct(F.col(out)["n_tokens"].alias("n_tokens"), log_prob.alias("log_prob"))).drop(row, more)

@@ -24,9 +24,11 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    named, counts = lm.vocabulary(docs)
-    encoded = materialize(lm.encode(docs, named).drop("text"))
-    found = lm.score(encoded, lm.train(encoded, counts))
+    tokens = materialize(lm.counted(docs))
+    named, counts = lm.vocabulary(docs, tokens=tokens)
+    share = lm.shares(tokens, named)
+    encoded = materialize(lm.encode(docs, named, share=share).drop("text"))
+    found = lm.score(encoded, lm.train(encoded, counts), share=share)
     mean = F.when(F.col("_lm.n_tokens") > 0, F.col("_lm.log_prob") / F.col("_lm.n_tokens"))
     return found.select("doc_id", "_lm.n_tokens", "_lm.log_prob", mean.alias("mean_log_prob"))
 

@@ -77,3 +77,29 @@ def test_odd_rows(spark):
     assert got[4, "word " * 50_000]["n_tokens"] == 50_000
     assert all(v["log_prob"] <= 0 for v in got.values())
     assert score(none(spark)) == {}
+
+
+def test_tokens_that_share_a_slot_divide_it(spark, monkeypatch):
+    """Their probabilities are the slot's, shared by their counts in all documents, whether counts are sent or joined."""
+    monkeypatch.setattr(lm, "NEAR", 3)
+    common = [f"c{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}" for i in range(lm.KNOWN)]
+    rare = [f"rare{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(60)]
+    texts = [" ".join(common * 30)] + [" ".join(rare[i:] + [rare[i] + "!", "cakucaku"]) for i in range(20)]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    tokens = materialize(lm.counted(docs))
+    named, counts = lm.vocabulary(docs, tokens=tokens)
+    share = lm.shares(tokens, named)
+    assert 0 < len(share.near) <= 3 and share.far.count() > 0
+    other = docs.union(frame(spark, [(99, "never counted " + rare[5], None, None, None)]))
+    encoded = materialize(lm.encode(other, named, share=share))
+    w = lm.train(encoded, counts)
+    got = {r["doc_id"]: r["_lm"]["log_prob"] for r in lm.score(encoded, w, share=share).collect()}
+    slots = {r["doc_id"]: r["_lm"]["log_prob"] for r in lm.score(encoded, w).collect()}
+    n = {r["token"]: r["n"] for r in tokens.collect()}
+    slot = {t: lm._hash(t) % lm.BUCKETS for t in [*n, "never", "counted"] if t not in named}
+    total = np.ones(lm.BUCKETS)
+    for t in slot:
+        total[slot[t]] += n.get(t, 0)
+    for r in other.collect():
+        within = sum(np.log(n.get(t, 1) / total[slot[t]]) for t in lm._TOKENS(r["text"]) if t not in named)
+        assert abs(got[r["doc_id"]] - slots[r["doc_id"]] - within) < 1e-6
