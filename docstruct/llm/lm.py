@@ -6,8 +6,8 @@ slot. The most frequent tokens have slots of their own; the others share some, a
 divided among its tokens by their counts in all documents, however many there are (one is kept for tokens not counted). A
 document's score is the sum of its tokens' conditional log-probabilities.
 
-The vocabulary is counted over all documents. Training goes over all documents too, each giving every STRIDE-th of its
-windows: in each of ROUNDS rounds every partition starts from the shared weights, learns from its own documents and sends
+The vocabulary is counted over all documents. Training goes over all documents too, and over each of their
+windows once, every ROUNDS-th of a document in a round: in each of ROUNDS rounds every partition starts from the shared weights, learns from its own documents and sends
 back what it has come to; the mean, weighted by windows, is the next round's start. So what is gathered grows with the
 corpus, while the driver gets about the square root of the number of partitions in partial sums.
 """
@@ -36,7 +36,7 @@ SIDE = 2
 #: Tokens known by name, and buckets that the others are hashed to. Together CLASSES * CLASSES.
 KNOWN, BUCKETS, CLASSES = 896, 128, 32
 HIDDEN = 32
-ROUNDS, STRIDE = 2, 8
+ROUNDS = 2
 BATCH = 2048
 RATE = 0.1
 SEED = 3
@@ -261,7 +261,7 @@ def _hidden(w: dict, around: np.ndarray) -> np.ndarray:
 
 
 def _by_class(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    kind = tokens // (SIZE // CLASSES)
+    kind = (tokens // (SIZE // CLASSES)).astype(np.uint16)  # so narrow numbers are sorted by radix
     order = np.argsort(kind, kind="stable")
     cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -327,7 +327,7 @@ class Trainer:
             self._move(name, at, delta)
         self._move("b", ..., back.sum(0))
         for k in range(2 * SIDE):
-            order = np.argsort(around[:, k], kind="stable")
+            order = np.argsort(around[:, k].astype(np.uint16), kind="stable")
             ids = around[order, k]
             first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
             self._move("e", (k, ids[first]), np.add.reduceat(back[order], first, axis=0))
@@ -343,6 +343,14 @@ def _line(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return line, at
 
 
+def _due(rows: list[np.ndarray], round_: int) -> tuple[np.ndarray, np.ndarray]:
+    """The texts in a line, and where the tokens are whose windows a round learns from; each is due in one round."""
+    line, at = _line(rows)
+    sizes = np.array([len(r) for r in rows])
+    place = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return line, at[place % ROUNDS == round_]
+
+
 def _pieces(rows: list[np.ndarray]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """Numbers and tokens of rows, about BLOCK tokens at a time."""
     numbers: list[int] = []
@@ -424,8 +432,7 @@ def train(encoded: DataFrame, counts: np.ndarray, tokens: str = "_tokens") -> di
             trainer = Trainer(sent.value)
             for batch in batches:
                 for _, part in _pieces(_decode(batch.column(0).to_pylist())):
-                    line, at = _line(part)
-                    at = at[(at + round_ * (STRIDE // ROUNDS)) % STRIDE == 0]
+                    line, at = _due(part, round_)
                     at = np.random.default_rng(len(at)).permutation(at)
                     for i in range(0, len(at), BATCH):
                         trainer.step(line[at[i : i + BATCH, None] + _AROUND], line[at[i : i + BATCH]])

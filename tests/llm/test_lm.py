@@ -103,3 +103,11 @@ def test_tokens_that_share_a_slot_divide_it(spark, monkeypatch):
     for r in other.collect():
         within = sum(np.log(n.get(t, 1) / total[slot[t]]) for t in lm._TOKENS(r["text"]) if t not in named)
         assert abs(got[r["doc_id"]] - slots[r["doc_id"]] - within) < 1e-6
+
+
+def test_every_window_is_learned_from_once():
+    rows = [np.arange(n) + 10 * n for n in (1, 0, 2, 7, 1, 30)]
+    due = [lm._due(rows, r) for r in range(lm.ROUNDS)]
+    line, every = lm._line(rows)
+    assert sorted(np.concatenate([at for _, at in due]).tolist()) == every.tolist()
+    assert all((x == line).all() for x, _ in due)
