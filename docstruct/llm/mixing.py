@@ -1,6 +1,7 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks. DataFrame functions only.
 
-The mix has as many blocks of equal size as its words need. Blocks go to sources by highest quotients target / (2 k + 1),
+The mix has as many blocks of equal size as its words need. Sources that are small or that the mix takes as often as it may
+get their share in single words, by the same rule, so none is lost because a block is too large for it. The other blocks go to sources by highest quotients target / (2 k + 1),
 and each source's blocks go on to its shards (hash ranges of its documents) by the same rule, which makes an integer quota
 per shard. In a shard the documents lie on a line in seeded order, cut into blocks: the quota takes the whole line as often
 as it goes into it, and of what is left the blocks that a seeded permutation puts first. Every word of a document is taken
@@ -19,9 +20,10 @@ from .common import WORD, materialize, maybe_broadcast
 
 #: Times that the mix may take any word.
 REPEATS = 3
-#: Words per block at most; small mixes have 2**20 blocks or single words.
+#: Words per block at most; small mixes have BLOCKS blocks or single words.
 BLOCK = 1024
-#: Words per shard at least, and shards of all sources together (about) at most.
+BLOCKS = 1 << 20
+#: Words per shard at least (smaller sources get single words instead of blocks), and shards of all sources together (about) at most.
 SHARD = 1 << 16
 SHARDS = 1 << 16
 #: Weights of the sources by code point, repeating.
@@ -82,7 +84,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     """(id, source, size, source_size, target, taken) of every document of the mix; with carry also a struct row of all columns.
 
     size: words of the text (null: 0). Null is a source of its own. taken: words that the mix takes of the document,
-    repeats counted, at most REPEATS times its size; the sum over a source differs from its target by about a block.
+    repeats counted, at most REPEATS times its size; the sum over a source differs from its target by about a block, or by
+    about a word if the source has at most SHARD words or the target is REPEATS times its size.
     Repeated rows count as documents each. A source without words has target 0. An empty table gives an empty one.
     Reruns agree: order and choice depend on the seed, the ids and the texts only.
     """
@@ -91,10 +94,14 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     sizes = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     every = Window.partitionBy(F.lit(1))
     sources = targets(sizes).withColumn("_total", F.sum("source_size").over(every))
-    sources = sources.withColumn("_block", F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.col("_total") / (1 << 20)))).cast("long"))
-    sources = sources.withColumn("_blocks", F.round(F.col("_total") / F.col("_block")).cast("long"))
-    sources = sources.withColumn("_most", F.floor(F.col("source_size") * REPEATS / F.col("_block")).cast("long"))
-    sources = apportion(sources, [], [F.col("_source").asc_nulls_last()], "target", "_quota", "_blocks", "_most")
+    sources = sources.withColumn("_block", F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.col("_total") / BLOCKS))).cast("long"))
+    alone = (F.col("source_size") <= SHARD) | (F.col("target") >= F.col("source_size") * REPEATS)
+    sources = sources.withColumn("_unit", F.when(alone, F.lit(1).cast("long")).otherwise(F.col("_block")))
+    sources = sources.withColumn("_singles", F.coalesce(F.round(F.sum(F.when(alone, F.col("target"))).over(every)), F.lit(0)).cast("long"))
+    sources = sources.withColumn("_alone", alone)
+    sources = sources.withColumn("_units", F.when(F.col("_alone"), F.col("_singles")).otherwise(F.round((F.col("_total") - F.col("_singles")) / F.col("_block"))).cast("long"))
+    sources = sources.withColumn("_most", F.ceil(F.col("source_size") * REPEATS / F.col("_unit")).cast("long"))
+    sources = apportion(sources, ["_alone"], [F.col("_source").asc_nulls_last()], "target", "_quota", "_units", "_most")
     least = F.greatest(F.lit(SHARD), F.floor(F.col("_total") / SHARDS))
     sources = materialize(sources.withColumn("_shards", F.greatest(F.lit(1), F.floor(F.col("source_size") / least)).cast("long")))
 
@@ -105,23 +112,23 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
         return joined.withColumn("_shard", F.pmod("_lot", F.col("_shards"))).drop("_s", "_shards")
 
     shards = placed(sized).groupBy("_source", "_shard").agg(F.sum("_size").alias("_words"))
-    about = sources.select(F.col("_source").alias("_s"), "source_size", "target", "_block", "_quota")
+    about = sources.select(F.col("_source").alias("_s"), "source_size", "target", "_block", "_unit", "_quota")
     shards = shards.join(maybe_broadcast(about), F.col("_source").eqNullSafe(F.col("_s"))).drop("_s")
-    shards = shards.withColumn("_most", F.floor(F.col("_words") * REPEATS / F.col("_block")).cast("long"))
+    shards = shards.withColumn("_most", F.ceil(F.col("_words") * REPEATS / F.col("_unit")).cast("long"))
     shards = materialize(apportion(shards, ["_source"], [F.col("_shard")], "_words", "_seats", "_quota", "_most").drop("_quota", "_most"))
 
     line = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64("_lot", F.lit(SEED)), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     rows = docs.select(*narrow, F.struct("*").alias("_row")) if carry else sized
     laid = placed(rows).withColumn("_end", F.sum("_size").over(line)).withColumn("_start", F.col("_end") - F.col("_size"))
-    keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_seats")
+    keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_unit", "_seats")
     laid = laid.join(keys, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
     return laid.select(F.col("_id").alias(doc_id), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"), *([F.col("_row").alias("row")] if carry else []))
 
 
 def _taken() -> Column:
-    """Words taken of the document on [_start, _end) of a line of _words, of which _seats blocks are due."""
+    """Words taken of the document on [_start, _end) of a line of _words, of which _seats times _unit words are due."""
     block = F.col("_block")
-    due = F.col("_seats") * block
+    due = F.least(F.col("_seats") * F.col("_unit"), F.col("_words") * REPEATS)
     passes = F.when(F.col("_words") > 0, F.floor(due / F.col("_words"))).otherwise(0).cast("long")
     rest = due - passes * F.col("_words")
     full = F.floor(F.col("_words") / block).cast("long")  # blocks; what follows them on the line is the short last one

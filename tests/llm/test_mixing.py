@@ -65,6 +65,20 @@ def test_several_shards(spark, docs, monkeypatch):
     assert all(abs(taken[s] - want[s]) <= 40 for s in want)
 
 
+def test_small_and_capped_sources_keep_their_share_in_large_mixes(spark, monkeypatch):
+    """Blocks far larger than some sources: these, and one of several shards that is taken as often as it may be, get their targets."""
+    monkeypatch.setattr(mixing, "BLOCKS", 16)
+    monkeypatch.setattr(mixing, "SHARD", 1500)
+    rows = [(i, " ".join(words(100, i)), None, "big", None) for i in range(400)]
+    rows += [(1000 + i, " ".join(words(77, i)), None, "capped", None) for i in range(41)]
+    rows += [(2000 + i, " ".join(words(3 + i, i)), None, f"tiny{i:02}", None) for i in range(30)] + [(3000, " ".join(words(1000, 1)), None, "small", None)]
+    got = mixing.plan(frame(spark, rows)).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.sum("size").alias("size")).collect()
+    assert len(got) == 33 and sum(r["target"] == 3 * r["size"] for r in got) >= 31
+    for r in got:
+        assert abs(r["taken"] - r["target"]) <= (1024 if r["source"] == "big" else 2), r
+        assert r["taken"] <= 3 * r["size"]
+
+
 def test_seats_are_those_of_the_highest_quotients(spark):
     for votes, total, cap in (([50, 30, 20, 7, 1], 13, [99] * 5), ([3, 3, 3], 7, [9] * 3), ([100, 1, 1, 1, 1], 20, [99] * 5), ([10, 20, 30], 12, [1, 99, 99]), ([5, 0, 0], 4, [9, 9, 9]), ([1, 1], 0, [9, 9]), ([1000, 999, 1], 50, [99] * 3)):
         rows = spark.createDataFrame([(i, float(v), c, total) for i, (v, c) in enumerate(zip(votes, cap))], "i int, votes double, cap long, total long")
