@@ -1,15 +1,18 @@
 """Licence scans: Dice coefficient over word bigrams against licence templates. DataFrame functions only.
 
-Looked at are a text's lines, its paragraphs (between blank lines) and the text as a whole. Of each the words are taken in
+Looked at are a text's lines, its paragraphs (between blank lines) and the text as a whole, and for licences that none of
+these names also all runs of consecutive lines, so wordings that span several lines or paragraphs of a longer text. Of each the words are taken in
 lower case without signs, and its word bigrams, repeats counted, are held against the templates'. Dice can't reach the
 threshold unless the two sizes are within a factor of (2 - threshold) / threshold of each other: all other templates are
 pruned, and segments too short or too long for any template go before their bigrams are made. Nor can it unless a share of
-threshold / (2 - threshold) of the segment's bigrams stand in some template, which drops nearly all the rest.
+threshold / (2 - threshold) of the segment's bigrams stand in some template, which drops nearly all the rest. Runs are made
+only of texts that hold the same share of a template's bigrams.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +48,19 @@ TEMPLATES = [
 ]
 
 
+_DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_TWO = next(t for n, t in TEMPLATES if n == "BSD-2-Clause")
+#: Whole bodies with their disclaimers.
+BODIES = [
+    ("BSD-2-Clause", f"{_TWO} {_DISCLAIMER}"),
+    ("BSD-3-Clause", f"{_TWO} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. {_DISCLAIMER}"),
+]
+
+
 def _bigrams(text: str) -> Counter:
     """Bigrams of a template, whose words are ASCII."""
     words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
@@ -68,10 +84,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     """(doc_id, licence, similarity, segments): licences that a whole text names or holds, best likeness and number of segments.
 
     A segment counts for the likeliest template (ties: the first by name) if their Dice coefficient is at least threshold.
+    So does a run of lines, unless it meets one of another licence that has more of its bigrams in common; runs count as one segment together, and only
+    where no segment names the licence.
     Null and empty texts and segments of fewer than two words name none. Rows that repeat an id count together. Documents
     without a licence have no row.
     """
-    sets = [(name, _bigrams(t)) for name, t in (TEMPLATES if templates is None else templates)]
+    sets = [(name, _bigrams(t)) for name, t in (TEMPLATES + BODIES if templates is None else templates)]
     sets = sorted((x for x in sets if x[1]), key=lambda x: (x[0], sorted(x[1].items())))
     bound = (2 - threshold) / threshold
     least, most = min((b.total() for _, b in sets), default=1) / bound, max((b.total() for _, b in sets), default=0) * bound
@@ -100,8 +118,59 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     each = F.array(*[F.struct(dice(own).alias("dice"), F.lit(-i).alias("at")) for i, (_, own) in enumerate(sets)]).cast(f"array<{kind}>")
     found = rows.select("_id", _once(F.array_max(F.filter(each, lambda x: x["dice"] >= threshold))).alias("_best")).where("_best is not null")
     names = F.array(*[F.lit(n) for n, _ in sets], F.lit(""))
-    found = found.select("_id", F.get(names, -F.col("_best.at")).alias("licence"), F.col("_best.dice").alias("dice"))
-    return found.groupBy(F.col("_id").alias(doc_id), "licence").agg(F.max("dice").alias("similarity"), F.count("*").alias("segments"))
+    found = found.select("_id", F.get(names, -F.col("_best.at")).alias("licence"), F.col("_best.dice").alias("dice"), F.lit(1).alias("segment"))
+    if sets:
+        found = found.unionByName(_runs(docs.select(F.col(doc_id).alias("_id"), norm.alias("_norm")), sets, threshold))
+    dice, n = F.max(F.when(F.col("segment") == 1, F.col("dice"))), F.sum("segment")
+    return found.groupBy(F.col("_id").alias(doc_id), "licence").agg(F.coalesce(dice, F.max("dice")).alias("similarity"), F.greatest(n, F.lit(1)).cast("long").alias("segments"))
+
+
+def _runs(rows: DataFrame, sets: list[tuple[str, Counter]], threshold: float) -> DataFrame:
+    """(_id, licence, dice, segment = 0) of the runs of lines of normalised texts (_id, _norm) that name a licence."""
+    bound = (2 - threshold) / threshold
+    every = sorted({x for _, b in sets for x in b})
+    about = rows.sparkSession.createDataFrame([(i, n, b.total(), dict(b)) for i, (n, b) in enumerate(sets)], "t int, licence string, total int, own map<string, int>")
+
+    rows = rows.where(F.col("_norm").contains("\n")).select(F.monotonically_increasing_id().alias("_row"), "_id", _once(F.col("_norm")).alias("_norm"))
+    rows = rows.select("_row", "_id", "_norm", _once(F.split(F.trim(F.translate("_norm", "\n", " ")), " +")).alias("_words"))
+    size = F.size("_words") - 1
+    pairs = F.zip_with(F.slice("_words", 1, size), F.slice("_words", 2, size), lambda a, b: F.concat_ws(" ", a, b))
+    rows = rows.where(size > 0).select("_row", "_id", "_norm", _once(pairs).alias("_pairs"))
+    known = F.filter(F.transform("_pairs", lambda x, i: F.when(x.isin(every), F.struct(i.alias("at"), x.alias("b")))), lambda x: x.isNotNull())
+    rows = rows.select("_row", "_id", "_norm", _once(known).alias("_known"))
+    rows = rows.select("_row", "_id", "_norm", "_known", _once(F.array_distinct("_known.b")).alias("_kinds")).where(F.size("_kinds") > 0)
+    # distinct bigrams of the template that a text must hold at least
+    enough = [F.when(F.size(F.array_intersect("_kinds", F.split(F.lit("|".join(sorted(b))), r"\|"))) >= ceil(b.total() / bound - 1e-9) - (b.total() - len(b)), F.lit(i)) for i, (_, b) in enumerate(sets)]
+    rows = rows.select("_row", "_id", "_norm", "_known", F.explode(F.array_compact(F.array(*enough))).alias("t"))
+
+    # words before each line and up to its end; lines without words aside
+    sizes = F.transform(F.split("_norm", "\n", -1), lambda x: F.size(F.filter(F.split(x, " +"), lambda w: w != "")))
+    rows = rows.join(F.broadcast(about), "t").select("*", _once(F.filter(sizes, lambda n: n > 0)).alias("_sizes"))
+    ends = F.aggregate("_sizes", F.array().cast("array<int>"), lambda done, n: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + n)))
+    rows = rows.select("_row", "_id", "t", "licence", "total", "own", "_known", "_sizes", _once(ends).alias("_ends"))
+    mine = F.filter("_known", lambda x: F.map_contains_key("own", x["b"]))
+    rows = rows.select("_row", "_id", "t", "licence", "total", "own", "_sizes", "_ends", _once(mine).alias("_mine"))
+    # a bigram counts in a run if so many of its like as the template has don't come before it there
+    before = F.transform("_mine", lambda x: F.struct(x["at"].alias("at"), F.coalesce(F.try_element_at(F.filter("_mine", lambda y: (y["b"] == x["b"]) & (y["at"] < x["at"])), -F.try_element_at("own", x["b"]))["at"], F.lit(-1)).alias("before")))
+    rows = rows.select("_row", "_id", "t", "licence", "total", "_sizes", "_ends", _once(before).alias("_mine"))
+
+    rows = rows.select("*", F.posexplode("_ends").alias("_i", "_first")).withColumn("_from", F.col("_first") - F.get("_sizes", F.col("_i")))
+    # a run of which the first line has nothing of the template is no better than the run without it
+    touches = F.exists("_mine", lambda x: (x["at"] >= F.col("_from")) & (x["at"] < F.col("_first")))
+    within = lambda e: (e >= F.col("_first")) & (e - F.col("_from") - 1).between(F.col("total") / bound - 1e-9, F.col("total") * bound + 1e-9)
+    rows = rows.where(touches).select("_row", "_id", "t", "licence", "total", "_mine", "_from", F.explode(F.filter("_ends", within)).alias("_to"))
+    shared = F.size(F.filter("_mine", lambda x: (x["at"] >= F.col("_from")) & (x["at"] < F.col("_to") - 1) & (x["before"] < F.col("_from"))))
+    rows = rows.select("_row", "_id", "t", "licence", "_from", "_to", "total", shared.cast("int").alias("shared"))
+    rows = rows.withColumn("dice", 2.0 * F.col("shared") / (F.col("_to") - F.col("_from") - 1 + F.col("total"))).where(F.col("dice") >= threshold)
+    run = F.struct("shared", "dice", "t", "licence", F.col("_from").alias("from"), F.col("_to").alias("to"))
+    meets = lambda x, y: (y["from"] < x["to"]) & (x["from"] < y["to"])
+    # of each template's runs that meet the likeliest; of those of several licences the ones that share most with their template
+    less = lambda x: F.exists("_all", lambda y: meets(x, y) & (y["t"] == x["t"]) & (y["dice"] > x["dice"]))
+    more = lambda x, y: (y["shared"] > x["shared"]) | ((y["shared"] == x["shared"]) & ((y["dice"] > x["dice"]) | ((y["dice"] == x["dice"]) & (y["t"] < x["t"]))))
+    beaten = lambda x: F.exists("_all", lambda y: meets(x, y) & (y["licence"] != x["licence"]) & more(x, y))
+    rows = rows.groupBy("_row", "_id").agg(F.collect_list(run).alias("_all")).select("_id", _once(F.filter("_all", lambda x: ~less(x))).alias("_all"))
+    rows = rows.select("_id", F.explode(F.filter("_all", lambda x: ~beaten(x))).alias("run"))
+    return rows.select("_id", F.col("run.licence").alias("licence"), F.col("run.dice").alias("dice"), F.lit(0).alias("segment"))
 
 
 def duckdb_sql() -> str:

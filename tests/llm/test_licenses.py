@@ -33,3 +33,15 @@ def test_odd_rows(spark):
     assert li.scan(odd(spark)).count() == 0
     assert li.scan(none(spark)).count() == 0
     assert li.scan(odd(spark), templates=[]).count() == 0
+
+
+def test_licences_over_several_paragraphs_of_a_longer_text(spark):
+    mit = next(t for n, t in li.TEMPLATES if n == "MIT" and len(t) > 200)
+    mit = mit.replace("subject to the following conditions: ", "subject to the following conditions:\n\n").replace("portions of the Software. ", "portions of the Software.\n\n")
+    bsd = {n: t.replace(" 1. ", "\n\n1. ").replace(" 2. ", "\n\n2. ").replace(" 3. ", "\n\n3. ").replace(" THIS SOFTWARE", "\n\nTHIS SOFTWARE") for n, t in li.BODIES}
+    gpl = next(t for n, t in li.TEMPLATES if n == "GPL-3.0" and "program" in t).replace(" the terms", "\nthe terms").replace(" either version", "\neither version")
+    prose = "\n".join("It was the best of times in the house of the software makers and no one knew" for _ in range(60))
+    bodies = {1: ("MIT", mit), 2: ("BSD-2-Clause", bsd["BSD-2-Clause"]), 3: ("BSD-3-Clause", bsd["BSD-3-Clause"]), 4: ("GPL-3.0", gpl)}
+    rows = [(i, f"{prose}\n\n{t}\n\n{prose}") for i, (_, t) in bodies.items()] + [(9, prose)]
+    found = li.scan(frame(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found)) == [(i, n, 1.0, 1) for i, (n, _) in bodies.items()]
