@@ -44,7 +44,7 @@ AGREE, RECALL = 0.848, 0.99
 BLOCKS = (11, 11, 11, 11, 10, 10)
 #: A bucket of more members is dealt out as pairs of chunks of about this size.
 BUCKET = 8_192
-#: Shingles hashed at a time, which bounds the memory that a long text takes.
+#: Shingles hashed (wide: spread to bits) at a time, which bounds the memory that a long text takes.
 CHUNK = 1 << 16
 
 _LOWER = bytes(range(256)).lower()
@@ -71,21 +71,21 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
 def wide(text: str | None) -> bytes:
-    """WIDE_BITS bits of SimHash; null or no words: zeros."""
+    """WIDE_BITS bits of SimHash of the set of shingles, each counted once; null or no words: zeros."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     n = len(words)
     if not n:
         return bytes(WIDE_BITS // 8)
+    runs = map(b" ".join, zip(*(words[i:] for i in range(WIDE_SHINGLE)))) if n >= WIDE_SHINGLE else [b" ".join(words)]
+    every = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, runs)), np.uint64).reshape(-1, 2)
+    every = every[np.unique(every[:, 0], return_index=True)[1]]
     total = np.zeros(WIDE_BITS, np.int64)
-    shingles = 0
-    for at in range(0, max(1, n - WIDE_SHINGLE + 1), CHUNK // 4):
-        part = words[at : at + CHUNK // 4 + WIDE_SHINGLE - 1]
-        runs = map(b" ".join, zip(*(part[i:] for i in range(WIDE_SHINGLE)))) if n >= WIDE_SHINGLE else [b" ".join(part)]
-        first = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, runs)), np.uint64).reshape(-1, 2)
+    shingles = len(every)
+    for at in range(0, shingles, CHUNK // 4):
+        first = every[at : at + CHUNK // 4]
         second = first * _ODD  # the other half, from the first
         second = (second ^ (second >> np.uint64(32))) * _ODD[::-1]
         bits = np.unpackbits(np.concatenate([first, second ^ (second >> np.uint64(29))], axis=1).view(np.uint8), axis=1)
-        shingles += len(bits)
         total += bits.sum(0, dtype=np.int32)
     return np.packbits(total * 2 > shingles).tobytes()
 

@@ -102,6 +102,15 @@ def test_wide_fingerprints_follow_the_similarity():
         assert not (similar >= 0.85 and apart > simhash.WIDE_RADIUS) and not (similar < 0.5 and apart <= simhash.WIDE_RADIUS)
 
 
+def test_repeated_lines_count_once(spark):
+    """Different documents that share a much repeated line stay; copies that repeat a line differently are one."""
+    line = " ".join(words(14, 999))
+    own = [" ".join(words(300, 500 + i)) for i in range(12)]
+    rows = [(i, f"{t} {' '.join([line] * 20)}", None, None, None) for i, t in enumerate(own)]
+    rows += [(100 + i, f"{t} {' '.join([line] * 60)}", None, None, None) for i, t in enumerate(own)]
+    assert {r["doc_id"] for r in simhash.representatives(frame(spark, rows)).collect()} == set(range(12))
+
+
 def test_odd_rows(spark):
     rows = odd(spark)
     got = simhash.groups(rows).collect()
