@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -74,10 +75,49 @@ def test_blocks_do_not_matter(planted, monkeypatch):
     index = d.Index(coded(items))
     whole = sorted(index.search(coded(docs)))
     monkeypatch.setattr(d, "BLOCK", 300)
-    monkeypatch.setattr(d, "WINDOWS", 7)
+    monkeypatch.setattr(d, "CELLS", 50)
     assert sorted(index.search(coded(docs))) == whole
 
 
+def test_items_of_every_length():
+    """Exact for items of one to four words, and for longer ones up to ten times a piece's length with all edits they may have."""
+    r = random.Random(8)
+    vocabulary = words(2000, 8)
+    coded = lambda xs: [[w.encode() for w in x] for x in xs]
+    short = [[r.choice(vocabulary) for _ in range(1 + i % 4)] for i in range(40)] + [["of"], ["of", "of"], []]
+    docs = [[r.choice(vocabulary) for _ in range(r.randint(0, 60))] for _ in range(150)] + [["of"] * 5_000, short[3], []]
+    found = {(t, i): e for t, i, _, e in d.Index(coded(short)).search(coded(docs))}
+    assert found == {(t, i): 0 for t, doc in enumerate(docs) for i, item in enumerate(short) if item and any(doc[j : j + len(item)] == item for j in range(len(doc)))}
+    for size in (5, 9, 24, 48, 49, 120, 400):
+        items = [[r.choice(vocabulary) for _ in range(size)] for _ in range(100 if size < 100 else 30)]
+        around = [docs[j] + mutated(item, d.allowed(size), r, vocabulary) + docs[j + 20] for j, item in enumerate(items)]
+        got = {(t, i) for t, i, _, _ in d.Index(coded(items)).search(coded(around))}
+        assert sum((i, i) in got for i in range(len(items))) >= 0.97 * len(items)
+
+
+def test_common_runs_stay_cheap():
+    """20,000 items with one opening, equal items, and a block of their opening: linear work, exact results."""
+    r = random.Random(9)
+    coded = lambda xs: [[w.encode() for w in x] for x in xs]
+    vocabulary = [f"w{i}" for i in range(5_000)]
+    opening = "which of the following".split()
+    items = [opening + [r.choice(vocabulary) for _ in range(8 + i % 8)] for i in range(20_000)] + [opening] * 3
+    block = [w for _ in range(10_000) for w in (*opening, r.choice(vocabulary))]
+    block[30_000:30_000] = items[77]
+    index = d.Index(coded(items))
+    began = time.time()
+    found = index.search(coded([block, opening * 20_000]))
+    assert {(t, i) for t, i, _, _ in found} == {(0, 77), *((t, 20_000 + k) for t in (0, 1) for k in range(3))}
+    assert time.time() - began < 60
+
+
+def test_scripts_without_spaces():
+    item = "什么是光合作用的主要产物以及它在植物中的作用"
+    index = d.Index([d.words(item), d.words("氧气")])
+    found = index.search([d.words(f"前文很长。{item}，后文"), d.words("没有"), d.words("有氧气吗")])
+    assert sorted((t, i) for t, i, _, _ in found) == [(0, 0), (2, 1)]
+
+
 def test_case_punctuation_and_boundaries(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     rows = [(1, "Alpha, BETA gamma; delta (epsilon) zeta-eta theta iota kappa.", None, None, None), (2, "beta gamma delta epsilon zeta eta theta iota kappa", None, None, None), (3, "alpha beta gamma", None, None, None), (4, item[:28], None, None, None), (5, item[28:], None, None, None)]
