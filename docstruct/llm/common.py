@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import materialize, shared_dir
 
-__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "materialize", "maybe_broadcast", "shared_dir", "small", "table"]
+__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "lot", "materialize", "maybe_broadcast", "part", "sampled", "shared_dir", "small", "table"]
 
 #: What separates words everywhere in this subpackage unless a docstring says otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,3 +45,39 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 def crc_mod(column, n: int):
     """crc32 of the value as text, modulo n; null values give null."""
     return F.crc32(column.cast("string").cast("binary")) % n
+
+
+def lot(seed: int, *columns: str) -> Column:
+    """A number of 63 bits that the values of columns draw."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)
+
+
+def part(share: float) -> int:
+    """The number that such a share of all lots don't exceed."""
+    return min((1 << 63) - 1, int(share * (1 << 63)))
+
+
+def sampled(rows: DataFrame, sizes: dict, n: int, most_bytes: int) -> dict:
+    """kind -> texts of the n rows(_kind, _lot, _text) of the lowest lots, in that order; most_bytes bounds the sum of their UTF-8 bytes over all kinds.
+
+    sizes: distinct lots of each kind, about, by which most rows are passed over before any sorting. Rows of equal lots are one, so neither a
+    repeated row nor a repeated key adds to what comes to the driver. Which texts are drawn does not depend on their length;
+    a kind's share of the bytes ends its draw after the text that reaches it, so every kind has a text.
+    """
+    if not sizes:
+        return {}
+    each = max(1, most_bytes // len(sizes))
+    share = F.create_map(*[F.lit(x) for k, size in sizes.items() for x in (k, part((1.5 * n + 64) / max(1, size)))])
+    drawn = rows.where(F.col("_lot") <= share[F.col("_kind")])
+    order = Window.partitionBy("_kind").orderBy("_lot")
+    bytes_ = drawn.groupBy("_kind", "_lot").agg(F.max(F.octet_length("_text")).alias("_bytes"))
+    placed = bytes_.withColumn("_n", F.row_number().over(order)).withColumn("_upto", F.sum("_bytes").over(order))
+    ends = placed.where((F.col("_n") <= n) & (F.col("_upto") - F.col("_bytes") < each)).groupBy("_kind").agg(F.max("_lot").alias("_end")).collect()
+    if not ends:
+        return {}
+    end = F.create_map(*[F.lit(x) for r in ends for x in (r["_kind"], r["_end"])])
+    found = drawn.where(F.col("_lot") <= end[F.col("_kind")]).groupBy("_kind", "_lot").agg(F.max("_text").alias("_text")).collect()
+    out: dict = {}
+    for r in sorted(found, key=lambda r: r["_lot"]):
+        out.setdefault(r["_kind"], []).append(r["_text"])
+    return out

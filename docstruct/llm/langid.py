@@ -16,14 +16,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import lot, sampled
+
 ORDER = 3
 #: Contexts of two bytes and more are kept if all languages together saw them so often.
 LEAST = 3
-#: Documents learned from per language at most, and the longest (UTF-8 bytes) among them.
+#: Documents learned from per language at most, and their UTF-8 bytes in all languages together.
 SAMPLE_DOCS = 800
-SAMPLE_BYTES = 100_000
-#: Bytes scored at a time.
-BLOCK = 1 << 19
+SAMPLE_BYTES = 64_000_000
+#: Languages told apart at most; code lengths kept at most (with more languages, longer contexts are kept only if seen more often).
+LANGUAGES = 2_000
+CELLS = 1 << 27
+#: Bytes scored at a time, for so many languages; with more, fewer.
+BLOCK, AT_ONCE = 1 << 19, 8
 UNKNOWN = "und"
 
 _START = b"\n" * ORDER
@@ -55,13 +60,19 @@ class Model:
         tables: list[np.ndarray] = []
         ids = np.zeros(1, np.int32)
         total = 0
+        self.least: list[int] = []
         for k in range(ORDER + 1):
             counts = [np.unique(grams(s, k), return_counts=True) for s in coded]
             if k:
                 contexts = np.concatenate([g // a for g, _ in counts] or [np.empty(0, np.int64)])
                 weight = np.concatenate([c for _, c in counts] or [np.empty(0, np.int64)])
                 names, where = np.unique(contexts, return_inverse=True)
-                names = names[np.bincount(where, weight, minlength=len(names)) >= (LEAST if k > 1 else 1)]
+                times = np.bincount(where, weight, minlength=len(names))
+                least = LEAST if k > 1 else 1
+                if (room := max(a, CELLS // (a * max(1, len(self.langs))) - total)) < np.count_nonzero(times >= least):
+                    least = int(np.sort(times)[-room]) + 1
+                self.least.append(least)
+                names = names[times >= least]
             else:
                 names = np.zeros(1, np.int64)
             # each starts from what its context without the first symbol says
@@ -76,7 +87,8 @@ class Model:
                 rows[:] = lengths
             for lang, (g, c) in enumerate(counts):
                 at = np.searchsorted(names, g // a)
-                ok = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == g // a)
+                ok = at < len(names)
+                ok[ok] = names[at[ok]] == (g // a)[ok]
                 dense = np.zeros((len(names), a), np.float32)
                 dense[at[ok], (g % a)[ok]] = c[ok]
                 n, d = dense.sum(1), (dense > 0).sum(1)
@@ -104,15 +116,16 @@ class Model:
     def lengths(self, texts: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (rows) in each language (columns)."""
         out = np.zeros((len(texts), len(self.langs)))
+        block = max(1, BLOCK * AT_ONCE // max(AT_ONCE, len(self.langs)))
         group: list[int] = []
         size = 0
         for i, t in enumerate(texts):
-            if len(t) > BLOCK:
-                for at in range(0, len(t), BLOCK):
+            if len(t) > block:
+                for at in range(0, len(t), block):
                     before = t[max(0, at - ORDER) : at].rjust(ORDER, b"\n")
-                    out[i] += self._sums([before + t[at : at + BLOCK]])[0]
+                    out[i] += self._sums([before + t[at : at + block]])[0]
                 continue
-            if size + len(t) > BLOCK:
+            if size + len(t) > block:
                 out[group] = self._sums([_START + texts[j] for j in group])
                 group, size = [], 0
             if t:
@@ -140,19 +153,16 @@ class Model:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model:
     """A model of every language that docs name, from at most SAMPLE_DOCS documents of each, chosen by a hash of key and text.
 
-    Rows without text or language teach nothing. The model grows with the number of languages, not with the documents.
+    Rows without text or language teach nothing, rows that repeat key and text teach once. The model grows with the number
+    of languages, not with the documents; more than LANGUAGES are an error.
     """
-    known = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).where("_text is not null and _lang is not null")
-    counts = {r["_lang"]: r["count"] for r in known.groupBy("_lang").count().collect()}
-    if not counts:
-        return Model({})
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(min(1.0, 1.2 * SAMPLE_DOCS / n) * (1 << 32)))])
-    lot = F.shiftrightunsigned(F.xxhash64(F.lit(2), "_key", "_text"), 32)  # the text as well: many rows may share a key
-    few = known.withColumn("_lot", lot).where((F.col("_lot") <= share[F.col("_lang")]) & (F.octet_length("_text") <= SAMPLE_BYTES))
-    samples: dict[str, list] = {k: [] for k in counts}
-    for r in few.select("_lang", "_lot", "_text").collect():
-        samples[r["_lang"]].append((r["_lot"], r["_text"].encode("utf-8", "surrogatepass")))
-    return Model({k: [t for _, t in sorted(v)[:SAMPLE_DOCS]] for k, v in samples.items() if v})
+    known = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_kind")).where("_text is not null and _kind is not null")
+    known = known.withColumn("_lot", lot(2, "_key", "_text"))
+    counts = {r["_kind"]: r["n"] for r in known.groupBy("_kind").agg(F.approx_count_distinct("_lot").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages are named; a column of names of languages is needed")
+    drawn = sampled(known, counts, SAMPLE_DOCS, SAMPLE_BYTES)
+    return Model({k: [t.encode("utf-8", "surrogatepass") for t in texts] for k, texts in drawn.items()})
 
 
 _LETTER = regex.compile(r"\p{L}").search

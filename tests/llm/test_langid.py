@@ -80,3 +80,36 @@ def test_odd_rows(spark):
     assert all(0 <= v["score"] <= 1 for v in out.values())
     assert langid.predict(none(spark), langid.train(none(spark))).count() == 0
     assert {r["_lang"]["lang_pred"] for r in langid.predict(rows, langid.Model({})).collect()} == {langid.UNKNOWN}
+
+
+@pytest.mark.parametrize("samples", [{"de": ["der hund und die katze"]}, {"x": ["abc def ghi"], "y": ["abc def ghi"]}, {"x": ["a"], "y": ["b"]}, {"x": [""]}])
+def test_little_to_learn_from(spark, samples):
+    rows = [(i, t, lang, None, None) for lang, texts in samples.items() for i, t in enumerate(texts)]
+    model = langid.train(frame(spark, rows))
+    assert model.langs == sorted(samples)
+    coded = {k: [t.encode() for t in v] for k, v in samples.items()}
+    for text in (b"abc", b"der hund", b"zz"):
+        assert np.allclose(model.lengths([text])[0], [brute(coded, lang, text) for lang in model.langs], rtol=1e-4)
+
+
+def test_a_language_of_long_texts_and_a_repeated_key(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 10)
+    en, de = words(300, 1), words(300, 2)
+    rows = [(i, " ".join(words(40_000, i, en)), "en", None, None) for i in range(2)] + [(9, " ".join(words(50, 7, de)), "de", None, None)] * 3_000
+    model = langid.train(frame(spark, rows))
+    assert model.langs == ["de", "en"]
+    found = langid.predict(frame(spark, [(1, " ".join(words(30, 8, en)), None, None, None), (2, " ".join(words(50, 7, de)[:30]), None, None, None)]), model)
+    assert {r["doc_id"]: r["_lang"]["lang_pred"] for r in found.collect()} == {1: "en", 2: "de"}
+
+
+def test_many_languages_fit_by_dropping_rare_contexts(monkeypatch):
+    samples = {f"l{i:02}": [" ".join(words(200, 50 + i)).encode()] for i in range(30)}
+    whole = langid.Model(samples)
+    monkeypatch.setattr(langid, "CELLS", whole.table.size // 4)
+    less = langid.Model(samples)
+    assert less.table.size <= whole.table.size // 3 and max(less.least) > langid.LEAST
+    texts = [" ".join(words(100, 200 + i, words(200, 50 + i))).encode() for i in range(30)]
+    assert (less.lengths(texts).argmin(1) == np.arange(30)).all()
+    found = less.lengths(texts)
+    monkeypatch.setattr(langid, "BLOCK", 400)
+    assert np.allclose(less.lengths(texts), found)
