@@ -39,8 +39,8 @@ def test_against_brute_force(spark, steps):
     weights = quality.train(steps[0], spark.read.parquet(f"{SF}/labels.parquet"))
 
     def good(text):
-        slots = quality.features(text, {})
-        return (weights[slots].astype(float).sum() * quality.SCALE / len(slots) if len(slots) else 0) + weights[-1] >= 0
+        at, values = quality.vector(quality.features(text, {}))
+        return weights[at].astype(float) @ values + weights[-1] >= 0
 
     kept = [r for r in rows if good(r["text"])]
     assert sorted(ids(steps[1])) == [r["doc_id"] for r in kept]
@@ -92,6 +92,12 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
     assert cp.STAGES[-1][1](spark, none(spark), str(tmp_path)).count() == 0
 
 
+def test_without_languages_or_labels_all_stay(spark, tmp_path):
+    frame(spark, [], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = frame(spark, [(i, f"some text of number {i}", None, "s", 1) for i in range(5)])
+    assert cp.quality_stage(spark, docs, str(tmp_path)).count() == cp.language_stage(spark, docs, str(tmp_path)).count() == 5
+
+
 def test_queries_are_registered():
     import __spark_entry__ as e
 
