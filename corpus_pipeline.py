@@ -24,9 +24,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that docs name: those without letters, and those that no language explains, go."""
+    """Documents in one of the languages that docs name: those without letters, and those that no language explains, go.
+
+    If docs name no language there is nothing to tell by, and all stay.
+    """
+    model = langid.train(docs)
+    if not model.langs:
+        return docs
     (out,) = fresh(docs, "_found")
-    found = langid.predict(docs, langid.train(docs), out=out)
+    found = langid.predict(docs, model, out=out)
     said = F.col(out)
     return found.where((said["lang_pred"] != langid.UNKNOWN) & (said["score"] >= LANGUAGE_SCORE) & (said["bits_per_byte"] <= LANGUAGE_BITS)).drop(out)
 
