@@ -53,7 +53,7 @@ def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), "page_id")
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")), "_key", out="page_id")
     return found.withColumn("block_bytes", F.octet_length("block").cast("long"))
 
 
