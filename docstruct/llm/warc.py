@@ -29,7 +29,7 @@ HEADERS = "HTTP/1.1 200 OK\nContent-Type: text/html; charset=utf-8"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122's name space of URLs
 
 #: What ends an open tag or comment at the end of a page, so that no pattern looks for an end that isn't there, tag by tag.
-_END = ">-->"
+_END = "-->"
 _DROP = regex.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|\Z)", regex.S | regex.I)
 _TAG = regex.compile(r"<(?:/?(?P<name>[a-z][^\s/>]*)|[!/?])[^>]*>", regex.I)
 _OPEN = regex.compile(r"<(html|a)\b([^>]*)>|<title\b[^>]*>([^<]*(?:<(?!/title\b)[^<]*)*)", regex.I)
