@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.store import materialize, shared_dir
 
-__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "WORD", "crc_mod", "fresh", "lot", "materialize", "maybe_broadcast", "part", "sampled", "shared_dir", "small", "table"]
+__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "HOT", "WORD", "crc_mod", "fresh", "lot", "materialize", "maybe_broadcast", "part", "sampled", "shared_dir", "small", "spread_join", "table"]
 
 #: What separates words everywhere in this subpackage unless a docstring says otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Tables of at most this many rows (each of bounded width) may be broadcast; of two numbers per row, so many.
 BROADCAST_ROWS = 20_000
 BROADCAST_PAIRS = 500_000
+#: Rows of one key that a task may get in a join; the rows of others are dealt out.
+HOT = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +33,25 @@ def maybe_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if small(df, rows) else df
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: list[str], how: str = "inner", hot: int | None = None) -> DataFrame:
+    """left.join(right, key, how), right having a row per key: rows of left that share a key with more than hot others are dealt out by hash of by.
+
+    The row of right is copied for each share of such a key, of which there are few. left is counted, so it should be a
+    written table.
+    """
+    hot = HOT if hot is None else hot
+    if left.count() <= hot:
+        return left.join(right, key, how)
+    heavy = materialize(left.groupBy(key).count().where(F.col("count") > hot).select(key, F.ceil(F.col("count") / hot).cast("int").alias("_shares")))
+    if heavy.isEmpty():
+        return left.join(right, key, how)
+    heavy = maybe_broadcast(heavy, BROADCAST_PAIRS)
+    one = F.coalesce("_shares", F.lit(1))
+    dealt = left.join(heavy, key, "left").withColumn("_share", F.pmod(F.xxhash64(*by), one).cast("int")).drop("_shares")
+    copied = right.join(heavy, key, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), one - 1))).drop("_shares")
+    return dealt.join(copied, [key, "_share"], how).drop("_share")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """names, changed where df has columns called so."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, spread_join
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -18,7 +18,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
     pairs = edges.unionByName(turned) if large else edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = pairs.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = pairs.join(least, "a")
+    joined = spread_join(pairs, least, "a", ["b"])  # a hub has as many neighbours as its component has nodes
     if large:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

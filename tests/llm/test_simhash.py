@@ -72,7 +72,7 @@ def test_links_join_what_is_connected():
     prints = r.integers(0, 1 << 64, (300, 1), dtype=np.uint64)
     prints[100:200] = prints[:100] ^ np.uint64(0b101)
     keys = np.sort(r.integers(0, 4, 300))
-    pairs = simhash.linked(keys, prints, 3)
+    pairs = simhash.linked(keys, prints, simhash.pivot_distances(prints, *simhash.NARROW_PIVOTS), 3)
     root = closed(list(zip(keys.tolist(), prints[:, 0].tolist())), lambda a, b: a[0] == b[0] and (a[1] ^ b[1]).bit_count() <= 3)
     mine = list(range(300))
     for a, b in pairs.tolist():
@@ -81,6 +81,60 @@ def test_links_join_what_is_connected():
     assert mine == root
 
 
+def test_pivots_bound_the_distance_and_prune():
+    r = np.random.default_rng(5)
+    for words_, pivots, radius, left in ((1, simhash.NARROW_PIVOTS, simhash.RADIUS, 0.01), (4, simhash.WIDE_PIVOTS, simhash.WIDE_RADIUS, 0.7)):
+        x = r.integers(0, 1 << 64, (4_000, words_), dtype=np.uint64)
+        flips = r.random((4_000, words_ * 64)) < r.random((4_000, 1)) * 0.5
+        y = x ^ np.packbits(flips, axis=1).view(np.uint64)
+        a, b = (simhash.pivot_distances(z, *pivots) for z in (x, y))
+        assert (simhash._bound(a, b) <= simhash._apart(x, y)).all()
+        assert (simhash._bound(a, np.roll(a, 1, axis=0)) <= radius).mean() < left
+
+
+def test_tables_do_not_depend_on_the_number_of_documents():
+    assert {simhash.samples(n).shape for n in (0, 1, 10_000, 1 << 18, 1 << 22)} == {simhash.samples(1).shape}
+    assert simhash.samples(1 << 30).shape[0] < 400
+
+
+def test_recall_at_the_stated_similarity():
+    """Texts of 60 to 600 words with a copy of similarity 0.8 to 0.82: within the radius, and met in a table."""
+
+    def sets(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    r = random.Random(6)
+    places = simhash.samples(1)
+    bits = lambda w: np.unpackbits(np.frombuffer(simhash.wide(" ".join(w)), np.uint8))
+    n = near_ = met = far = 0
+    for seed in range(300):
+        base = words(r.randint(60, 600), seed)
+        other = list(base)
+        while (similar := len(sets(base) & sets(other)) / len(sets(base) | sets(other))) > 0.82:
+            other[r.randrange(len(other))] = f"edit{r.random()}"
+        if similar < 0.8:
+            continue
+        x, y = bits(base), bits(other)
+        n += 1
+        near_ += np.count_nonzero(x != y) <= simhash.WIDE_RADIUS
+        met += np.count_nonzero(x != y) <= simhash.WIDE_RADIUS and (x[places] == y[places]).all(axis=1).any()
+        half = base[: len(base) // 3] + words(2 * len(base) // 3, -seed - 1)
+        far += np.count_nonzero(x != bits(half)) <= simhash.WIDE_RADIUS
+    assert n > 100 and near_ >= 0.96 * n and met >= 0.95 * n and not far
+
+
+def test_hot_keys_are_dealt_out(spark, texts, monkeypatch):
+    """One text in half of all rows, and a component of most fingerprints: shares of them give the same result."""
+    from docstruct.llm import common
+
+    rows = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts + texts[:1] * 60)])
+    want = sorted(map(tuple, simhash.groups(rows).select("doc_id", "component").collect()))
+    kept = sorted(r["doc_id"] for r in simhash.representatives(rows).collect())
+    monkeypatch.setattr(common, "HOT", 2)
+    assert sorted(map(tuple, simhash.groups(rows).select("doc_id", "component").collect())) == want
+    assert sorted(r["doc_id"] for r in simhash.representatives(rows).collect()) == kept
+
+
 def test_representatives_keep_one_of_each_group(spark):
     base = [" ".join(words(300, 100 + i)) for i in range(30)]
     copies = [near(base[i], 1 + i % 3, i) for i in range(10)]
