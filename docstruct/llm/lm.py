@@ -6,10 +6,12 @@ slot. The most frequent tokens have slots of their own; the others share some, a
 divided among its tokens by their counts in all documents, however many there are (one is kept for tokens not counted). A
 document's score is the sum of its tokens' conditional log-probabilities.
 
-The vocabulary is counted over all documents. Training goes over all documents too, and over each of their
-windows once, every ROUNDS-th of a document in a round: in each of ROUNDS rounds every partition starts from the shared weights, learns from its own documents and sends
-back what it has come to; the mean, weighted by windows, is the next round's start. So what is gathered grows with the
-corpus, while the driver gets about the square root of the number of partitions in partial sums.
+The vocabulary is counted over all documents. Training goes over all documents too, and over each of their windows once,
+every ROUNDS-th of a document in a round. Documents are dealt to learners by the hash of their tokens, about LEARNER tokens
+each (copies of a document in turn), and every learner goes through its documents in the order of that hash, so weights and
+scores do not depend on how the input is partitioned. In each of ROUNDS rounds the learners start from the shared weights;
+the mean of what they come to, weighted by windows, is the next round's start. The mean is made in a tree, FAN weights at a
+time, so neither a task nor the driver ever gets more. What is gathered grows with the corpus.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log, nan, sqrt
+from math import ceil, log, nan
 
 import numpy as np
 import pandas as pd
@@ -37,6 +39,8 @@ SIDE = 2
 KNOWN, BUCKETS, CLASSES = 896, 128, 32
 HIDDEN = 32
 ROUNDS = 2
+#: Tokens per learner, about, learners at most (with more tokens they get more each), and weights that are added up at a time.
+LEARNER, LEARNERS, FAN = 3_000_000, 100_000, 16
 BATCH = 2048
 RATE = 0.1
 SEED = 3
@@ -417,38 +421,81 @@ def _decode(values) -> list[np.ndarray]:
     return [np.frombuffer(v, "<u2").astype(np.int64) for v in values]
 
 
+def _learners(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(_learner, _order, _copies, _tokens) of all texts with tokens, and the number of learners.
+
+    Equal texts are one row for each learner that gets some of them; so they are spread over all, however many there are.
+    """
+    each = rows.where(F.octet_length("_tokens") > 0).groupBy("_tokens").agg(F.count("*").alias("_n")).withColumn("_order", F.xxhash64("_tokens"))
+    each = materialize(each)
+    total = each.agg(F.sum(F.octet_length("_tokens") / 2 * F.col("_n"))).first()[0]
+    n = max(1, min(LEARNERS, ceil((total or 0) / LEARNER)))
+    share = F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("_n"), F.lit(n)) - 1)).alias("_i")
+    dealt = each.select("_tokens", "_order", "_n", share)
+    return dealt.select(
+        F.pmod(F.col("_order") + F.col("_i"), F.lit(n)).cast("int").alias("_learner"), "_order",
+        (F.floor(F.col("_n") / n) + (F.col("_i") < F.col("_n") % n).cast("long")).cast("long").alias("_copies"), "_tokens",
+    ), n
+
+
+def _added(parts: DataFrame, n: int) -> DataFrame:
+    """(at, windows, weights) of parts 0 to n - 1, added up FAN at a time until there are FAN at most."""
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("at")
+        windows = int(rows["windows"].sum())
+        summed = sum(np.frombuffer(x, np.float32).astype(np.float64) * (k / windows) for x, k in zip(rows["weights"], rows["windows"]))
+        return pd.DataFrame({"at": [int(rows["at"].iloc[0]) // FAN], "windows": [windows], "weights": [summed.astype(np.float32).tobytes()]})
+
+    while n > FAN:
+        parts = parts.groupBy(F.floor(F.col("at") / FAN)).applyInPandas(add, "at int, windows long, weights binary")
+        n = ceil(n / FAN)
+    return parts
+
+
 def train(encoded: DataFrame, counts: np.ndarray, tokens: str = "_tokens") -> dict[str, np.ndarray]:
-    """Weights learned from all documents. Without any token: the starting weights."""
+    """Weights learned from all documents, whatever their order and partitions. Without any token: the starting weights."""
     sc = encoded.sparkSession.sparkContext
     w = start(counts)
-    rows = encoded.select(F.col(tokens).alias("_tokens"))
-    groups = max(1, ceil(sqrt(rows.rdd.getNumPartitions())))
+    dealt, n = _learners(encoded.select(F.col(tokens).alias("_tokens")))
+    # a learner's rows come to one task, in order; a task may have several learners
+    placed = dealt.repartition(min(3 * n, LEARNERS), "_learner").sortWithinPartitions("_learner", "_order", "_tokens")
     for round_ in range(ROUNDS):
         sent = sc.broadcast(w)
 
         def learn(batches: Iterator[pa.RecordBatch], sent=sent, round_=round_) -> Iterator[pa.RecordBatch]:
-            from pyspark import TaskContext
+            trainer, learner, lines, size = None, None, [], 0
+
+            def step() -> None:
+                line, at = _due(lines, round_)
+                at = np.random.default_rng(len(at)).permutation(at)
+                for i in range(0, len(at), BATCH):
+                    trainer.step(line[at[i : i + BATCH, None] + _AROUND], line[at[i : i + BATCH]])
+
+            def done() -> pa.RecordBatch:
+                if lines:
+                    step()
+                return pa.RecordBatch.from_arrays([pa.array([learner], pa.int32()), pa.array([trainer.windows], pa.int64()), pa.array([pack(trainer.w).tobytes()], pa.binary())], names=["at", "windows", "weights"])
 
-            trainer = Trainer(sent.value)
             for batch in batches:
-                for _, part in _pieces(_decode(batch.column(0).to_pylist())):
-                    line, at = _due(part, round_)
-                    at = np.random.default_rng(len(at)).permutation(at)
-                    for i in range(0, len(at), BATCH):
-                        trainer.step(line[at[i : i + BATCH, None] + _AROUND], line[at[i : i + BATCH]])
-            if trainer.windows:
-                group = TaskContext.get().partitionId() % groups
-                yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([trainer.windows], pa.int64()), pa.array([pack(trainer.w).tobytes()], pa.binary())], names=["part", "windows", "weights"])
-
-        def total(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-            summed = sum(np.frombuffer(x, np.float32).astype(np.float64) * n for x, n in zip(rows["weights"], rows["windows"]))
-            n = int(rows["windows"].sum())
-            return pd.DataFrame({"windows": [n], "weights": [(summed / n).astype(np.float32).tobytes()]})
-
-        parts = rows.mapInArrow(learn, "part int, windows long, weights binary").groupBy("part").applyInPandas(total, "windows long, weights binary").collect()
+                for k, copies, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _decode(batch.column(2).to_pylist())):
+                    if k != learner:
+                        if trainer is not None:
+                            yield done()
+                        trainer, learner, lines, size = Trainer(sent.value), k, [], 0
+                    for _ in range(copies):
+                        lines.append(text)
+                        size += len(text)
+                        if size >= BLOCK:
+                            step()
+                            lines, size = [], 0
+            if trainer is not None:
+                yield done()
+
+        parts = _added(placed.select("_learner", "_copies", "_tokens").mapInArrow(learn, "at int, windows long, weights binary"), n).collect()
         if parts:
-            n = sum(p["windows"] for p in parts)
-            w = unpack(sum(np.frombuffer(p["weights"], np.float32).astype(np.float64) * (p["windows"] / n) for p in parts))
+            total = sum(p["windows"] for p in parts)
+            w = unpack(sum(np.frombuffer(p["weights"], np.float32).astype(np.float64) * (p["windows"] / total) for p in sorted(parts, key=lambda p: p["at"])))
     return w
 
 

@@ -111,3 +111,48 @@ def test_every_window_is_learned_from_once():
     line, every = lm._line(rows)
     assert sorted(np.concatenate([at for _, at in due]).tolist()) == every.tolist()
     assert all((x == line).all() for x, _ in due)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    """One partition or many, texts in any order, copies in plenty, several learners and levels of the tree."""
+    monkeypatch.setattr(lm, "LEARNER", 400)
+    monkeypatch.setattr(lm, "FAN", 2)
+    rows = [(i, " ".join(words(50 + i % 40, i)), None, None, None) for i in range(80)] + [(500 + i, " ".join(words(60, 3)), None, None, None) for i in range(70)]
+    docs = frame(spark, rows)
+    a = score(docs.repartition(1).sortWithinPartitions("doc_id"))
+    b = score(docs.repartition(8, "text").sortWithinPartitions("n_chars", "doc_id", ascending=False))
+    assert a.keys() == b.keys() and len(a) == 150
+    assert np.allclose([a[k]["log_prob"] for k in a], [b[k]["log_prob"] for k in a], rtol=1e-5)
+
+
+def test_learners_get_every_text_as_often_as_it_is_there(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEARNER", 100)
+    texts = [np.arange(n, n + 20, dtype="<u2").tobytes() for n in range(30)] + [np.full(5, 7, "<u2").tobytes()] * 101 + [b""]
+    dealt, n = lm._learners(spark.createDataFrame([(bytearray(t),) for t in texts], "_tokens binary"))
+    rows = dealt.collect()
+    assert n == 12 and {r["_learner"] for r in rows} <= set(range(n))
+    seen = {}
+    for r in rows:
+        seen[bytes(r["_tokens"])] = seen.get(bytes(r["_tokens"]), 0) + r["_copies"]
+    assert seen == {t: texts.count(t) for t in texts if t}
+    assert {r["_copies"] for r in rows if len(r["_tokens"]) == 10} == {8, 9}
+
+
+def test_conditionals_sum_to_one_over_the_counted_tokens(spark, monkeypatch):
+    """Named tokens, counted ones in shared slots, and one token not counted in each of these."""
+    monkeypatch.setattr(lm, "NEAR", 50)
+    docs = frame(spark, [(i, " ".join(words(300, i, [f"{c}{d}{e}" for c in "abcdefghij" for d in "klmnopqrst" for e in "uvwxyzabcd"])), None, None, None) for i in range(12)])
+    tokens = materialize(lm.counted(docs))
+    named, counts = lm.vocabulary(docs, tokens=tokens)
+    share = lm.shares(tokens, named)
+    far = {r["hash"]: r["log_n"] for r in share.far.collect()}
+    w, around = weights(3), np.array([[1, 5, 900, lm.SIZE]])
+    slots = np.exp(lm.log_probabilities(w, np.repeat(around, lm.SIZE, 0), np.arange(lm.SIZE)))
+    total = slots[: len(named)].sum() + slots[len(named) : lm.KNOWN].sum()
+    within = np.exp(-share.totals)  # the one that isn't counted
+    for r in tokens.collect():
+        if r["token"] not in named:
+            h = lm._hash(r["token"])
+            log_n = share.near.get(r["token"], far.get(int(np.uint64(h).view(np.int64)), 0.0))
+            within[h % lm.BUCKETS] += np.exp(log_n - share.totals[h % lm.BUCKETS])
+    assert np.allclose(within, 1) and abs(total + (slots[lm.KNOWN :] * within).sum() - 1) < 1e-4
