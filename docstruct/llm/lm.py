@@ -41,11 +41,11 @@ HIDDEN = 32
 ROUNDS = 2
 #: Tokens per learner, about, learners at most (with more tokens they get more each), and weights that are added up at a time.
 LEARNER, LEARNERS, FAN = 3_000_000, 100_000, 16
-BATCH = 2048
-RATE = 0.1
+BATCH = 4096
+RATE = 0.2
 SEED = 3
 #: Chunks between spaces remembered by a worker; distinct tokens counted before they are passed on.
-MEMORY = 200_000
+MEMORY = 400_000
 #: Tokens of shared slots whose counts are sent to workers; those of rarer ones are joined.
 NEAR = 100_000
 #: Tokens scored at a time.
@@ -141,88 +141,86 @@ _BITS, _PACKED = SIZE.bit_length(), 4
 
 
 class _Chunks(dict):
-    """Chunk between spaces -> its tokens' numbers in one integer; the lowest bits count them. 0: too many to fit."""
+    """Chunk between spaces -> its number; codes and logs hold what is known of it.
 
-    def __init__(self, number: dict[str, int]):
+    A code has the numbers of the chunk's tokens in one integer, of which the lowest bits count them (0: too many to fit);
+    a log is the sum of the log counts of its tokens in shared slots (nan: some must be joined).
+    """
+
+    def __init__(self, number: dict[str, int], near: dict[str, float]):
         super().__init__()
-        self.number = number
+        self.number, self.near = number, near
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.codes, self.logs = np.empty(1 << 12, np.int64), np.empty(1 << 12)
+        self.held = 0
 
     def tokens(self, chunk: str) -> list[int]:
         number = self.number
-        return [
-            number[t] if t in number else KNOWN + _hash(t) % BUCKETS for t in _TOKENS(chunk)
-        ]
+        return [number[t] if t in number else KNOWN + _hash(t) % BUCKETS for t in ((chunk,) if chunk.isalpha() else _TOKENS(chunk))]
 
     def __missing__(self, chunk: str) -> int:
-        if chunk.isalpha():
-            code = self.number.get(chunk)
-            if code is None:
-                code = KNOWN + _hash(chunk) % BUCKETS
-            code = code << 3 | 1
-            if len(chunk) < 64:
-                self[chunk] = code
-            return code
-        code = 0
-        if len(tokens := self.tokens(chunk)) <= _PACKED:
-            for t in reversed(tokens):
-                code = code << _BITS | t
-            code = code << 3 | len(tokens)
-        if len(chunk) < 64:
-            self[chunk] = code
-        return code
-
-
-class _Logs(dict):
-    """Chunk between spaces -> summed log counts of its tokens in shared slots; nan: some must be joined."""
-
-    def __init__(self, number: dict[str, int], near: dict[str, float]):
-        super().__init__()
-        self.number, self.near = number, near
-
-    def __missing__(self, chunk: str) -> float:
         number, near = self.number, self.near
-        value = 0.0
-        for t in (chunk,) if chunk.isalpha() else _TOKENS(chunk):
-            if t not in number:
-                value += near.get(t, nan)
-        if len(chunk) < 64:
-            self[chunk] = value
-        return value
+        tokens = (chunk,) if chunk.isalpha() else _TOKENS(chunk)
+        code, log_n, shift = 0, 0.0, 3
+        for t in tokens:
+            n = number.get(t)
+            if n is None:
+                n = KNOWN + _hash(t) % BUCKETS
+                log_n += near.get(t, nan)
+            if shift < 3 + _PACKED * _BITS:
+                code |= n << shift
+            shift += _BITS
+        code = code | len(tokens) if len(tokens) <= _PACKED else 0
+        at = len(self)
+        if at == len(self.codes):
+            self.codes, self.logs = np.resize(self.codes, 2 * at), np.resize(self.logs, 2 * at)
+        self.codes[at], self.logs[at] = code, log_n
+        self[chunk] = at
+        self.held += len(chunk)
+        return at
 
 
 class Tokens:
     """Token numbers of texts."""
 
     def __init__(self, named: list[str], totals: np.ndarray | None = None, near: dict[str, float] | None = None):
-        self.chunks = _Chunks({t: i for i, t in enumerate(named)})
-        self.totals, self.logs = totals, _Logs(self.chunks.number, near or {})
+        self.known = _Chunks({t: i for i, t in enumerate(named)}, near or {})
+        self.totals = totals
 
-    def within(self, text: str | None, numbers: np.ndarray) -> tuple[float, np.ndarray]:
-        """Summed log shares of a text's tokens in their slots, and the hashes of those whose log counts are still to be added."""
-        if len(self.logs) > MEMORY:
-            self.logs.clear()
+    def _chunks(self, text: str | None) -> tuple[list[str], np.ndarray]:
+        if len(self.known) > MEMORY or self.known.held > 32 * MEMORY:
+            self.known.forget()
         chunks = (text or "").lower().split()
-        logs = np.fromiter(map(self.logs.__getitem__, chunks), np.float64, len(chunks))
+        return chunks, np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        return self._numbers(*self._chunks(text))
+
+    def both(self, text: str | None) -> tuple[np.ndarray, float, np.ndarray]:
+        """Token numbers, the summed log shares of tokens in their slots, and the hashes of those whose log counts are still to be added."""
+        chunks, at = self._chunks(text)
+        numbers = self._numbers(chunks, at)
+        logs = self.known.logs[at]
         value = float(np.nansum(logs)) - float(self.totals[numbers[numbers >= KNOWN] - KNOWN].sum())
-        number, near, far = self.chunks.number, self.logs.near, []
+        number, near, far = self.known.number, self.known.near, []
         for i in np.flatnonzero(np.isnan(logs)).tolist():
             for t in (chunks[i],) if chunks[i].isalpha() else _TOKENS(chunks[i]):
                 if t in near:
                     value += near[t]
                 elif t not in number:
                     far.append(_hash(t))
-        return value, np.array(far, np.uint64).view(np.int64)
+        return numbers, value, np.array(far, np.uint64).view(np.int64)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        if len(self.chunks) > MEMORY:
-            self.chunks.clear()
-        chunks = (text or "").lower().split()
-        codes = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+    def _numbers(self, chunks: list[str], at: np.ndarray) -> np.ndarray:
+        codes = self.known.codes[at]
         counts = codes & 7
         if len(long := np.flatnonzero(counts == 0)):
             # rare: such chunks' tokens one by one, between those of the others
             parts = np.split(np.arange(len(codes)), np.stack([long, long + 1], 1).ravel())
-            return np.concatenate([self._unpack(codes[p]) if i % 2 == 0 else np.array(self.chunks.tokens(chunks[p[0]]), np.int64) for i, p in enumerate(parts)])
+            return np.concatenate([self._unpack(codes[p]) if i % 2 == 0 else np.array(self.known.tokens(chunks[p[0]]), np.int64) for i, p in enumerate(parts)])
         return self._unpack(codes)
 
     @staticmethod
@@ -405,9 +403,8 @@ def encode(docs: DataFrame, named: list[str], text: str = "text", out: str = "_t
     @F.pandas_udf("tokens binary, within double, far array<long>")
     def both(texts: pd.Series) -> pd.DataFrame:
         tokens = _tokens(key, sent)
-        coded = [tokens(t) for t in texts]
-        within = [tokens.within(t, c) for t, c in zip(texts, coded)]
-        return pd.DataFrame({"tokens": [c.astype("<u2").tobytes() for c in coded], "within": [w for w, _ in within], "far": [f for _, f in within]})
+        found = [tokens.both(t) for t in texts]
+        return pd.DataFrame({"tokens": [c.astype("<u2").tobytes() for c, _, _ in found], "within": [w for _, w, _ in found], "far": [f for _, _, f in found]})
 
     if share is None:
         return docs.withColumn(out, numbers(F.col(text)))
