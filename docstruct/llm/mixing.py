@@ -29,8 +29,16 @@ SHARDS = 1 << 16
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
 SEED = 20
-#: Odd, and prime to any number of blocks below itself: steps through the blocks of a shard in scattered order.
-STRIDE = 2_147_483_647
+
+
+def _prime_from(n: int) -> int:
+    while any(n % i == 0 for i in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+#: Primes, so prime to any number of blocks below themselves: a shard steps through its blocks by one that the seed draws.
+STRIDES = [_prime_from(2_200_000_001 + i * 123_456_789) for i in range(12)]
 
 
 def words(text: Column) -> Column:
@@ -120,11 +128,21 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     line = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64("_lot", F.lit(SEED)), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     rows = docs.select(*narrow, F.struct("*").alias("_row")) if carry else sized
     laid = placed(rows).withColumn("_end", F.sum("_size").over(line)).withColumn("_start", F.col("_end") - F.col("_size"))
-    keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_unit", "_seats")
+    shards = shards.withColumn("_drawn", F.xxhash64("_source", "_shard", F.lit(SEED))).withColumn("_stride", _stride())
+    keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_unit", "_seats", "_drawn", "_stride")
     laid = laid.join(keys, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
     return laid.select(F.col("_id").alias(doc_id), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"), *([F.col("_row").alias("row")] if carry else []))
 
 
+def _stride() -> Column:
+    """The step through a shard's full blocks: of the primes in an order that the shard draws, the first that isn't almost a multiple of their number, as such a step would take neighbours one after the other."""
+    full = F.greatest(F.lit(1).cast("long"), F.floor(F.col("_words") / F.col("_block")).cast("long"))
+    steps = F.transform(F.array(*[F.lit(x) for x in STRIDES]), lambda x: F.pmod(x, full))
+    turned = F.transform(F.sequence(F.lit(0), F.lit(len(STRIDES) - 1)), lambda i: F.get(steps, F.pmod(i + F.col("_drawn"), F.lit(len(STRIDES))).cast("int")))
+    scattered = F.filter(turned, lambda x: x.between(full / 6, full - full / 6))
+    return F.coalesce(F.get(scattered, F.lit(0)), F.get(turned, F.lit(0)))
+
+
 def _taken() -> Column:
     """Words taken of the document on [_start, _end) of a line of _words, of which _seats times _unit words are due."""
     block = F.col("_block")
@@ -137,7 +155,7 @@ def _taken() -> Column:
 
     def overlap(j: Column) -> Column:
         at = j * block
-        turn = F.when(j >= full, full).otherwise(F.pmod(F.pmod(j, full) * F.lit(STRIDE) + F.pmod(F.xxhash64("_source", "_shard", F.lit(SEED)), full), full))
+        turn = F.when(j >= full, full).otherwise(F.pmod(F.pmod(j, full) * F.col("_stride") + F.pmod("_drawn", full), full))
         upto = F.when(turn < some, block).when(turn == some, extra).otherwise(F.lit(0))
         return F.greatest(F.lit(0).cast("long"), F.least(F.col("_end"), at + upto) - F.greatest(F.col("_start"), at))
 

@@ -94,3 +94,20 @@ def test_odd_rows(spark):
     assert [r["size"] for r in got.where("doc_id in (1, 2, 3)").collect()] == [0, 0, 0]
     assert mixing.plan(none(spark)).count() == 0
     assert got.agg(F.sum("taken")).first()[0] == pytest.approx(got.agg(F.sum("size")).first()[0], rel=0.01)
+
+
+def test_strides_scatter_the_blocks_of_any_shard(spark):
+    """For numbers of blocks of every kind a step that visits all, and whose first half lies in many runs."""
+    from math import gcd
+
+    rows = [(n, 1, h) for n in (1, 2, 3, 7, 62, 63, 64, 66, 77, 93, 154, 256, 1000, 4096, 65_536, 1_000_003) for h in (0, 5, -7, 123_456_789_012)]
+    df = spark.createDataFrame(rows, "_words long, _block long, _drawn long").withColumn("step", mixing._stride())
+    seen = set()
+    for r in df.collect():
+        n, step = r["_words"], r["step"]
+        assert n == 1 or (gcd(n, step) == 1 and 0 < step < n)
+        if 62 <= n <= 65_536:
+            first = sorted(j for j in range(n) if (j * step + r["_drawn"]) % n < n // 2)
+            assert sum(b != a + 1 for a, b in zip(first, first[1:])) > 3
+        seen.add((n, step))
+    assert len({s for n, s in seen if n == 4096}) > 1
