@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import fresh, materialize, maybe_broadcast
 
@@ -73,27 +74,46 @@ def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return fingerprints(docs.select(doc_id, text), text).groupBy("fingerprint").agg(F.count("*").alias("n"), F.min(doc_id).alias(f"first_{doc_id}"))
 
 
+def _cuts(ids: DataFrame, n: int, total: int) -> list:
+    """Up to n ids, the least first, that cut ids(_key), none null, into about equal ranges."""
+    least = ids.agg(F.min("_key")).first()[0]
+    if n == 1:
+        return [least]
+    if isinstance(ids.schema["_key"].dataType, IntegralType):
+        found = ids.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], 20 * n)).first()[0]
+    else:
+        share = min(1.0, 20 * n / total)
+        drawn = sorted(r[0] for r in ids.sample(share, seed=1).collect())
+        found = [drawn[len(drawn) * i // n] for i in range(1, n)] if drawn else []
+    return sorted({least, *found})
+
+
 def beside(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, next text) in ascending order of id; the first document follows the last. Null ids come first.
+    """(id, text, next text) in ascending order of id, which may be of any type that has one; the first document follows the last. Null ids come first.
 
     One shuffle: rows go to ranges of ids, and the first document of a range goes to the range before it as well. Equal ids
-    stand in the order of their texts.
+    stand in the order of their texts, and in one range.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    key = F.coalesce("_id", F.lit(-(1 << 63)).cast("long"))
-    ids = docs.select(F.col(doc_id).alias("_id")).select(key.alias("_key"))
-    total = ids.count()
-    if not total:
-        return rows.withColumn("_next", F.col("_text"))
-    n = max(1, min(RANGES, total // ROWS))
-    cuts = ids.agg(F.min("_key").alias("least"), F.percentile_approx("_key", [i / n for i in range(1, n)] or [0.5], 20 * n).alias("cuts")).first()
-    starts = sorted({cuts["least"], *(cuts["cuts"] if n > 1 else [])})
+    kind = rows.schema["_id"].dataType
+    if isinstance(kind, IntegralType):
+        rows = rows.withColumn("_key", F.struct(F.col("_id").isNotNull().alias("is"), F.col("_id").cast("long").alias("id")))
+    else:
+        rows = rows.withColumn("_key", F.struct(F.col("_id").isNotNull().alias("is"), F.col("_id").alias("id")))
+    ids = docs.select(F.col(doc_id).alias("_key")).where("_key is not null")
+    total, none = ids.count(), not rows.where("_id is null").isEmpty()
+    if not total and not none:
+        return rows.select("_id", "_text", F.col("_text").alias("_next"))
+    cuts = _cuts(ids, max(1, min(RANGES, total // ROWS)), total) if total else []
+    kind_ = rows.schema["_key"].dataType["id"].dataType
+    start = lambda x: F.struct(F.lit(x is not None).alias("is"), F.lit(x).cast(kind_).alias("id"))
+    starts = [start(x) for x in ([None] if none else []) + cuts]
     n = len(starts)
-    known = F.array(*[F.lit(x).cast("long") for x in starts])
+    known = F.array(*starts)
     # binary search: the last start that is not above the key
     steps = [1 << i for i in reversed(range(max(1, (n - 1).bit_length())))]
     place = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(F.when(at + step < n, F.get(known, at + step) <= F.col("_key")).otherwise(False), at + step).otherwise(at))
-    rows = rows.withColumn("_key", key).withColumn("_range", place)
+    rows = rows.withColumn("_range", place)
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("halo"))
     before = F.struct(F.pmod(F.col("_range") - 1, F.lit(n)).alias("range"), F.lit(1).alias("halo"))
     both = F.when(F.get(known, F.col("_range")) == F.col("_key"), F.array(own, before)).otherwise(F.array(own))

@@ -49,6 +49,15 @@ def test_neighbours_and_edits(spark, monkeypatch, rows):
         assert hashlib.sha256(r["e"].encode()).hexdigest()
 
 
+def test_ids_of_other_types(spark, monkeypatch):
+    """Ids of text, with nulls: the same neighbours by the order of code points, nulls first, the first after the last."""
+    monkeypatch.setattr(fingerprint, "ROWS", 4)
+    ids = [f"doc-{i * 37 % 101:03}" for i in range(30)] + [None, "é", "Z"]
+    got = fingerprint.beside(spark.createDataFrame([(i, f"text of {i}") for i in ids], "doc_id string, text string")).collect()
+    order = [None, *sorted(i for i in ids if i is not None)]
+    assert {r["_id"]: r["_next"] for r in got} == {a: f"text of {b}" for a, b in zip(order, order[1:] + order[:1])}
+
+
 def test_odd_rows(spark):
     rows = odd(spark)
     out = fingerprint.fingerprints(rows)
