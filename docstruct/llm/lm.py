@@ -262,13 +262,12 @@ def _hidden(w: dict, around: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def _by_class(tokens: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_class(tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of tokens by class, and where each class stands in it."""
     kind = (tokens // (SIZE // CLASSES)).astype(np.uint16)  # so narrow numbers are sorted by radix
     order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
+    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
 
 
 _ONES = np.ones(CLASSES, np.float32)
@@ -284,13 +283,17 @@ def _log_sum(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray
 
 def log_probabilities(w: dict, around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of each token's conditional probability."""
-    h = _hidden(w, around)
+    order, classes = _by_class(tokens)
+    tokens = tokens[order]
+    h = _hidden(w, around[order])
     x = h @ w["wc"] + w["bc"]
-    out = x[np.arange(len(tokens)), tokens // (SIZE // CLASSES)] - _log_sum(x, w["wc"], w["bc"])
-    for c, rows in _by_class(tokens):
+    here = x[np.arange(len(tokens)), tokens // (SIZE // CLASSES)] - _log_sum(x, w["wc"], w["bc"])
+    for c, rows in classes:
         y = h[rows] @ w["wm"][c] + w["bm"][c]
-        out[rows] += y[np.arange(len(rows)), tokens[rows] % (SIZE // CLASSES)] - _log_sum(y, w["wm"][c], w["bm"][c])
-    return out.astype(np.float64)
+        here[rows] += y[np.arange(len(y)), tokens[rows] % (SIZE // CLASSES)] - _log_sum(y, w["wm"][c], w["bm"][c])
+    out = np.empty(len(tokens))
+    out[order] = here
+    return out
 
 
 class Trainer:
@@ -312,21 +315,23 @@ class Trainer:
             return
         self.windows += n
         w = self.w
+        order, classes = _by_class(tokens)
+        around, tokens = around[order], tokens[order]
         h = _hidden(w, around)
         g = _softmax(h @ w["wc"] + w["bc"])
         g[np.arange(n), tokens // (SIZE // CLASSES)] -= 1
         g /= n
         back = g @ w["wc"].T
-        deltas = [("wc", ..., h.T @ g), ("bc", ..., g.sum(0))]
-        for c, rows in _by_class(tokens):
+        wm, bm = np.zeros_like(w["wm"]), np.zeros_like(w["bm"])
+        for c, rows in classes:
             y = _softmax(h[rows] @ w["wm"][c] + w["bm"][c])
-            y[np.arange(len(rows)), tokens[rows] % (SIZE // CLASSES)] -= 1
+            y[np.arange(len(y)), tokens[rows] % (SIZE // CLASSES)] -= 1
             y /= n
             back[rows] += y @ w["wm"][c].T
-            deltas += [("wm", c, h[rows].T @ y), ("bm", c, y.sum(0))]
+            wm[c], bm[c] = h[rows].T @ y, y.sum(0)
         back *= 1 - h * h
-        for name, at, delta in deltas:
-            self._move(name, at, delta)
+        for name, delta in (("wc", h.T @ g), ("bc", g.sum(0)), ("wm", wm), ("bm", bm)):
+            self._move(name, ..., delta)
         self._move("b", ..., back.sum(0))
         for k in range(2 * SIDE):
             order = np.argsort(around[:, k].astype(np.uint16), kind="stable")
