@@ -6,8 +6,9 @@
     python -m docstruct.cli INPUT --legacy [--out DIR]
     python -m docstruct.cli --serve [PORT]
 
-INPUT is a PDF file or a folder of them, or with --layout a folder of layout relations. Exit code: 0, or 1 if a document
-failed, or 2 if there is nothing to read or no such profile.
+INPUT is a PDF file or a folder of them, or with --layout a folder of layout relations. Without --out the JSON of PDF files
+goes beside them. Exit code: 0, or 1 if a document failed (the others are done all the same), or 2 if there is nothing to
+read or no such profile.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from urllib.parse import parse_qs
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .functions import patterns as P
 from .operators import quality as Q
 from .plans.engine import Engine, Layout, Result
 from .plans.profile import available_profiles
@@ -38,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--profile", default="cr", choices=available_profiles())
     p.add_argument("--registry", default=None, help="xlsx file with metadata by id")
     p.add_argument("--out", default=None, help="folder for JSON files")
+    p.add_argument("--prefix", default="", help="read only PDF files whose names begin so")
     p.add_argument("--quiet", action="store_true")
     p.add_argument("--layout", default=None, choices=("parquet", "json"), help="INPUT holds layout relations of this format")
     p.add_argument("--report", nargs="*", default=None, metavar="N", help="quality report over N documents, head or spread")
@@ -47,8 +50,17 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def result(spark: SparkSession, source: str, profile: str, registry: str | None, layout: str | None, documents=None) -> Result:
-    found = files.layout(spark, source, layout) if layout else files.pdf_layout(spark, source)
+#: How a PDF file is read.
+READ = files.read_pdf
+
+
+def failures(failed) -> list[str]:
+    """A line for each file that couldn't be read."""
+    return [] if failed is None else [f"✗ ОШИБКА на {r['source_file']}: {r['error']}" for r in failed.orderBy("source_file").toLocalIterator()]
+
+
+def result(spark: SparkSession, source: str, profile: str, registry: str | None, layout: str | None, documents=None, prefix: str = "") -> Result:
+    found = files.layout(spark, source, layout) if layout else files.pdf_layout(spark, source, prefix, READ)
     if documents is not None:
         found = chosen(found, documents(found.documents))
     return Engine(spark, profile).parse(found, files.registry(spark, registry) if registry else None)
@@ -57,13 +69,14 @@ def result(spark: SparkSession, source: str, profile: str, registry: str | None,
 def chosen(layout: Layout, documents) -> Layout:
     keys = documents.select("doc_id")
     some = lambda df: None if df is None else df.join(keys, "doc_id", "left_semi")
-    return Layout(documents, some(layout.pages), some(layout.lines), some(layout.detected))
+    return Layout(documents, some(layout.pages), some(layout.lines), some(layout.detected), layout.failed)
 
 
 def report(found: Result) -> list[str]:
     """Lines of the quality report."""
     rows = Q.flags(found.quality).orderBy("file")
-    out = [f"  {r['file']:<16} id={r['id']} sec={r['sections']} tab={r['tables']} cov={r['coverage']:.1f}% {r['flags']}" for r in rows.toLocalIterator()]
+    good = "  {file:<16} id={id} sec={sections} tab={tables} cov={coverage:.1f}% {flags}"
+    out = [good.format(**r.asDict()) if r["ok"] else f"  {r['file']:<16} ОШИБКА: {r['error']}" for r in rows.toLocalIterator()]
     s = Q.summary(found.quality).first().asDict()
     out += [f"{k}: {v}" for k, v in s.items()]
     return out + [f"{r['problem']} ({r['n']}): {', '.join(r['files'])}" for r in Q.problems(found.quality).orderBy("problem").collect()]
@@ -129,13 +142,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         return 2
     if args.legacy:
         try:
-            rows = files.legacy(spark, args.input, args.layout, datetime.datetime.now().isoformat(timespec="seconds")).json
+            found = files.legacy(spark, args.input, args.layout, datetime.datetime.now().isoformat(timespec="seconds"), READ)
             if args.out:
-                sinks.write_files(rows, args.out)
+                sinks.write_files(found.json, args.out)
             else:
-                for r in rows.orderBy("source_file").toLocalIterator():
+                for r in found.json.orderBy("source_file").toLocalIterator():
                     print(r["json"])
-            return 0
+            bad = failures(found.failed)
+            print("\n".join(bad), file=sys.stderr)
+            return int(bool(bad))
         except ValueError as e:
             print(e, file=sys.stderr)
             return 2
@@ -144,8 +159,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         n = int(next((x for x in args.report if x.isdigit()), 150))
         choose = pick(n, "spread" if "spread" in args.report else "head")
     try:
-        found = result(spark, args.input, args.profile, args.registry, args.layout, choose)
-        if found.layout.documents.isEmpty():
+        found = result(spark, args.input, args.profile, args.registry, args.layout, choose, args.prefix)
+        bad = failures(found.layout.failed)
+        if found.layout.documents.isEmpty() and not bad:
             print(f"nothing to read in {args.input}", file=sys.stderr)
             return 2
     except ValueError as e:
@@ -155,19 +171,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.validate:
             rows = Q.regression(found.quality).join(found.quality.select("doc_id", "file"), "doc_id").orderBy("file").collect()
             print("\n".join(f"  [{'PASS' if r['passed'] else 'FAIL'}] {r['file']}" for r in rows))
-            return int(not all(r["passed"] for r in rows))
+            # documents of which more is known, by their names
+            stem = dict(found.layout.documents.select(sinks.stem(F.col("source_file")).alias("s"), "doc_id").where(F.col("s").isin(*P.GOLDEN)).collect())
+            more = Q.golden(found.sections, found.stats, {d: P.GOLDEN[s] for s, d in stem.items()}).orderBy("doc_id", "check").collect() if stem else []
+            print("\n".join(f"  [{'PASS' if r['passed'] else 'FAIL'}] {r['doc_id']}: {r['check']}" for r in more))
+            return int(not all(r["passed"] for r in [*rows, *more]))
         if args.report is not None:
             print("\n".join(report(found)))
             if args.out:
                 found.quality.write.mode("overwrite").json(f"{args.out}/quality")
-            return 0
+            return int(bool(bad))
         if args.out:
             sinks.write_files(found.json, args.out)
+        elif not args.layout:
+            sinks.write_files(found.json, None, "doc_id")
         if not args.quiet:
             for r in sinks.summary(found).orderBy("source_file").toLocalIterator():
                 print(r["summary"])
-        print(f"\nГотово: успешно {found.layout.documents.count()}.")
-        return 0
+        if bad:
+            print("\n".join(bad), file=sys.stderr)
+        done = found.layout.documents.count()
+        print(f"\nГотово: успешно {done}, с ошибкой {len(bad)}, всего {done + len(bad)}.")
+        return int(bool(bad))
     except Exception as e:
         print(f"✗ {e}", file=sys.stderr)
         if os.environ.get("DOCSTRUCT_DEBUG"):

@@ -123,6 +123,16 @@ DANGLING = (
     "в том", "к применению", "и противопоказания", "включая", "на основе", "в том числе", "и", "или", "к", "по", "при", "с", "для", "на", "о", "методов", "медицинские",
 )
 
+#: What a known document must come out as, by its name.
+GOLDEN = {
+    "КР79_2": {
+        "coverage": 100.0, "total_chars": 374984, "sections": 58, "tops": ("1", "2", "3", "4", "5", "6", "7"),
+        "children": {"3": ("3.1", "3.2", "3.3", "3.4"), "5": ("5.1", "5.2")},
+        "titles": {"4": ("медицинская реабилитация", "природных лечебных факторов", "в том числе основанных"), "5": ("к применению методов профилактики",)},
+        "begins": {"4": "Реабилитация"}, "is_not": {"5": "методов профилактики"},
+    },
+}
+
 # --- messages -------------------------------------------------------------------------------------------------------
 MESSAGES = {
     "W_SCAN": "PDF без текстового слоя (вероятно скан) — разделы и таблицы не извлечены; метаданные взяты только из реестра",

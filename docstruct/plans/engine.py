@@ -31,16 +31,20 @@ BUCKETS = ("front_matter", "toc", "references", "appendices", "other")
 
 @dataclass
 class Layout:
-    """What the sources give: documents, pages, lines and, where known, detected tables."""
+    """What the sources give: documents, pages, lines and, where known, detected tables and files that couldn't be read.
+
+    documents may have secs, the seconds that reading took; failed has doc_id, source_file, error and secs.
+    """
 
     documents: DataFrame
     pages: DataFrame
     lines: DataFrame
     detected: DataFrame | None = None
+    failed: DataFrame | None = None
 
     @classmethod
-    def from_spans(cls, documents: DataFrame, pages: DataFrame, spans: DataFrame, detected: DataFrame | None = None) -> Layout:
-        return cls(documents, pages, L.lines_from_spans(spans), detected)
+    def from_spans(cls, documents: DataFrame, pages: DataFrame, spans: DataFrame, detected: DataFrame | None = None, failed: DataFrame | None = None) -> Layout:
+        return cls(documents, pages, L.lines_from_spans(spans), detected, failed)
 
 
 class Result:
@@ -78,8 +82,9 @@ class Result:
         rows = rows.withColumn("text", T.strip(F.col("text"))).where(L.usable(F.col("text")))
         rows = rows.withColumn("visual", T.visual(F.col("size"), F.col("bold"), F.col("body")))
         rows = rows.withColumn("heading", self.profile.heading(F.col("text"), F.col("visual"))).withColumn("region", self.profile.region(F.col("text")))
-        ok = self.judged.where("verdict = 'ok'").select("doc_id", "page", "bbox")
-        rows = TB.outside(rows, ok, F.col("heading.level") == 1)
+        if self.layout.detected is not None:
+            ok = self.judged.where("verdict = 'ok'").select("doc_id", "page", "bbox")
+            rows = TB.outside(rows, ok, F.col("heading.level") == 1)
         rows = rows.join(L.blank_gap(rows), "doc_id")
         return self._keep(rows.withColumn("idx", F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) - 1))
 
@@ -173,7 +178,8 @@ class Result:
 
     @cached_property
     def quality(self) -> DataFrame:
-        return Q.documents(self.sections, self.stats, self.metadata, self.warnings)
+        secs = self.layout.documents.select("doc_id", "secs") if "secs" in self.layout.documents.columns else None
+        return Q.documents(self.sections, self.stats, self.metadata, self.warnings, self.layout.failed, secs)
 
     @cached_property
     def json(self) -> DataFrame:

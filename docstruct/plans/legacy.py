@@ -25,8 +25,8 @@ class LegacyResult:
     parsed_at is given, as a clock would make reruns differ.
     """
 
-    def __init__(self, documents: DataFrame, pages: DataFrame, spans: DataFrame, detected: DataFrame | None = None, parsed_at: str = "1970-01-01T00:00:00", store: bool = True):
-        self.documents, self.pages, self.spans, self.parsed_at = documents, pages, spans, parsed_at
+    def __init__(self, documents: DataFrame, pages: DataFrame, spans: DataFrame, detected: DataFrame | None = None, parsed_at: str = "1970-01-01T00:00:00", store: bool = True, failed: DataFrame | None = None):
+        self.documents, self.pages, self.spans, self.parsed_at, self.failed = documents, pages, spans, parsed_at, failed
         self.detected = detected if detected is not None else documents.sparkSession.createDataFrame([], S.DETECTED)
         self._keep = materialize if store else lambda df: df
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import io
 import re
+import time
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from .store import materialize
 
 PDF_GLOB = "*.[pP][dD][fF]"
 
@@ -32,60 +35,94 @@ def _layout_library():
     return fitz
 
 
-def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def read_pdf(content: bytes) -> dict:
+    """Pages, spans and detected tables of a PDF file, and the text of its first page."""
     fitz = _layout_library()
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows = []
-            with fitz.open(stream=content, filetype="pdf") as doc:
-                for p, page in enumerate(doc, 1):
-                    for b, block in enumerate(page.get_text("dict", sort=True)["blocks"]):
-                        for n, line in enumerate(block.get("lines", []) if block.get("type") == 0 else []):
-                            box = dict(zip(("x0", "y0", "x1", "y1"), map(float, line["bbox"])))
-                            rows += [(path, p, b, n, i, s["text"], float(s["size"]), int(s["flags"]), s["font"], box) for i, s in enumerate(line["spans"])]
-            yield pd.DataFrame(rows, columns=["doc_id", "page", "block_no", "line_no", "span_no", "text", "size", "flags", "font", "bbox"])
-
-
-def _pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    fitz = _layout_library()
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with fitz.open(stream=content, filetype="pdf") as doc:
-                rows = [(path, i, float(p.rect.width), float(p.rect.height), p.get_text() if i == 1 else "") for i, p in enumerate(doc, 1)]
-            yield pd.DataFrame(rows, columns=["doc_id", "page", "width", "height", "text"])
-
-
-def _detected(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    pages, spans, first = [], [], ""
+    with fitz.open(stream=content, filetype="pdf") as doc:
+        for p, page in enumerate(doc, 1):
+            first = page.get_text() if p == 1 else first
+            pages.append({"page": p, "width": float(page.rect.width), "height": float(page.rect.height)})
+            for b, block in enumerate(page.get_text("dict", sort=True)["blocks"]):
+                for n, line in enumerate(block.get("lines", []) if block.get("type") == 0 else []):
+                    box = dict(zip(("x0", "y0", "x1", "y1"), map(float, line["bbox"])))
+                    at = {"page": p, "block_no": b, "line_no": n, "bbox": box}
+                    spans += [at | {"span_no": i, "text": s["text"], "size": float(s["size"]), "flags": int(s["flags"]), "font": s["font"]} for i, s in enumerate(line["spans"])]
+    return {"pages": pages, "spans": spans, "detected": detect_tables(content), "first_page_text": first}
+
+
+def detect_tables(content: bytes) -> list[dict]:
     try:
         import pdfplumber
     except ImportError as e:
         raise ImportError("finding tables in PDF files needs pdfplumber") from e
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            rows = []
-            with pdfplumber.open(io.BytesIO(content)) as pdf:
-                for p, page in enumerate(pdf.pages, 1):
-                    for i, found in enumerate(page.find_tables()):
-                        x0, y0, x1, y1 = map(float, found.bbox)
-                        try:
-                            text = page.crop((max(0, x0), max(0, y0), min(page.width, x1), min(page.height, y1))).extract_text() or ""
-                        except ValueError:  # a box outside of the page
-                            text = ""
-                        rows.append((path, p, i, {"x0": x0, "y0": y0, "x1": x1, "y1": y1}, found.extract() or [], text))
-            yield pd.DataFrame(rows, columns=["doc_id", "page", "tbl_no", "bbox", "grid", "raw_text"])
-
-
-def pdf_layout(spark: SparkSession, path: str, prefix: str = ""):
-    """The layout of PDF files. Documents are read where Spark runs them; the driver opens no file."""
+    rows = []
+    with pdfplumber.open(io.BytesIO(content)) as pdf:
+        for p, page in enumerate(pdf.pages, 1):
+            for i, found in enumerate(page.find_tables()):
+                x0, y0, x1, y1 = map(float, found.bbox)
+                try:
+                    text = page.crop((max(0, x0), max(0, y0), min(page.width, x1), min(page.height, y1))).extract_text() or ""
+                except ValueError:  # a box outside of the page
+                    text = ""
+                rows.append({"page": p, "tbl_no": i, "bbox": {"x0": x0, "y0": y0, "x1": x1, "y1": y1}, "grid": found.extract() or [], "raw_text": text})
+    return rows
+
+
+#: A file as one row. error: why it couldn't be read; then there is nothing else of it but the seconds that it took.
+FILE = (
+    f"path string, error string, secs double, first_page_text string, pages array<struct<{', '.join(x.replace(' ', ': ', 1) for x in S.PAGES.split(', ')[1:])}>>, "
+    f"spans array<struct<page: int, block_no: int, line_no: int, span_no: int, text: string, size: double, flags: int, font: string, bbox: {S.BBOX}>>, "
+    f"detected array<struct<page: int, tbl_no: int, bbox: {S.BBOX}, grid: array<array<string>>, raw_text: string>>"
+)
+
+
+def read_files(spark: SparkSession, path: str, prefix: str = "", read=read_pdf) -> DataFrame:
+    """FILE of every PDF file, each opened and parsed once and written down. What goes wrong with a file stays with its row.
+
+    read: bytes of a file -> pages, spans, detected and first_page_text. Files are read where Spark runs the tasks.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(kind)
+        for batch in batches:
+            for place, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                began = time.monotonic()
+                try:
+                    found = {"error": None} | read(content.as_py())
+                except Exception as e:  # whatever a library raises on a broken file
+                    found = {"error": repr(e), "first_page_text": None, "pages": [], "spans": [], "detected": []}
+                row = found | {"path": place, "secs": time.monotonic() - began}
+                yield pa.RecordBatch.from_pylist([row], schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    kind = StructType.fromDDL(FILE)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", PDF_GLOB).load(path).select("path", "content")
+    return materialize(files.where(F.element_at(F.split("path", "/"), -1).startswith(prefix)).mapInArrow(rows, kind))
+
+
+def _of_files(files: DataFrame) -> tuple[DataFrame, ...]:
+    """documents, pages, spans, detected and failed of rows of FILE."""
+    named = files.withColumn("doc_id", F.col("path")).withColumn("source_file", F.element_at(F.split("path", "/"), -1))
+    good = named.where("error is null")
+
+    def inner(column: str) -> DataFrame:
+        return good.select("doc_id", F.explode(column).alias("x")).select("doc_id", "x.*")
+
+    documents = good.select("doc_id", "path", "source_file", "first_page_text", "secs")
+    return documents, inner("pages"), inner("spans"), inner("detected"), named.where("error is not null").select("doc_id", "source_file", "error", "secs")
+
+
+def pdf_layout(spark: SparkSession, path: str, prefix: str = "", read=read_pdf):
+    """The layout of PDF files, with a row in failed for each that couldn't be read. The driver opens no file."""
     from ..plans.engine import Layout
 
-    _layout_library()
-    files = spark.read.format("binaryFile").option("pathGlobFilter", PDF_GLOB).load(path)
-    files = files.select("path", "content").where(F.element_at(F.split("path", "/"), -1).startswith(prefix))
-    pages = files.mapInPandas(_pages, "doc_id string, page int, width double, height double, text string")
-    first = pages.where("page = 1").select("doc_id", F.col("text").alias("first_page_text"))
-    documents = files.select(F.col("path").alias("doc_id"), "path", F.element_at(F.split("path", "/"), -1).alias("source_file")).join(first, "doc_id", "left")
-    return Layout.from_spans(documents, pages.drop("text"), files.mapInPandas(_spans, S.SPANS), files.mapInPandas(_detected, S.DETECTED))
+    if read is read_pdf:
+        _layout_library()
+    documents, pages, spans, detected, failed = _of_files(read_files(spark, path, prefix, read))
+    return Layout.from_spans(documents, pages, spans, detected, failed)
 
 
 def _relation(spark: SparkSession, path: str, format: str, name: str, schema: str) -> DataFrame | None:
@@ -97,17 +134,15 @@ def _relation(spark: SparkSession, path: str, format: str, name: str, schema: st
         return None
 
 
-def legacy(spark: SparkSession, path: str, format: str | None = None, parsed_at: str = "1970-01-01T00:00:00"):
+def legacy(spark: SparkSession, path: str, format: str | None = None, parsed_at: str = "1970-01-01T00:00:00", read=read_pdf):
     """What the predecessor's pipeline makes of PDF files, or of a layout of spans."""
     from ..plans.legacy import LegacyResult
 
     if format is None:
-        _layout_library()
-        found = spark.read.format("binaryFile").option("pathGlobFilter", PDF_GLOB).load(path).select("path", "content")
-        pages = found.mapInPandas(_pages, "doc_id string, page int, width double, height double, text string")
-        first = pages.where("page = 1").select("doc_id", F.col("text").alias("first_page_text"))
-        documents = found.select(F.col("path").alias("doc_id"), "path", F.element_at(F.split("path", "/"), -1).alias("source_file")).join(first, "doc_id", "left")
-        return LegacyResult(documents, pages.drop("text"), found.mapInPandas(_spans, S.SPANS), found.mapInPandas(_detected, S.DETECTED), parsed_at)
+        if read is read_pdf:
+            _layout_library()
+        documents, pages, spans, detected, failed = _of_files(read_files(spark, path, read=read))
+        return LegacyResult(documents, pages, spans, detected, parsed_at, failed=failed)
     parts = [_relation(spark, path, format, n, s) for n, s in (("documents", S.DOCUMENTS), ("pages", S.PAGES), ("spans", S.SPANS), ("detected_tables", S.DETECTED))]
     if any(p is None for p in parts[:3]):
         raise ValueError(f"{path} holds no layout of spans: documents, pages and spans are needed")

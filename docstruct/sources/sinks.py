@@ -6,6 +6,7 @@ import json
 import os
 import tempfile
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,21 +28,24 @@ def write_lines(documents: DataFrame, path: str) -> None:
     documents.select(F.col("json").alias("value")).write.text(path)
 
 
-def write_files(documents: DataFrame, out: str) -> None:
-    """documents(source_file, json) as files of their own, indented, non-ASCII kept. out must be a folder that all executors share.
+def write_files(documents: DataFrame, out: str | None, path: str = "source_file") -> None:
+    """documents(path, json) as files of their own, indented, non-ASCII kept. out must be a folder that all executors share; without it they go beside their sources.
 
     Each file is written beside its place and then moved there, so a repeated task leaves whole files only.
     """
 
     def write(rows: Iterator) -> None:
-        os.makedirs(out, exist_ok=True)
         for r in rows:
-            handle, made = tempfile.mkstemp(dir=out)
+            where = unquote(r["target"].removeprefix("file://")) if r["target"].startswith("file:/") else r["target"]
+            where = where.removeprefix("file:")
+            folder = os.path.dirname(where)
+            os.makedirs(folder, exist_ok=True)
+            handle, made = tempfile.mkstemp(dir=folder)
             with os.fdopen(handle, "w", encoding="utf-8") as f:
                 json.dump(json.loads(r["json"]), f, ensure_ascii=False, indent=2)
-            os.replace(made, os.path.join(out, os.path.basename(r["target"])))
+            os.replace(made, where)
 
-    documents.select(target(F.col("source_file"), out).alias("target"), "json").foreachPartition(write)
+    documents.select(target(F.col(path), out).alias("target"), "json").foreachPartition(write)
 
 
 def summary(result) -> DataFrame:

@@ -34,7 +34,9 @@ def parse_stream(spark: SparkSession, path: str, checkpoint: str, handle: Callab
     stream = spark.readStream.format(format).schema(WHOLE).load(path)
 
     def batch(whole: DataFrame, number: int) -> None:
-        handle(Engine(spark, profile).parse(layout(whole.persist()), registry), number)
-        whole.unpersist()
+        try:
+            handle(Engine(spark, profile).parse(layout(whole.persist()), registry), number)
+        finally:
+            whole.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -332,3 +332,24 @@ def test_predecessor_end_to_end(spark):
     assert d["excluded"] == {"toc_text": "1 Раз .... 2", "references_text": "Иванов", "appendices_text": ""}
     assert d["metadata"]["title"] == "Астма" and d["metadata"]["approval_year"] is None and d["parse_stats"]["tables_found"] == 1
     assert got["e"]["sections"] == [] and got["e"]["parse_stats"]["text_coverage_pct"] == 0.0 and len(got["e"]["parse_stats"]["warnings"]) == 5
+
+
+def test_shapes_add_up_to_the_joined_title(spark):
+    """Length, end and brackets of a title grown part by part are those of the joined one."""
+    import random
+
+    from docstruct.operators import fold as FO
+
+    r = random.Random(3)
+    bits = ["ВИЧ-", "инфекция", ", и", "или", " (первая", "вторая)", ";", "по", "", " ", "лечение к", "a  b", "- c", "/", "и"]
+    cases = [[r.choice(bits) for _ in range(r.randint(1, 6))] for _ in range(300)]
+    rows = spark.createDataFrame([(i, j, x) for i, c in enumerate(cases) for j, x in enumerate(c)], "i int, j int, x string")
+    shapes = {(r["i"], r["j"]): r for r in rows.select("i", "j", *[c.alias(k) for k, c in FO.shape(F.col("x")).items()]).collect()}
+    titles = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, parts array<string>").select("i", T.join_title(F.col("parts")).alias("t"))
+    for r in titles.collect():
+        f = FO.Fold()
+        f.begin("1", 1, shapes[r["i"], 0])
+        for j in range(1, len(cases[r["i"]])):
+            f.grow(shapes[r["i"], j])
+        t = r["t"]
+        assert (f.length, f.open, f.balance) == (len(t), t.endswith(P.OPEN_ENDS), t.count("(") - t.count(")")), (cases[r["i"]], t)

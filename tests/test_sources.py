@@ -3,9 +3,11 @@
 import io
 import json
 import os
+import sys
 import zipfile
 
 import pytest
+from pyspark import cloudpickle
 
 from docstruct import cli
 from docstruct import schemas as S
@@ -17,6 +19,9 @@ from layouts import layout, sections
 DOCS = {"КР1": ["1. Краткая информация*", "Тело.", "ещё.", "и ещё."], "КР2": ["Просто текст."]}
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers don't have this module
+
+
 def book(rows, active=0):
     """A workbook of two sheets; the active one holds rows."""
     strings = []
@@ -124,6 +129,78 @@ def test_command_line(spark, stored, tmp_path, capsys):
         cli.main(["x", "--profile", "other"], spark)
 
 
+def stub(content):
+    """A reader of files whose bytes are lines of text; what isn't text is broken."""
+    box = {"x0": 50.0, "x1": 250.0}
+    lines = content.decode().split("\n")
+    at = lambda i: {"page": 1, "block_no": i, "line_no": 0, "span_no": 0, "size": 12.0, "font": "Serif", "bbox": box | {"y0": 14.0 * i, "y1": 14.0 * i + 10}}
+    spans = [at(i) | {"text": x.rstrip("*"), "flags": 16 if x.endswith("*") else 0} for i, x in enumerate(lines)]
+    return {"pages": [{"page": 1, "width": 600.0, "height": 800.0}], "spans": spans, "detected": [], "first_page_text": lines[0]}
+
+
+def test_a_broken_file_does_not_stop_the_others(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(cli, "READ", stub)
+    where = tmp_path / "in"
+    where.mkdir()
+    for name, lines in DOCS.items():
+        (where / f"{name}.pdf").write_text("\n".join(lines))
+    (where / "КР3.pdf").write_bytes(b"\xff\xfe broken")
+    found = Engine(spark).parse(files.pdf_layout(spark, str(where), read=stub))
+    assert sections(found) and {k.split("/")[-1]: v for k, v in sections(found).items()} == {"КР1.pdf": [("1", "Краткая информация", "Тело. ещё. и ещё.", None)]}
+    rows = {r["file"]: r for r in found.quality.collect()}
+    assert {k: r["ok"] for k, r in rows.items()} == {"КР1.pdf": True, "КР2.pdf": True, "КР3.pdf": False}
+    assert "UnicodeDecodeError" in rows["КР3.pdf"]["error"] and rows["КР1.pdf"]["error"] is None and all(r["secs"] >= 0 for r in rows.values())
+    assert cli.main([str(where)], spark) == 1
+    out = capsys.readouterr()
+    assert "успешно 2, с ошибкой 1, всего 3" in out.out and "ОШИБКА на КР3.pdf" in out.err
+    assert sorted(os.listdir(where)) == ["КР1.json", "КР1.pdf", "КР2.json", "КР2.pdf", "КР3.pdf"]
+    assert cli.main([str(where), "--prefix", "КР1", "--quiet", "--out", f"{tmp_path}/out"], spark) == 0
+    assert os.listdir(f"{tmp_path}/out") == ["КР1.json"]
+    capsys.readouterr()
+    assert cli.main([str(where), "--report", "--out", f"{tmp_path}/report"], spark) == 1
+    out = capsys.readouterr().out
+    assert "n_ok: 2" in out and "n_bad: 1" in out and "error (1): КР3.pdf" in out and "ОШИБКА: UnicodeDecodeError" in out
+    stored = spark.read.json(f"{tmp_path}/report/quality").collect()
+    assert sorted((r["file"], r["ok"], r["error"] is not None) for r in stored) == [("КР1.pdf", True, False), ("КР2.pdf", True, False), ("КР3.pdf", False, True)]
+    assert cli.main([str(where), "--legacy", "--out", f"{tmp_path}/old"], spark) == 1
+    assert sorted(os.listdir(f"{tmp_path}/old")) == ["КР1.json", "КР2.json"]
+
+
+def test_golden_criteria(spark):
+    from docstruct.functions import patterns as P
+    from docstruct.operators import quality as Q
+
+    c = P.GOLDEN["КР79_2"]
+    flat = [("1", "a", "t", None), ("2", "b", "t", None), ("3", "Лечение", "t", None), *[(n, "x", "t", 2) for n in c["children"]["3"]], ("4", "Медицинская реабилитация, природных лечебных факторов, в том числе основанных", "Реабилитация идёт", None)]
+    flat += [("5", "Профилактика к применению методов профилактики", "t", None), *[(n, "x", "t", 8) for n in c["children"]["5"]], ("6", "x", "t", None), ("7", "x", "t", None)]
+    rows = spark.createDataFrame([("d", i, *r) for i, r in enumerate(flat)], "doc_id string, sec_no int, number string, title string, text string, parent_sec_no int")
+    stats = spark.createDataFrame([("d", 100.0, 374984, 58)], "doc_id string, coverage_percent double, total_chars long, sections_found long")
+    got = Q.golden(rows, stats, {"d": c}).collect()
+    assert len(got) == 14 and all(r["passed"] for r in got)
+    bad = Q.golden(rows.where("number <> '3.2'"), stats.withColumn("coverage_percent", stats.coverage_percent - 1), {"d": c}).where("not passed").collect()
+    assert {r["check"] for r in bad} == {"children of 3", "coverage"}
+
+
+def test_shared_folder(spark, monkeypatch):
+    from docstruct.sources import store
+
+    made = store.materialize(spark.range(3))
+    assert made.count() == 3 and store._written
+    path = store._written[-1]
+    monkeypatch.setattr(store, "_written", [path])
+    assert store.clean(spark) == 1 and not os.path.exists(path)
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(dict)
+
+        conf = {}
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        store.shared_dir(Cluster)
+
+
 def test_streaming(spark, tmp_path):
     from pyspark.sql import functions as F
 
