@@ -31,9 +31,11 @@ SQL: dict[str, str] = {}
 
 # --- the adapters in SQL ------------------------------------------------------------------------------------------------
 DL = "dl AS (SELECT doc_id, (unnest(range(1, len(p) + 1)) - 1)::INT AS seq, unnest(p) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents))"
-PB = """pb AS (SELECT doc_id, seq, tag, text, CASE tag WHEN 'h1' THEN 24.0 WHEN 'title' THEN 18.0 ELSE 12.0 END::DOUBLE AS size, tag IN ('h1', 'b') AS bold FROM (
-  SELECT page_id AS doc_id, (unnest(range(1, len(a) + 1)) - 1)::INT AS seq, unnest(a) AS tag, unnest(b) AS text
-  FROM (SELECT page_id, regexp_extract_all(html, '<(h1|p|b|title)>([^<]*)', 1) AS a, regexp_extract_all(html, '<(h1|p|b|title)>([^<]*)', 2) AS b FROM pages)) WHERE text <> '')"""
+PB = """pb AS (SELECT doc_id, seq, tag, text, CASE tag WHEN 'title' THEN 18.0 WHEN 'h1' THEN 24.0 WHEN 'h2' THEN 20.0 WHEN 'h3' THEN 18.0 WHEN 'h4' THEN 16.0 WHEN 'h5' THEN 16.0 WHEN 'h6' THEN 16.0 ELSE 12.0 END::DOUBLE AS size,
+  tag IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6', 'b', 'strong', 'th') AS bold FROM (
+  SELECT page_id AS doc_id, (unnest(range(1, len(a) + 1)) - 1)::INT AS seq, lower(unnest(a)) AS tag, unnest(b) AS text
+  FROM (SELECT page_id, regexp_extract_all(h, '<(/?[a-zA-Z][a-zA-Z0-9]*)[^<>]*>([^<]*)', 1) AS a, regexp_extract_all(h, '<(/?[a-zA-Z][a-zA-Z0-9]*)[^<>]*>([^<]*)', 2) AS b
+    FROM (SELECT page_id, '<p>' || regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>|<!--.*?-->', '', 'g') AS h FROM pages))) WHERE trim(text, ' ') <> '')"""
 EL = """el AS (SELECT *, idx // 20 AS page, CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'error' THEN 3 END AS level FROM (
   SELECT user_id AS doc_id, event_id AS seq, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS idx, event_type, value AS size, (props->>'$.k')::DOUBLE AS y0 FROM events))"""
 NL = """nl AS (SELECT p_partkey AS id, p_size > 25 AS visual, CASE p_partkey % 10
@@ -501,10 +503,26 @@ def coverage_stats(spark, sf):
     return STATS.coverage(rows.groupBy("doc_id").agg(text.alias("full_text")), rows.where(third == 1), rows.where(third == 2), rows.where((third == 0) & (F.col("turn") > 0)))
 
 
-@query("excluded_stats", "SELECT CASE WHEN role = 'user' THEN 'references' ELSE 'appendices' END AS bucket, count(*) AS items, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY ALL")
-def excluded_stats(spark, sf):
-    bucket = F.when(F.col("role") == "user", "references").otherwise("appendices")
-    return A.table(spark, sf, "conversations").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("items"), F.sum(F.length("text")).cast("long").alias("chars"))
+_REGION = "CASE WHEN event_type = 'error' AND size > 40 THEN 'references' WHEN event_type = 'view' AND size > 60 THEN 'appendices' END"
+
+
+@query("excluded_items", f"""WITH {EL}, r AS (SELECT *, {_REGION} AS region FROM el WHERE idx >= 20), s AS (SELECT doc_id, min(idx) FILTER (region = 'references') AS s FROM r GROUP BY doc_id),
+t AS (SELECT r.*, region IS NOT NULL AS opens, sum((region IS NOT NULL)::INT) OVER (PARTITION BY r.doc_id ORDER BY idx) AS item FROM r JOIN s USING (doc_id) WHERE idx >= s),
+i AS (SELECT doc_id, item, max(region) AS bucket, min(event_type) FILTER (opens) AS title, coalesce(string_agg(event_type, ' ' ORDER BY idx) FILTER (NOT opens), '') AS text FROM t GROUP BY ALL),
+f AS (SELECT *, max((size > 120)::INT) OVER (PARTITION BY doc_id ORDER BY idx) > 0 AS toc FROM el WHERE idx < 20)
+SELECT doc_id, bucket, (row_number() OVER (PARTITION BY doc_id, bucket ORDER BY item) - 1)::INT AS item_no, title, text FROM i
+UNION ALL SELECT doc_id, CASE WHEN toc THEN 'toc' ELSE 'front_matter' END, 0, CASE WHEN toc THEN 'Оглавление' ELSE 'front_matter' END, string_agg(event_type, ' ' ORDER BY idx) FROM f WHERE NOT size > 120 GROUP BY ALL
+UNION ALL SELECT r.doc_id, 'other', (row_number() OVER (PARTITION BY r.doc_id ORDER BY idx) - 1)::INT, 'unassigned', event_type FROM r JOIN s USING (doc_id) WHERE (idx < s OR s IS NULL) AND idx < 25""")
+def excluded_items(spark, sf):
+    from .plans.engine import Layout, Result
+
+    region = F.when((F.col("event_type") == "error") & (F.col("size") > 40), "references").when((F.col("event_type") == "view") & (F.col("size") > 60), "appendices")
+    rows = A.event_lines(A.table(spark, sf, "events")).withColumn("text", F.col("event_type")).withColumn("region", region).withColumn("toc", F.col("size") > 120).withColumn("seq", F.col("idx"))
+    found = Result(Layout(rows, rows, rows), _OrderOnly(), None, store=False)
+    found.front = ST.front_split(rows.where("idx < 20"))
+    found.body = ST.excluded_tail(rows.where("idx >= 20"))
+    found.placed = found.body.where("not tail and idx < 25").withColumn("action", F.lit("other"))
+    return found.excluded.withColumn("item_no", F.col("item_no").cast("int"))
 
 
 NUMS = f"{EL}, nm AS (SELECT doc_id, list((y0 % 9)::INT ORDER BY idx) AS ns FROM el WHERE level = 1 GROUP BY doc_id)"
@@ -540,34 +558,40 @@ def title_dangles(spark, sf):
     return A.numbered_lines(A.table(spark, sf, "part")).select("id", Q.dangles(F.concat("text", end)).alias("dangles"))
 
 
-QR = f"""{EL}, q AS (SELECT doc_id, count(*) FILTER (level IS NOT NULL) AS sections, count(*) FILTER (event_type = 'view') AS tables, round_even(least(count(*) FILTER (event_type <> 'click') * 105.0 / count(*), 100.0)::DOUBLE, 2) AS coverage,
-  list(y0::INT ORDER BY idx) FILTER (level = 1) AS ns, bool_or(level = 1 AND y0 = 4) AS has4, bool_or(size > 120) AS toc_leak, doc_id % 3 <> 0 AS from_registry, doc_id % 5 <> 0 AS title_ok, doc_id % 4 AS mkb_n FROM el GROUP BY doc_id),
-qd AS (SELECT * REPLACE (coalesce(ns, []) AS ns, coalesce(has4, false) AS has4), len(list_distinct(coalesce(ns, []))) < len(coalesce(ns, [])) AS dup, coalesce(ns, []) <> list_sort(coalesce(ns, [])) AS disorder FROM q)"""
+QR = f"""{EL}, sx AS (SELECT doc_id, idx, level, CASE level WHEN 1 THEN y0::INT::VARCHAR ELSE level || '.' || y0::INT END AS number, event_type || CASE WHEN size > 120 THEN ' ....' WHEN size > 110 THEN ' и' ELSE '' END AS title,
+  CASE WHEN y0 > 50 THEN 'Текст' ELSE 'текст' END AS text FROM el WHERE level IS NOT NULL AND doc_id % 11 <> 0),
+tp AS (SELECT s.*, NOT EXISTS (SELECT 1 FROM sx p WHERE p.doc_id = s.doc_id AND p.idx < s.idx AND p.level < s.level) AS top FROM sx s),
+st AS (SELECT doc_id, count(*) FILTER (level IS NOT NULL) AS sections, count(*) FILTER (event_type = 'view') AS tables, round_even(least(count(*) FILTER (event_type <> 'click') * 105.0 / count(*), 100.0)::DOUBLE, 2) AS coverage FROM el WHERE doc_id % 11 <> 0 GROUP BY doc_id),
+sq AS (SELECT doc_id, list(number::INT ORDER BY idx) FILTER (top AND regexp_full_match(number, '\\d+')) AS ns, bool_or(top AND number = '4') AS has4, bool_or(regexp_matches(title, '\\.{{3,}}')) AS toc_leak, bool_or(ends_with(title, ' и') AND text = 'текст') AS title_leak, count(*) FILTER (top) AS n_top FROM tp GROUP BY doc_id),
+q AS (SELECT doc_id, true AS ok, sections, tables, coverage, doc_id % 3 <> 0 AS from_registry, doc_id % 5 <> 0 AS title_ok, doc_id % 4 AS mkb_n, (doc_id % 3 = 0)::INT + (doc_id % 4 = 0)::INT AS warns, coalesce(ns, []) AS ns, coalesce(has4, false) AS has4,
+  coalesce(toc_leak, false) AS toc_leak, coalesce(title_leak, false) AS title_leak, coalesce(n_top, 0) AS n_top, NULL::VARCHAR AS error FROM st LEFT JOIN sq USING (doc_id)
+  UNION ALL SELECT DISTINCT doc_id, false, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'broken' FROM el WHERE doc_id % 11 = 0),
+qd AS (SELECT *, len(list_distinct(ns)) < len(ns) AS dup, ns <> list_sort(ns) AS disorder FROM q)"""
 
 
 def _quality(spark, sf) -> DataFrame:
-    rows = A.event_lines(A.table(spark, sf, "events"))
-    top = F.col("level") == 1
-    numbers = F.transform(F.array_sort(F.collect_list(F.when(top, F.struct("idx", F.col("y0").cast("int").alias("n"))))), lambda x: x["n"])
+    every = A.event_lines(A.table(spark, sf, "events"))
+    d, y = F.col("doc_id"), F.col("y0").cast("int").cast("string")
+    rows = every.where(d % 11 != 0)
+    number = F.when(F.col("level") == 1, y).otherwise(F.concat(F.col("level").cast("string"), F.lit("."), y))
+    title = F.concat("event_type", F.when(F.col("size") > 120, " ....").when(F.col("size") > 110, " и").otherwise(""))
+    flat = rows.where("level is not null").select("doc_id", F.col("idx").alias("sec_no"), "level", number.alias("number"), title.alias("title"), F.when(F.col("y0") > 50, "Текст").otherwise("текст").alias("text"))
     share = F.bround(F.least(F.count_if(F.col("event_type") != "click") * 105.0 / F.count("*"), F.lit(100.0)), 2)
-    found = rows.groupBy("doc_id").agg(
-        F.count("level").alias("sections"), F.count_if(F.col("event_type") == "view").alias("tables"), share.alias("coverage"), numbers.alias("ns"),
-        F.bool_or(F.coalesce(top & Q.is_section_4(F.col("y0").cast("int").cast("string"), F.lit("")), F.lit(False))).alias("has4"), F.bool_or(F.col("size") > 120).alias("toc_leak"),
-    )
-    d = F.col("doc_id")
-    return found.select(
-        "*", d.cast("string").alias("file"), F.lit(True).alias("ok"), (d % 3 != 0).alias("from_registry"), (d % 5 != 0).alias("title_ok"), (d % 4).alias("mkb_n"),
-        Q.duplicates(F.col("ns")).alias("dup"), Q.disorder(F.col("ns")).alias("disorder"), F.lit(False).alias("title_leak"),
-    )
+    stats = rows.groupBy("doc_id").agg(F.count("level").alias("sections_found"), F.count_if(F.col("event_type") == "view").alias("tables_found"), share.alias("coverage_percent"))
+    codes = F.slice(F.array(*map(F.lit, ("A00", "B00", "C00"))), F.lit(1), (d % 4).cast("int"))
+    metadata = stats.select("doc_id", d.cast("string").alias("source_file"), d.cast("string").alias("id"), F.when(d % 5 != 0, "Название").alias("title"), F.lit("2020").alias("year"), F.lit("Дети").alias("age_group"), codes.alias("mkb_codes"))
+    warned = F.array_compact(F.array(F.when(d % 3 == 0, F.when(d % 2 == 0, "W_NO_REGISTRY").otherwise("W_NOT_FOUND")), F.when(d % 4 == 0, "W_NO_ICD")))
+    failed = every.where(d % 11 == 0).select("doc_id", d.cast("string").alias("source_file"), F.lit("broken").alias("error"), F.lit(0.0).alias("secs")).distinct()
+    return Q.documents(TR.with_parents(flat), stats, metadata, stats.select("doc_id", F.explode(warned).alias("code")), failed)
 
 
-@query("quality_rows", f"""WITH {QR} SELECT doc_id, sections, tables, coverage, has4, toc_leak, dup, disorder, array_to_string(list_filter([CASE WHEN NOT has4 THEN 'NO_SEC4' END, CASE WHEN toc_leak THEN 'TOC_LEAK' END, CASE WHEN coverage < 80 THEN 'LOWCOV' END,
+@query("quality_rows", f"""WITH {QR} SELECT doc_id, ok, error, sections, tables, coverage, n_top::INT AS n_top, has4, toc_leak, title_leak, dup, disorder, mkb_n::INT AS mkb_n, warns::INT AS warns, from_registry, title_ok, array_to_string(list_filter([CASE WHEN NOT has4 THEN 'NO_SEC4' END, CASE WHEN toc_leak THEN 'TOC_LEAK' END, CASE WHEN coverage < 80 THEN 'LOWCOV' END,
   CASE WHEN NOT from_registry THEN 'FALLBACK' END, CASE WHEN NOT title_ok THEN 'NOTITLE' END], lambda x: x IS NOT NULL), ' ') AS flags FROM qd""")
 def quality_rows(spark, sf):
-    return Q.flags(_quality(spark, sf)).select("doc_id", "sections", "tables", "coverage", "has4", "toc_leak", (F.size("dup") > 0).alias("dup"), "disorder", "flags")
+    return Q.flags(_quality(spark, sf)).select("doc_id", "ok", "error", "sections", "tables", "coverage", "n_top", "has4", "toc_leak", "title_leak", (F.size("dup") > 0).alias("dup"), "disorder", "mkb_n", "warns", "from_registry", "title_ok", "flags")
 
 
-@query("quality_summary", f"""WITH {QR} SELECT count(*) AS n_ok, 0::BIGINT AS n_bad, round(avg(coverage), 6) AS coverage_mean, quantile_cont(coverage, 0.5) AS coverage_median, min(coverage) AS coverage_min, count(*) FILTER (coverage < 80) AS below_80, count(*) FILTER (coverage < 50) AS below_50,
+@query("quality_summary", f"""WITH {QR} SELECT count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_bad, round(avg(coverage), 6) AS coverage_mean, quantile_cont(coverage, 0.5) AS coverage_median, min(coverage) AS coverage_min, count(*) FILTER (coverage < 80) AS below_80, count(*) FILTER (coverage < 50) AS below_50,
   count(*) FILTER (from_registry) AS from_registry, count(*) FILTER (NOT from_registry) AS from_title, count(*) FILTER (title_ok) AS with_title, count(*) FILTER (mkb_n > 0) AS with_codes, count(*) FILTER (has4) AS with_section_4, count(*) FILTER (toc_leak) AS toc_leaks,
   count(*) FILTER (dup) AS with_duplicates, count(*) FILTER (disorder) AS in_disorder, sum(tables)::BIGINT AS tables, count(*) FILTER (tables > 0) AS with_tables, round(avg(sections), 6) AS sections_mean, min(sections) AS sections_min, max(sections) AS sections_max FROM qd""")
 def quality_summary(spark, sf):
@@ -576,13 +600,13 @@ def quality_summary(spark, sf):
 
 
 @query("quality_problems", f"""WITH {QR}, p AS (SELECT doc_id::VARCHAR AS file, unnest(list_filter([CASE WHEN NOT has4 THEN 'no_section_4' END, CASE WHEN toc_leak THEN 'toc_leak' END, CASE WHEN coverage < 80 THEN 'low_coverage' END, CASE WHEN dup THEN 'duplicates' END,
-  CASE WHEN disorder THEN 'disorder' END, CASE WHEN NOT from_registry THEN 'fallback' END], lambda x: x IS NOT NULL)) AS problem FROM qd)
+  CASE WHEN disorder THEN 'disorder' END, CASE WHEN NOT from_registry THEN 'fallback' END, CASE WHEN NOT ok THEN 'error' END], lambda x: x IS NOT NULL)) AS problem FROM qd)
 SELECT problem, count(*) AS n, array_to_string(list(file ORDER BY file)[1:25], ',') AS files FROM p GROUP BY problem""")
 def quality_problems(spark, sf):
     return Q.problems(_quality(spark, sf)).select("problem", "n", F.array_join("files", ",").alias("files"))
 
 
-@query("quality_regression", f"WITH {QR} SELECT doc_id, NOT dup AND NOT disorder AND coverage >= 99 AS passed FROM qd")
+@query("quality_regression", f"WITH {QR} SELECT doc_id, coalesce(ok AND NOT dup AND NOT disorder AND coverage >= 99 AND NOT title_leak, false) AS passed FROM qd")
 def quality_regression(spark, sf):
     return Q.regression(_quality(spark, sf))
 
@@ -734,6 +758,215 @@ def title_page(spark, sf):
     return ClinicalGuideline().title_page(texts).select("doc_id", "title", "id")
 
 
+# --- texts, sheets, boxes -----------------------------------------------------------------------------------------------
+@query("full_text", "SELECT doc_id, text || chr(10) AS full_text FROM documents WHERE text IS NOT NULL")
+def full_text(spark, sf):
+    # seven lines a page, and an empty page at the end
+    lines = A.document_lines(A.table(spark, sf, "documents")).withColumn("page", F.floor(F.col("seq") / 7).cast("int"))
+    last = lines.groupBy("doc_id").agg((F.max("page") + 1).alias("page"))
+    return L.page_texts(lines.select("doc_id", "page").distinct().unionByName(last), lines)
+
+
+@query("line_box", f"WITH {EL} SELECT doc_id, seq, CASE WHEN idx % 3 = 0 THEN 0.0 ELSE size END AS x0, y0, 0.0::DOUBLE AS x1, (y0 + 10)::DOUBLE AS y1 FROM el")
+def line_box(spark, sf):
+    rows = A.event_lines(A.table(spark, sf, "events"))
+    box = F.struct(F.when(F.col("idx") % 3 != 0, F.col("size")).alias("x0"), F.col("y0").alias("y0"), F.lit(None).cast("double").alias("x1"), (F.col("y0") + 10).cast("int").alias("y1"))
+    return rows.select("doc_id", "seq", F.inline(F.array(L.box(box))))
+
+
+@query("registry_sheet", """WITH r AS (SELECT 3 + c_custkey AS ord, CASE WHEN c_custkey % 7 = 0 THEN ' ' ELSE (c_custkey % 1000)::VARCHAR END AS id, c_name AS name, c_mktsegment AS status FROM customer)
+SELECT id, min(ord)::INT AS ord, arg_max(name, ord) AS name, arg_max(status, ord) AS status FROM r WHERE id <> ' ' GROUP BY id""")
+def registry_sheet(spark, sf):
+    key = F.col("c_custkey").cast("int")
+    cells = F.array(F.when(key % 7 == 0, " ").otherwise((key % 1000).cast("string")), "c_name", "c_mktsegment")
+    head = spark.createDataFrame([(0, ["Реестр рекомендаций"]), (1, []), (2, [" id ", "Наименование  рекомендации", "Статус"])], "ord int, cells array<string>")
+    found = R.from_sheet(head.unionByName(A.table(spark, sf, "customer").select((key + 3).alias("ord"), cells.alias("cells"))))
+    return found.select("id", "ord", F.col("row")["Наименование рекомендации"].alias("name"), F.col("row")["Статус"].alias("status"))
+
+
+@query("region_markers", f"""WITH {NL}, r AS (SELECT id, ['Оглавление', ' СОДЕРЖАНИЕ ', 'Список литературы' || ['', ':', ' и ещё'][id // 7 % 3 + 1], 'Приложение А' || id, 'приложения ' || id, 'Содержание ' || id, text][id % 7 + 1] AS t FROM nl)
+SELECT id, CASE WHEN regexp_matches(t, '(?i)^\\s*(оглавление|содержание)\\s*$') THEN 'toc' WHEN regexp_matches(t, '(?i)^\\s*список\\s+литературы\\s*[.:]?\\s*$') THEN 'references' WHEN regexp_matches(t, '(?i)^\\s*приложение($|[^\\p{{L}}\\p{{N}}_])') THEN 'appendices' END AS region FROM r""")
+def region_markers(spark, sf):
+    i = F.col("id")
+    end = F.get(F.array(*map(F.lit, ("", ":", " и ещё"))), (F.floor(i / 7) % 3).cast("int"))
+    key = i.cast("string")
+    texts = F.array(F.lit("Оглавление"), F.lit(" СОДЕРЖАНИЕ "), F.concat(F.lit("Список литературы"), end), F.concat(F.lit("Приложение А"), key), F.concat(F.lit("приложения "), key), F.concat(F.lit("Содержание "), key), F.col("text"))
+    return A.numbered_lines(A.table(spark, sf, "part")).select("id", ClinicalGuideline().region(F.get(texts, (i % 7).cast("int"))).alias("region"))
+
+
+@query("title_leaked", f"""WITH {NL}, d AS (SELECT id, text || [' и', ',', ' методов', ' –', '', ' критериев к', ' ПО'][id % 7 + 1] AS t, ['продолжение ', ' Текст', '1 текст', ''][id % 4 + 1] AS x FROM nl)
+SELECT id, NOT contains(lower(t), 'критери') AND (right(t, 1) IN (',', '-', '–', '(') OR {' OR '.join(f'''ends_with(lower(t), ' {w}') OR lower(t) = '{w}' ''' for w in _DANGLING)}) AND regexp_matches(trim(x), '^\\p{{Ll}}') AS leaked FROM (SELECT id, trim(t) AS t, x FROM d)""")
+def title_leaked(spark, sf):
+    end = F.get(F.array(*map(F.lit, (" и", ",", " методов", " –", "", " критериев к", " ПО"))), (F.col("id") % 7).cast("int"))
+    text = F.get(F.array(*map(F.lit, ("продолжение ", " Текст", "1 текст", ""))), (F.col("id") % 4).cast("int"))
+    return A.numbered_lines(A.table(spark, sf, "part")).select("id", Q.leaked(F.concat("text", end), text).alias("leaked"))
+
+
+# --- metadata, warnings, summaries ----------------------------------------------------------------------------------------
+@query("metadata_full", """WITH r AS (SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 4 = 0 THEN ' ' ELSE 'I10; Е11.' || c_custkey % 10 END AS codes, CASE c_custkey % 3 WHEN 0 THEN (1990 + c_custkey % 30)::VARCHAR END AS year,
+  CASE c_custkey % 3 WHEN 1 THEN '12.05.' || (2000 + c_custkey % 20) END AS published FROM customer WHERE c_custkey % 5 <> 0),
+t AS (SELECT o_orderkey AS doc_id, o_custkey AS probe, CASE WHEN o_orderkey % 2 = 0 THEN (2000 + o_orderkey % 24)::VARCHAR END AS year, 'N13.' || o_orderkey % 10 || ' C50' AS codes FROM orders)
+SELECT doc_id, coalesce(name, 'Название титула') AS title, probe::VARCHAR AS id, CASE WHEN name IS NULL THEN t.year ELSE coalesce(t.year, r.year, right(published, 4)) END AS year,
+  CASE WHEN name IS NULL THEN 'взрослые и дети' ELSE 'Дети' END AS age_group, CASE WHEN trim(r.codes) <> '' THEN 'I10 ' || right(r.codes, 5).replace('Е', 'E') ELSE t.codes END AS mkb_codes,
+  CASE WHEN name IS NOT NULL THEN 'Союз врачей, Фонд ' || probe END AS developer, CASE WHEN name IS NOT NULL THEN 'Да' END AS approval_status, published AS publication_date, name IS NOT NULL AS registry_matched FROM t LEFT JOIN r ON r.id = t.probe""")
+def metadata_full(spark, sf):
+    key = F.col("c_custkey")
+    k = key.cast("string")
+    pairs = {
+        "Наименование": F.col("c_name"), "возрастная  категория": F.lit(" Дети "), "Разработчик": F.concat(F.lit("Союз врачей. , Фонд "), k), "Статус одобрения": F.lit("Да"),
+        "МКБ 10": F.when(key % 4 == 0, " ").otherwise(F.concat(F.lit("I10; Е11."), (key % 10).cast("string"))), "Год": F.when(key % 3 == 0, (1990 + key % 30).cast("string")),
+        "Дата публикации": F.when(key % 3 == 1, F.concat(F.lit("12.05."), (2000 + key % 20).cast("string"))),
+    }
+    row = F.create_map(*[x for name, value in pairs.items() for x in (F.lit(name), value)])
+    registry = A.table(spark, sf, "customer").where(key % 5 != 0).select(key.cast("int").alias("ord"), k.alias("id"), row.alias("row"))
+    o = F.col("o_orderkey")
+    year = F.when(o % 2 == 0, F.concat(F.lit("Год утверждения (частота): "), (2000 + o % 24).cast("string"), F.lit("\n"))).otherwise("")
+    full = F.concat(year, F.lit("Возрастная категория - взрослые и дети\nМКБ-10: N13."), (o % 10).cast("string"), F.lit(", С50 и N13."), (o % 10).cast("string"))
+    texts = A.table(spark, sf, "orders").select(o.alias("doc_id"), F.concat(F.lit("кр "), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("source_file"), full.alias("full_text"), F.lit("КЛИНИЧЕСКИЕ РЕКОМЕНДАЦИИ\nID: 5\n Название  титула").alias("first_page_text"))
+    found = ClinicalGuideline().metadata(texts, registry)
+    return found.select("doc_id", "title", "id", "year", "age_group", F.array_join("mkb_codes", " ").alias("mkb_codes"), "developer", "approval_status", "publication_date", "registry_matched")
+
+
+def _message(code: str, value: str | None = None) -> str:
+    """The message in SQL, with a value in its place."""
+    text = P.MESSAGES[code].replace("'", "''")
+    return "'" + text.replace("%d", f"' || {value} || '").replace("%s", f"' || {value} || '").replace("%%", "%") + "'"
+
+
+WARN = f"""{EL}, wd AS (SELECT DISTINCT doc_id, doc_id % 7 = 0 AS scan, doc_id % 3 AS junk, doc_id % 2 AS small, CASE WHEN doc_id % 5 <> 0 THEN doc_id::VARCHAR END AS probe, doc_id % 4 <> 0 AS known, doc_id % 8 = 1 AS matched, doc_id % 6 AS sections, (doc_id % 100 + 0.5)::DOUBLE AS coverage FROM el),
+wn AS (SELECT doc_id, unnest([{', '.join(f"CASE WHEN {c} THEN {{'ord': {i}, 'code': '{code}', 'message': {_message(code, v)}}} END" for i, (code, c, v) in enumerate((
+  ("W_SCAN", "scan", None), ("W_JUNK", "junk > 0", "junk"), ("W_SMALL", "small > 0", "small"), ("W_NO_ID", "probe IS NULL", None), ("W_NO_REGISTRY", "NOT known", None), ("W_NOT_FOUND", "known AND probe IS NOT NULL AND NOT matched", "probe"),
+  ("W_NO_TITLE", "doc_id % 9 = 0", None), ("W_NO_ICD", "doc_id % 10 = 0", None), ("W_NO_SECTIONS", "sections = 0", None), ("W_LOWCOV", "coverage < 50", "coverage"))))}]) AS w FROM wd)"""
+
+
+def _warned(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """texts, counters, metadata and stats of the events' users."""
+    d = F.col("doc_id")
+    rows = A.event_lines(A.table(spark, sf, "events")).select("doc_id").distinct()
+    texts = rows.select("doc_id", F.when(d % 7 == 0, " \n").otherwise("текст").alias("full_text"))
+    counters = rows.select("doc_id", (d % 3).alias("junk"), (d % 2).alias("small")).where("junk > 0 or small > 0")
+    codes = F.when(d % 10 != 0, F.array(F.lit("A00"), F.lit("B01"))).otherwise(F.array().cast("array<string>"))
+    metadata = rows.select(
+        "doc_id", F.concat(d.cast("string"), F.lit(".pdf")).alias("source_file"), F.when(d % 9 != 0, "Название").otherwise("").alias("title"), F.when(d % 5 != 0, d.cast("string")).alias("id"), F.when(d % 5 != 0, d.cast("string")).alias("probe"),
+        F.when(d % 3 != 0, "2020").alias("year"), F.lit("Дети").alias("age_group"), codes.alias("mkb_codes"), (d % 4 != 0).alias("registry_known"), (d % 8 == 1).alias("registry_matched"),
+    )
+    stats = rows.select("doc_id", (d % 6).cast("long").alias("sections_found"), (d % 3).cast("long").alias("tables_found"), (d % 100 + 0.5).cast("double").alias("coverage_percent"), (d * 2).cast("long").alias("accounted_chars"), (d * 3).cast("long").alias("total_chars"))
+    return texts, counters, metadata, stats
+
+
+@query("warnings_raised", f"WITH {WARN} SELECT doc_id, w.ord AS ord, w.code AS code, w.message AS message FROM wn WHERE w IS NOT NULL")
+def warnings_raised(spark, sf):
+    return STATS.warnings(*_warned(spark, sf))
+
+
+@query("low_coverage", f"WITH {WARN} SELECT doc_id, coverage FROM wd WHERE coverage < 50")
+def low_coverage(spark, sf):
+    texts, counters, metadata, stats = _warned(spark, sf)
+    return STATS.warnings(texts, counters, metadata, stats).where("code = 'W_LOWCOV'").join(stats, "doc_id").select("doc_id", F.col("coverage_percent").alias("coverage"))
+
+
+@query("document_summary", f"""WITH {WARN}, m AS (SELECT doc_id, count(*) AS n, string_agg('    - ' || w.message, chr(10) ORDER BY w.ord) AS list FROM wn WHERE w IS NOT NULL GROUP BY doc_id)
+SELECT doc_id, '✓ ' || doc_id || '.pdf  [id=' || coalesce(probe, 'None') || ']' || chr(10) || '  Название : ' || CASE WHEN doc_id % 9 <> 0 THEN 'Название' ELSE '' END || chr(10) || '  Год / возраст : ' || CASE WHEN doc_id % 3 <> 0 THEN '2020' ELSE 'None' END || ' / Дети' || chr(10)
+  || '  МКБ : ' || CASE WHEN doc_id % 10 <> 0 THEN 'A00, B01' ELSE '—' END || chr(10) || '  Разделов : ' || sections || '   Таблиц : ' || doc_id % 3 || chr(10) || '  Покрытие : ' || coverage || '%   (учтено ' || doc_id * 2 || '/' || doc_id * 3 || ' симв.)'
+  || coalesce(chr(10) || '  Предупреждения (' || n || '):' || chr(10) || list, '') AS summary FROM wd LEFT JOIN m USING (doc_id)""")
+def document_summary(spark, sf):
+    from types import SimpleNamespace
+
+    from .sources import sinks
+
+    texts, counters, metadata, stats = _warned(spark, sf)
+    return sinks.summary(SimpleNamespace(metadata=metadata, stats=stats, warnings=STATS.warnings(texts, counters, metadata, stats))).select("doc_id", "summary")
+
+
+# --- the predecessor's metadata, order and statistics -----------------------------------------------------------------------
+@query("legacy_metadata", """SELECT p_partkey AS doc_id, CASE WHEN p_partkey % 5 <> 0 THEN 'КР' || p_partkey ELSE 'файл.' || p_partkey END AS document, CASE WHEN p_partkey % 4 <> 0 THEN p_name ELSE 'крупно ' || p_partkey END AS title,
+  CASE WHEN p_partkey % 3 <> 0 THEN 2000 + p_partkey % 24 END::INT AS approval_year, (2025 + p_partkey % 5)::INT AS revision_year, 'C' || (p_partkey % 90 + 10) || ' E11.' || p_partkey % 10 AS icd_10,
+  CASE WHEN p_partkey % 2 = 0 THEN 'Взрослые и дети' END AS age_category, CASE WHEN p_partkey % 6 <> 0 THEN 'Союз А Москвы; Фонд ' || p_partkey ELSE '' END AS developers FROM part""")
+def legacy_metadata(spark, sf):
+    k = F.col("p_partkey")
+    key = k.cast("string")
+    rows = [
+        F.when(k % 4 != 0, F.lit("Клинические рекомендации:")), F.col("p_name"), F.concat(F.lit("проблем, связанных со здоровьем: С"), (k % 90 + 10).cast("string"), F.lit(", Е11."), (k % 10).cast("string")),
+        F.when(k % 3 != 0, F.concat(F.lit("Год утверждения (частота пересмотра): "), (2000 + k % 24).cast("string"))), F.concat(F.lit("Пересмотр не позднее: "), (2025 + k % 5).cast("string")),
+        F.when(k % 2 == 0, F.lit("Возрастная категория: Взрослые и дети ")), F.when(k % 5 != 0, F.concat(F.lit("ID: "), key)),
+        F.when(k % 6 != 0, F.concat(F.lit("Разработчик клинической рекомендации\nСоюз А\nМосквы\nФонд "), key, F.lit("\nОдобрено НПС\nСоюз Б"))),
+    ]
+    texts = A.table(spark, sf, "part").select(k.alias("doc_id"), F.concat(F.lit("файл."), key, F.lit(".pdf")).alias("source_file"), F.concat_ws("\n", *rows).alias("first_page_text"))
+    # the first page's lines: the largest is the second; the mark is larger but no title
+    lines = texts.select("doc_id", F.posexplode(F.array(F.lit("Клинические рекомендации"), F.lit("мелко"), F.concat(F.lit("крупно "), F.col("doc_id").cast("string")), F.lit("так же крупно"))).alias("seq", "text"))
+    lines = lines.withColumn("page", F.lit(0)).withColumn("size", F.when(F.col("seq") == 0, 30.0).when(F.col("seq") >= 2, 20.0).otherwise(10.0))
+    found = V1.metadata(texts.join(V1.largest_line(lines), "doc_id", "left"))
+    return found.select("doc_id", "document", "title", "approval_year", "revision_year", F.array_join("icd_10", " ").alias("icd_10"), "age_category", F.array_join("developers", "; ").alias("developers"))
+
+
+@query("legacy_reading_order", f"WITH {EL} SELECT doc_id, idx::INT AS idx, (row_number() OVER (PARTITION BY doc_id ORDER BY page, (idx // 3) * 7 % 5, idx // 3, idx) - 1)::INT AS seq FROM el")
+def legacy_reading_order(spark, sf):
+    block = F.floor(F.col("idx") / 3)
+    rows = A.event_lines(A.table(spark, sf, "events")).select("doc_id", "idx", "page", block.alias("block_no"), (block * 7 % 5).cast("double").alias("block_y0"), F.col("idx").alias("line_no"))
+    return V1.reading_order(rows).select("doc_id", "idx", "seq")
+
+
+@query("legacy_stats", f"""WITH RECURSIVE {V1S}, s AS (SELECT doc_id, sec_no, section_id, CASE WHEN number IS NULL THEN title ELSE regexp_replace(title, '^\\d+(?:\\.\\d+){{0,2}}\\.?\\s*', '') END AS title, coalesce(text, '') AS text FROM sec LEFT JOIN tx USING (doc_id, sec_no)),
+x AS (SELECT doc_id, string_agg(u.text, chr(10) ORDER BY unit) AS t FROM w JOIN u USING (doc_id, unit) WHERE stray IS NOT NULL GROUP BY doc_id, stray),
+tb AS (SELECT doc_id, idx AS tbl_no, page, y0 AS top FROM el WHERE event_type = 'view'),
+tl AS (SELECT tb.*, (SELECT min(sec_no) FROM sec s WHERE s.doc_id = tb.doc_id AND (s.page > tb.page OR (s.page = tb.page AND s.y > tb.top))) AS stop, (SELECT max(sec_no) FROM sec s WHERE s.doc_id = tb.doc_id) AS most FROM tb),
+ow AS (SELECT tl.doc_id, tbl_no FROM tl JOIN sec s ON s.doc_id = tl.doc_id AND s.sec_no = coalesce(stop - 1, most) LEFT JOIN tx ON tx.doc_id = s.doc_id AND tx.sec_no = s.sec_no WHERE coalesce(tx.last, s.page) >= tl.page),
+n AS (SELECT doc_id, sum(length(text) + 1)::BIGINT AS total FROM v0 GROUP BY doc_id),
+a AS (SELECT n.doc_id, total, (SELECT count(*) FROM s WHERE s.doc_id = n.doc_id) AS sections, (SELECT count(*) FROM tb WHERE tb.doc_id = n.doc_id) AS tables, coalesce((SELECT sum(length(text)) FROM s WHERE s.doc_id = n.doc_id), 0)::BIGINT AS body,
+  coalesce((SELECT sum(length(title)) FROM s WHERE s.doc_id = n.doc_id), 0)::BIGINT AS titles, coalesce((SELECT sum(length(t)) FROM x WHERE x.doc_id = n.doc_id), 0)::BIGINT AS out, 5 * (SELECT count(*) FROM ow WHERE ow.doc_id = n.doc_id) AS raw FROM n)
+SELECT doc_id, sections AS sections_found, tables AS tables_found, round_even(body / total * 100, 1) AS text_coverage_pct, round_even((body + out + raw + titles) / total * 100, 1) AS text_accounted_pct FROM a""")
+def legacy_stats(spark, sf):
+    from .sources.store import materialize
+
+    placed = materialize(_v1(spark, sf))
+    events = A.event_lines(A.table(spark, sf, "events"))
+    tables = events.where("event_type = 'view'").select("doc_id", F.col("idx").alias("tbl_no"), F.col("page").alias("page0"), F.col("y0").alias("top"), F.lit("сырое").substr(1, 5).alias("raw_text"))
+    sections = materialize(V1.sections(placed))
+    texts = placed.groupBy("doc_id").agg(F.sum(F.length(F.coalesce("title", "text")) + 1).alias("total_chars"))
+    return V1.stats(texts, sections, V1.excluded(placed), V1.attach(sections, tables))
+
+
+# --- the whole fold: pending numbers, titles over several lines ---------------------------------------------------------------
+FT = f"""{EL}, k0 AS (SELECT *, CASE WHEN event_type IN ('signup', 'purchase') THEN 'numbered' WHEN event_type = 'error' THEN CASE WHEN idx % 4 = 0 THEN 'named' ELSE 'number_only' END END AS kind,
+  CASE WHEN event_type = 'purchase' OR (event_type = 'error' AND idx % 4 = 1) THEN 2 WHEN event_type IN ('signup', 'error') THEN 1 END AS lvl FROM el),
+k1 AS (SELECT doc_id, idx, kind, CASE WHEN kind = 'named' THEN NULL WHEN lvl = 1 THEN [(y0 % 9 + 1)::INT] WHEN lvl = 2 THEN [1, (y0 % 7)::INT] END AS num, lvl, size > 60 AS visual, idx % 11 = 0 AS brk, idx % 3 <> 0 AS may, size > 100 AS always, idx % 5 = 0 AS at_top, idx % 4 = 1 AS closes,
+  CASE WHEN lag(kind) OVER (PARTITION BY doc_id ORDER BY idx) = 'number_only' AND coalesce(kind, 'named') = 'named' AND idx % 2 = 0 THEN 1 + (idx % 3 = 0)::INT END AS attach, (idx % 90 * 2)::INT AS length, idx % 7 = 0 AS sign, idx % 9 = 0 AS hyphen, idx % 6 = 0 AS open, idx % 8 = 0 AS word, (idx % 3 - 1)::INT AS balance FROM k0),
+st AS (SELECT DISTINCT doc_id, -1::BIGINT AS idx, '' AS action, NULL::INT AS sec, 0 AS sections, NULL::INT AS cur, NULL::INT[] AS last, 0 AS top, false AS titled, 0 AS len, 0 AS bal, false AS hyph, false AS op, NULL::INT[] AS onum, 0 AS olvl, false AS waiting, NULL::INT[] AS wnum, 0 AS wlvl, 0 AS skip FROM k1
+  UNION ALL
+  SELECT h.doc_id, h.idx, CASE WHEN a = 'text' THEN CASE WHEN cur1 IS NULL THEN 'other' ELSE 'body' END ELSE a END,
+    CASE a WHEN 'word' THEN s.sections - 1 WHEN 'cont' THEN s.sections - 1 WHEN 'pending' THEN NULL WHEN 'text' THEN cur1 ELSE sec1 - 1 END, sec1, CASE WHEN a = 'named' THEN sec1 - 1 ELSE cur1 END, last1,
+    CASE WHEN begins AND blvl = 1 THEN greatest(s.top, bnum[1]) ELSE s.top END, CASE WHEN begins THEN true WHEN a IN ('cont', 'word') THEN s.titled ELSE false END,
+    CASE WHEN begins THEN h.length WHEN a = 'cont' AND h.length > 0 THEN s.len + h.length + space::INT ELSE s.len END, CASE WHEN begins THEN CASE WHEN h.length > 0 THEN h.balance ELSE 0 END WHEN a = 'cont' AND h.length > 0 THEN s.bal + h.balance ELSE s.bal END,
+    CASE WHEN begins THEN h.length > 0 AND h.hyphen WHEN a = 'cont' AND h.length > 0 THEN h.hyphen ELSE s.hyph END, CASE WHEN begins THEN h.length > 0 AND h.open WHEN a = 'cont' AND h.length > 0 THEN h.open OR (h.word AND space) ELSE s.op END,
+    CASE WHEN begins THEN bnum ELSE s.onum END, CASE WHEN begins THEN blvl ELSE s.olvl END, a = 'pending', CASE WHEN a = 'pending' THEN h.num ELSE s.wnum END, CASE WHEN a = 'pending' THEN h.lvl ELSE s.wlvl END,
+    CASE WHEN a = 'attach' THEN h.attach - 1 WHEN a = 'word' THEN s.skip - 1 ELSE 0 END
+  FROM (SELECT st.*, st.idx + 1 AS nxt FROM st) s JOIN k1 h ON h.doc_id = s.doc_id AND h.idx = s.nxt,
+    LATERAL (SELECT coalesce(CASE WHEN h.lvl = 1 THEN h.num[1] = s.top + 1 OR (h.num[1] > s.top AND h.visual) ELSE s.last IS NULL OR h.num > s.last END, false) AS fits) f,
+    LATERAL (SELECT CASE WHEN s.skip > 0 THEN 'word' WHEN s.waiting AND h.attach IS NOT NULL THEN 'attach'
+      WHEN s.titled AND NOT h.brk AND h.may AND h.kind IS NULL AND s.len <= 320 AND (s.op OR h.always OR (h.at_top AND s.olvl = 1) OR (h.closes AND s.bal > 0)) THEN 'cont'
+      WHEN h.kind = 'numbered' AND fits THEN 'open' WHEN h.kind = 'number_only' AND (h.lvl = 1 OR h.visual) AND fits THEN 'pending' WHEN h.kind = 'named' THEN 'named' ELSE 'text' END AS a) x,
+    LATERAL (SELECT a IN ('open', 'attach') AS begins, a IN ('open', 'pending', 'named', 'text') AND s.titled AS ends, CASE WHEN a = 'open' THEN h.num ELSE s.wnum END AS bnum, CASE WHEN a = 'open' THEN h.lvl ELSE s.wlvl END AS blvl, s.len > 0 AND NOT s.hyph AND NOT h.sign AS space) y,
+    LATERAL (SELECT s.sections + (a IN ('open', 'attach', 'named'))::INT AS sec1, CASE WHEN ends THEN s.sections - 1 ELSE s.cur END AS cur1, CASE WHEN ends THEN coalesce(s.onum, s.last) ELSE s.last END AS last1) z)"""
+
+
+@query("fold_actions", f"WITH RECURSIVE {FT} SELECT doc_id, idx::INT AS idx, action, sec::INT AS sec_no FROM st WHERE idx >= 0")
+def fold_actions(spark, sf):
+    i, kind = F.col("idx"), F.col("event_type")
+    y = F.col("y0")
+    rows = A.event_lines(A.table(spark, sf, "events")).select("doc_id", "idx", "size", "y0", "event_type")
+    rows = rows.withColumn("kind", F.when(kind.isin("signup", "purchase"), "numbered").when(kind == "error", F.when(i % 4 == 0, "named").otherwise("number_only")))
+    rows = rows.withColumn("level", F.when((kind == "purchase") | ((kind == "error") & (i % 4 == 1)), 2).when(kind.isin("signup", "error"), 1))
+    number = F.when(F.col("level") == 1, (y % 9 + 1).cast("int").cast("string")).when(F.col("level") == 2, F.concat(F.lit("1."), (y % 7).cast("int").cast("string")))
+    before = F.lag("kind").over(Window.partitionBy("doc_id").orderBy("idx"))
+    waits = (before == "number_only") & (F.coalesce("kind", F.lit("named")) == "named") & (i % 2 == 0)
+    rows = rows.select(
+        "doc_id", "idx", "kind", F.when(F.col("kind") != "named", number).alias("number"), "level", (F.col("size") > 60).alias("visual"), (i % 11 == 0).alias("break_before"), (i % 3 != 0).alias("may"), (F.col("size") > 100).alias("always"),
+        (i % 5 == 0).alias("at_top"), (i % 4 == 1).alias("closes"), F.when(waits, F.lit(1) + (i % 3 == 0).cast("int")).alias("attach_lines"), (i % 90 * 2).cast("int").alias("length"), (i % 7 == 0).alias("sign"), (i % 9 == 0).alias("hyphen"),
+        (i % 6 == 0).alias("open"), (i % 8 == 0).alias("word"), (i % 3 - 1).cast("int").alias("balance"),
+    )
+    return FO.fold(rows, order="idx").select("doc_id", "idx", "action", "sec_no")
+
+
 # --- end to end -----------------------------------------------------------------------------------------------------------
 def page_layout(pages: DataFrame):
     """The web pages as a layout: every heading, paragraph, bold run and title is a line; one page a document."""
@@ -741,10 +974,11 @@ def page_layout(pages: DataFrame):
 
     rows = A.html_lines(pages).withColumn("doc_id", F.col("doc_id").cast("string"))
     box = F.struct(F.lit(50.0).alias("x0"), (F.col("seq") * 14.0).alias("y0"), F.lit(250.0).alias("x1"), (F.col("seq") * 14.0 + 10).alias("y1"))
-    # every ninth line is numbered with the sections' titles in turn, so that there are sections to find
+    # before every ninth line one of the sections' titles in turn, so that there are sections to find
     main = F.array(*[F.lit(f"{numbers[0]}. {title.capitalize()}") for title, numbers in P.MAIN_SECTIONS])
-    text = F.when(F.col("seq") % 9 == 4, F.get(main, F.floor(F.col("seq") / 9).cast("int") % len(P.MAIN_SECTIONS))).otherwise(F.col("text"))
-    lines = rows.select("doc_id", "seq", F.lit(1).alias("page"), T.clean_line(text).alias("text"), box.alias("bbox"), "size", "bold", F.when(F.col("seq") > 0, 14.0).otherwise(0.0).alias("gap_before"))
+    planted = rows.where("seq % 9 = 4").select("doc_id", (F.col("seq") * 2 - 1).alias("seq"), F.get(main, F.floor(F.col("seq") / 9).cast("int") % len(P.MAIN_SECTIONS)).alias("text"), F.lit(18.0).alias("size"), F.lit(True).alias("bold"))
+    rows = rows.select("doc_id", (F.col("seq") * 2).alias("seq"), "text", "size", "bold").unionByName(planted)
+    lines = rows.select("doc_id", "seq", F.lit(1).alias("page"), T.clean_line(F.col("text")).alias("text"), box.alias("bbox"), "size", "bold", F.when(F.col("seq") > 0, 14.0).otherwise(0.0).alias("gap_before"))
     documents = pages.select(F.col("page_id").cast("string").alias("doc_id"), F.col("url").alias("path"), F.concat(F.lit("КР"), F.col("page_id").cast("string"), F.lit(".pdf")).alias("source_file"), F.lit("").alias("first_page_text"))
     sizes = documents.select("doc_id", F.lit(1).alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"))
     return Layout(documents, sizes, lines.where("text <> ''"))

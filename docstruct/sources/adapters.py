@@ -15,13 +15,22 @@ def document_lines(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("seq", "text"))
 
 
+#: Fixed values of the adapter: sizes of titles and headings, elements set in bold.
+HTML_SIZES = {"title": 18.0, "h1": 24.0, "h2": 20.0, "h3": 18.0, "h4": 16.0, "h5": 16.0, "h6": 16.0}
+HTML_BOLD = ("h1", "h2", "h3", "h4", "h5", "h6", "b", "strong", "th")
+
+
 def html_lines(pages: DataFrame) -> DataFrame:
-    """PB: (doc_id, seq, tag, text, size, bold) from headings, paragraphs, bold runs and titles that hold text only."""
-    pattern = F.lit(r"<(h1|p|b|title)>([^<]*)")
-    rows = pages.select(F.col("page_id").alias("doc_id"), F.arrays_zip(F.regexp_extract_all("html", pattern, F.lit(1)).alias("tag"), F.regexp_extract_all("html", pattern, F.lit(2)).alias("text")).alias("m"))
-    rows = rows.select("doc_id", F.posexplode("m").alias("seq", "m")).select("doc_id", "seq", "m.tag", "m.text").where("text <> ''")
-    size = F.when(F.col("tag") == "h1", 24.0).when(F.col("tag") == "title", 18.0).otherwise(12.0)
-    return rows.withColumn("size", size).withColumn("bold", F.col("tag").isin("h1", "b"))
+    """PB: (doc_id, seq, tag, text, size, bold): every text between tags but those of scripts, styles and comments, with the tag before it."""
+    shown = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->", "")
+    pattern = F.lit(r"<(/?[a-zA-Z][a-zA-Z0-9]*)[^<>]*>([^<]*)")
+    page = F.concat(F.lit("<p>"), shown)
+    rows = pages.select(F.col("page_id").alias("doc_id"), F.arrays_zip(F.regexp_extract_all(page, pattern, F.lit(1)).alias("tag"), F.regexp_extract_all(page, pattern, F.lit(2)).alias("text")).alias("m"))
+    rows = rows.select("doc_id", F.posexplode("m").alias("seq", "m")).select("doc_id", "seq", F.lower("m.tag").alias("tag"), "m.text").where(F.trim("text") != "")
+    size = F.lit(12.0)
+    for tag, value in HTML_SIZES.items():
+        size = F.when(F.col("tag") == tag, value).otherwise(size)
+    return rows.withColumn("size", size).withColumn("bold", F.col("tag").isin(*HTML_BOLD))
 
 
 def event_lines(events: DataFrame) -> DataFrame:
