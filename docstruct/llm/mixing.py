@@ -46,6 +46,15 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def _digits(digest: Column, first: int) -> Column:
+    """A number of 60 bits from a hex digest's digits; SQL engines share MD5, but no faster hash."""
+    return F.conv(F.substring(digest, first, 15), 16, 10).cast("long")
+
+
+def _text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
 def apportion(rows: DataFrame, by: list[str], order: list[Column], votes: str, seats: str, total: str, cap: str) -> DataFrame:
     """rows and a column seats: their share of total by highest quotients votes / (2 k + 1), none above its cap.
 
@@ -97,7 +106,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     Repeated rows count as documents each. A source without words has target 0. An empty table gives an empty one.
     Reruns agree: order and choice depend on the seed, the ids and the texts only.
     """
-    narrow = [F.col(doc_id).alias("_id"), F.col(source).alias("_source"), words(F.col(text)).alias("_size"), F.xxhash64(F.lit(SEED), doc_id, text).alias("_lot")]
+    digest = F.md5(F.concat_ws("\x01", F.lit(str(SEED)), _text(doc_id), _text(text)))
+    narrow = [F.col(doc_id).alias("_id"), F.col(source).alias("_source"), words(F.col(text)).alias("_size"), _digits(digest, 1).alias("_lot"), _digits(digest, 16).alias("_turn")]
     sized = materialize(docs.select(*narrow))
     sizes = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"))
     every = Window.partitionBy(F.lit(1))
@@ -125,10 +135,10 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text:
     shards = shards.withColumn("_most", F.ceil(F.col("_words") * REPEATS / F.col("_unit")).cast("long"))
     shards = materialize(apportion(shards, ["_source"], [F.col("_shard")], "_words", "_seats", "_quota", "_most").drop("_quota", "_most"))
 
-    line = Window.partitionBy("_source", "_shard").orderBy(F.xxhash64("_lot", F.lit(SEED)), "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("_source", "_shard").orderBy("_turn", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
     rows = docs.select(*narrow, F.struct("*").alias("_row")) if carry else sized
     laid = placed(rows).withColumn("_end", F.sum("_size").over(line)).withColumn("_start", F.col("_end") - F.col("_size"))
-    shards = shards.withColumn("_drawn", F.xxhash64("_source", "_shard", F.lit(SEED))).withColumn("_stride", _stride())
+    shards = shards.withColumn("_drawn", _digits(F.md5(F.concat_ws("\x01", F.lit(str(SEED)), _text("_source"), _text("_shard"))), 1)).withColumn("_stride", _stride())
     keys = shards.select(F.col("_source").alias("_s"), F.col("_shard").alias("_h"), "_words", "source_size", "target", "_block", "_unit", "_seats", "_drawn", "_stride")
     laid = laid.join(keys, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_shard") == F.col("_h")))
     return laid.select(F.col("_id").alias(doc_id), F.col("_source").alias(source), F.col("_size").alias("size"), "source_size", "target", _taken().alias("taken"), *([F.col("_row").alias("row")] if carry else []))
@@ -162,3 +172,39 @@ def _taken() -> Column:
     touched = F.sequence(F.floor(F.col("_start") / block).cast("long"), F.floor((F.col("_end") - 1) / block).cast("long"))
     once_more = F.aggregate(F.transform(touched, overlap), F.lit(0).cast("long"), lambda a, x: a + x)
     return F.when(F.col("_size") == 0, F.lit(0).cast("long")).otherwise(passes * F.col("_size") + F.when(rest > 0, once_more).otherwise(F.lit(0).cast("long")))
+
+
+def duckdb_sql() -> str:
+    """The same in DuckDB for the documents table: every quotient is ranked, and every block laid out."""
+
+    def shared(rows: str, by: str, votes: str, most: str, total: str, order: str) -> str:
+        quotients = f"SELECT *, {votes} / (2 * k + 1) AS q FROM (SELECT *, unnest(range({most}::BIGINT)) AS k FROM {rows})"
+        return f"SELECT * EXCLUDE (k, q) FROM ({quotients}) QUALIFY row_number() OVER (PARTITION BY {by} ORDER BY q DESC, {order}, k) <= {total}"
+
+    number = lambda x, first: f"('0x' || substr({x}, {first}, 15))::BIGINT"
+    return f"""
+WITH d AS (SELECT *, {number('h', 1)} AS lot, {number('h', 16)} AS turn FROM (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS size,
+  md5('{SEED}' || chr(1) || coalesce(doc_id::VARCHAR, '') || chr(1) || coalesce(text, '')) AS h FROM documents)),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, (ARRAY{list(WEIGHTS)})[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1]::DOUBLE AS weight FROM d GROUP BY source),
+s1 AS (SELECT *, source_size * {float(REPEATS)}::DOUBLE AS cap, sum(source_size) OVER ()::BIGINT AS total, row_number() OVER (ORDER BY source_size * {float(REPEATS)}::DOUBLE / weight, source NULLS LAST) AS n FROM s0),
+lv AS (SELECT a.n, a.cap, a.weight, (any_value(a.total)::DOUBLE - coalesce(sum(b.cap) FILTER (b.n < a.n), 0)) / sum(b.weight) FILTER (b.n >= a.n) AS level FROM s1 a, s1 b GROUP BY a.n, a.cap, a.weight),
+fr AS (SELECT arg_min(level, n) AS level FROM lv WHERE cap >= level * weight),
+s2 AS (SELECT s1.*, coalesce(least(cap, level * weight), cap) AS target, greatest(1, least({BLOCK}, total // {BLOCKS})) AS block FROM s1, fr),
+s3 AS (SELECT *, source_size <= {SHARD} OR target >= source_size * {REPEATS} AS alone FROM s2),
+s4 AS (SELECT *, CASE WHEN alone THEN 1 ELSE block END AS unit, coalesce(round(sum(target) FILTER (alone) OVER ()), 0)::BIGINT AS singles FROM s3),
+s5 AS (SELECT *, CASE WHEN alone THEN singles ELSE round((total - singles) / block) END::BIGINT AS units, ceil(source_size * {REPEATS} / unit) AS most, greatest(1, source_size // greatest({SHARD}, total // {SHARDS})) AS shards FROM s4),
+q AS (SELECT source, count(*) AS quota FROM ({shared('s5', 'alone', 'target', 'most', 'units', 'source NULLS LAST')}) GROUP BY source),
+s6 AS (SELECT s5.*, coalesce(quota, 0) AS quota FROM s5 LEFT JOIN q ON q.source IS NOT DISTINCT FROM s5.source),
+dd AS (SELECT d.*, lot % shards AS shard, source_size, target, block, unit, quota FROM d JOIN s6 ON s6.source IS NOT DISTINCT FROM d.source),
+h0 AS (SELECT source, shard, quota, unit, block, sum(size)::BIGINT AS words, ceil(sum(size) * {REPEATS} / unit) AS most FROM dd GROUP BY source, shard, quota, unit, block),
+hq AS (SELECT source, shard, count(*) AS seats FROM ({shared('h0', 'source', 'words', 'most', 'quota', 'shard')}) GROUP BY source, shard),
+h1 AS (SELECT h0.*, coalesce(seats, 0) AS seats, words // block AS n_full, {number(f"md5('{SEED}' || chr(1) || coalesce(h0.source, '') || chr(1) || h0.shard::VARCHAR)", 1)} AS drawn FROM h0 LEFT JOIN hq ON hq.source IS NOT DISTINCT FROM h0.source AND hq.shard = h0.shard),
+h2 AS (SELECT *, greatest(1, n_full) AS f, list_transform(range({len(STRIDES)}), lambda i: {STRIDES}[(i + drawn) % {len(STRIDES)} + 1] % greatest(1, n_full)) AS steps, least(seats * unit, words * {REPEATS}) AS due FROM h1),
+h3 AS (SELECT *, coalesce(list_filter(steps, lambda x: x >= f / 6 AND x <= f - f / 6)[1], steps[1]) AS stride, CASE WHEN words > 0 THEN due // words ELSE 0 END AS passes FROM h2),
+h4 AS (SELECT *, due - passes * words AS rest, (due - passes * words) // block AS some_full FROM h3),
+l0 AS (SELECT *, sum(size) OVER (PARTITION BY source, shard ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM dd),
+l1 AS (SELECT l0.doc_id, l0.source, l0.size, l0.source_size, l0.target, l0.turn, e - size AS b, e, h4.* EXCLUDE (source, shard, quota, unit, most), row_number() OVER () AS r FROM l0 JOIN h4 ON h4.source IS NOT DISTINCT FROM l0.source AND h4.shard = l0.shard),
+bl AS (SELECT *, unnest(range(b // block, (e - 1) // block + 1)) AS j FROM l1 WHERE size > 0 AND rest > 0),
+bt AS (SELECT *, CASE WHEN j >= n_full THEN n_full ELSE ((j % f) * stride + drawn % f) % f END AS t FROM bl),
+bo AS (SELECT r, sum(greatest(0, least(e, j * block + CASE WHEN t < some_full THEN block WHEN t = some_full THEN rest - some_full * block ELSE 0 END) - greatest(b, j * block))) AS more FROM bt GROUP BY r)
+SELECT doc_id, source, size::BIGINT AS size, source_size, target, (passes * size + coalesce(more, 0))::BIGINT AS taken FROM l1 LEFT JOIN bo USING (r)"""

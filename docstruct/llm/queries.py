@@ -100,4 +100,4 @@ QUERIES = {
     "op9_licences": op9_licences,
     "op10_tokens": op10_tokens,
 }
-SQL: dict[str, str] = {"op9_licences": licenses.duckdb_sql()}
+SQL: dict[str, str] = {"op1_mix": mixing.duckdb_sql(), "op9_licences": licenses.duckdb_sql()}
