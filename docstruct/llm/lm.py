@@ -102,13 +102,13 @@ def _hash(token: str) -> int:
 class Shares:
     """How the tokens of shared slots divide them: log of each slot's total, logs of the counts of up to NEAR tokens, and a table of the rarer ones.
 
-    The table has (hash, log_n) of the tokens that were counted twice or more; for those that were counted once, as for
-    those that were not, the log is 0.
+    The table has (hash, log_n) of the tokens that were counted twice or more, if there are any that aren't near; for those
+    that were counted once, as for those that were not, the log is 0.
     """
 
     totals: np.ndarray
     near: dict[str, float]
-    far: DataFrame
+    far: DataFrame | None
 
 
 def shares(tokens: DataFrame, named: list[str]) -> Shares:
@@ -132,6 +132,8 @@ def shares(tokens: DataFrame, named: list[str]) -> Shares:
             break
         least = r["n"]
     near = {} if least is None else {r["token"]: log(r["n"]) for r in rest.where(F.col("n") >= least).select("token", "n").collect()}
+    if room >= 0:
+        return Shares(np.log(totals), near, None)
     few = rest.where("n > 1") if least is None else rest.where((F.col("n") > 1) & (F.col("n") < least))
     return Shares(np.log(totals), near, few.groupBy("hash").agg(F.log(F.sum("n").cast("double")).alias("log_n")))
 
@@ -516,6 +518,9 @@ def score(encoded: DataFrame, weights: dict[str, np.ndarray], tokens: str = "_to
     found = encoded.withColumn(out, pseudo(F.col(tokens)))
     if share is None:
         return found
+    if share.far is None:  # all that is counted twice is near, and the rest adds nothing
+        log_prob = F.col(out)["log_prob"] + F.col(rest)["within"]
+        return found.withColumn(out, F.struct(F.col(out)["n_tokens"].alias("n_tokens"), log_prob.alias("log_prob")))
     row, more = fresh(found, "_row_number", "_more")
     far = encoded.select(F.col(rest)["row"].alias(row), F.explode(F.col(rest)["far"]).alias("hash"))
     far = far.join(share.far, "hash").groupBy(row).agg(F.sum("log_n").alias(more))

@@ -90,6 +90,8 @@ def test_tokens_that_share_a_slot_divide_it(spark, monkeypatch):
     named, counts = lm.vocabulary(docs, tokens=tokens)
     share = lm.shares(tokens, named)
     assert 0 < len(share.near) <= 3 and share.far.count() > 0
+    monkeypatch.setattr(lm, "NEAR", 100_000)
+    assert lm.shares(tokens, named).far is None
     other = docs.union(frame(spark, [(99, "never counted " + rare[5], None, None, None)]))
     encoded = materialize(lm.encode(other, named, share=share))
     w = lm.train(encoded, counts)
@@ -140,12 +142,12 @@ def test_learners_get_every_text_as_often_as_it_is_there(spark, monkeypatch):
 
 def test_conditionals_sum_to_one_over_the_counted_tokens(spark, monkeypatch):
     """Named tokens, counted ones in shared slots, and one token not counted in each of these."""
-    monkeypatch.setattr(lm, "NEAR", 50)
+    monkeypatch.setattr(lm, "NEAR", 5)
     docs = frame(spark, [(i, " ".join(words(300, i, [f"{c}{d}{e}" for c in "abcdefghij" for d in "klmnopqrst" for e in "uvwxyzabcd"])), None, None, None) for i in range(12)])
     tokens = materialize(lm.counted(docs))
     named, counts = lm.vocabulary(docs, tokens=tokens)
     share = lm.shares(tokens, named)
-    far = {r["hash"]: r["log_n"] for r in share.far.collect()}
+    far = {r["hash"]: r["log_n"] for r in share.far.collect()} if share.far else {}
     w, around = weights(3), np.array([[1, 5, 900, lm.SIZE]])
     slots = np.exp(lm.log_probabilities(w, np.repeat(around, lm.SIZE, 0), np.arange(lm.SIZE)))
     total = slots[: len(named)].sum() + slots[len(named) : lm.KNOWN].sum()
