@@ -68,6 +68,24 @@ def blank_gap(lines: DataFrame, key: str = "doc_id", gap: str = "gap_before") ->
     return found.select(key, F.when(F.size("_gaps") < P.GAP_SAMPLES, P.NO_GAP).otherwise(median * P.GAP_FACTOR).alias("blank_gap"))
 
 
+def with_body(lines: DataFrame, key: str = "doc_id", order: str = "seq") -> DataFrame:
+    """lines and body, as body_size has it; windows by document only, so lines partitioned by document stay where they are."""
+    rows = lines.withColumn("_s", F.when(F.col("size").between(*P.BODY_SIZES), F.bround("size", 1)))
+    same = Window.partitionBy(key, "_s")
+    seen = F.when(F.col("_s").isNotNull(), F.struct(F.count("*").over(same).alias("n"), (-F.min(order).over(same)).alias("first"), F.col("_s").alias("size")))
+    return rows.withColumn("_seen", seen).withColumn("body", F.max("_seen").over(Window.partitionBy(key))["size"]).drop("_s", "_seen")
+
+
+def with_blank_gap(lines: DataFrame, key: str = "doc_id", gap: str = "gap_before") -> DataFrame:
+    """lines and blank_gap, as blank_gap has it, by windows."""
+    low, high = P.GAP_RANGE
+    rows = lines.withColumn("_g", F.when((F.col(gap) > low) & (F.col(gap) < high), F.col(gap)))
+    whole = Window.partitionBy(key)
+    rows = rows.withColumn("_k", F.row_number().over(whole.orderBy(F.col("_g").asc_nulls_last()))).withColumn("_n", F.count("_g").over(whole))
+    median = F.max(F.when(F.col("_k") == F.floor(F.col("_n") / 2) + 1, F.col("_g"))).over(whole)
+    return rows.withColumn("blank_gap", F.when(F.col("_n") < P.GAP_SAMPLES, P.NO_GAP).otherwise(median * P.GAP_FACTOR)).drop("_g", "_k", "_n")
+
+
 def page_texts(pages: DataFrame, lines: DataFrame) -> DataFrame:
     """(doc_id, full_text): the pages' lines, a line break between lines and between pages, empty pages included."""
     per_page = lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "\n").alias("_text"))

@@ -76,28 +76,30 @@ class Result:
     # --- lines ----------------------------------------------------------------------------------------------------------
     @cached_property
     def classified(self) -> DataFrame:
-        """Lines outside of tables with body, visual, heading, region and their place in the document."""
-        body = L.body_size(self.layout.lines)
-        rows = self.layout.lines.join(body, "doc_id", "left").withColumn("body", F.coalesce("body", F.lit(P.DEFAULT_BODY)))
-        rows = rows.withColumn("text", T.strip(F.col("text"))).where(L.usable(F.col("text")))
+        """Lines outside of tables with body, visual, heading, region and their place in the document.
+
+        All windows are by document: one shuffle (and one more where tables are known) for all of it.
+        """
+        rows = L.with_body(self.layout.lines.withColumn("text", T.strip(F.col("text"))).repartition("doc_id")).withColumn("body", F.coalesce("body", F.lit(P.DEFAULT_BODY)))
+        rows = rows.where(L.usable(F.col("text")))
         rows = rows.withColumn("visual", T.visual(F.col("size"), F.col("bold"), F.col("body")))
         rows = rows.withColumn("heading", self.profile.heading(F.col("text"), F.col("visual"))).withColumn("region", self.profile.region(F.col("text")))
         if self.layout.detected is not None:
             ok = self.judged.where("verdict = 'ok'").select("doc_id", "page", "bbox")
             rows = TB.outside(rows, ok, F.col("heading.level") == 1)
-        rows = rows.join(L.blank_gap(rows), "doc_id")
+        rows = L.with_blank_gap(rows)
         return self._keep(rows.withColumn("idx", F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")) - 1))
 
     @cached_property
     def started(self) -> DataFrame:
-        """classified with start, the idx of the first line of the content."""
+        """classified with start, the idx of the first line of the content. Only the starts, a row per document, are written down."""
         rows = self.classified
         prose = L.is_prose(F.col("text"), F.col("heading"))
         seen = rows.select(
             "doc_id", "idx", "heading", "visual", L.is_leader(F.col("text")).alias("leader"), (F.col("region") == "toc").alias("_toc"),
             ST.code(F.col("heading"), F.col("region"), prose).alias("code"),
         ).withColumn("toc", F.coalesce("_toc", F.lit(False)))
-        return self._keep(rows.join(ST.content_start(seen), "doc_id"))
+        return rows.join(self._keep(ST.content_start(seen)), "doc_id")
 
     @cached_property
     def front(self) -> DataFrame:
@@ -108,10 +110,12 @@ class Result:
     def body(self) -> DataFrame:
         """Lines of the content, inline headings split off and classified anew, with the excluded tail marked."""
         rows = self.started.where("idx >= start").withColumn("_parts", self.profile.parts(F.col("text")))
-        rows = rows.select("*", F.posexplode("_parts").alias("part", "_text"))
-        rows = rows.withColumn("text", T.strip(F.col("_text"))).where("text <> ''").drop("_parts", "_text")
-        rows = rows.withColumn("seq", F.struct("idx", "part")).withColumn("heading", self.profile.heading(F.col("text"), F.col("visual")))
-        rows = rows.withColumn("region", self.profile.region(F.col("text"))).withColumn("break_before", F.col("gap_before") >= F.col("blank_gap"))
+        rows = rows.withColumn("_split", F.size("_parts") > 1).select("*", F.posexplode("_parts").alias("part", "_text"))
+        rows = rows.withColumn("text", T.strip(F.col("_text"))).where("text <> ''")
+        # lines that stay whole are what they were
+        for name, again in (("heading", self.profile.heading(F.col("text"), F.col("visual"))), ("region", self.profile.region(F.col("text")))):
+            rows = rows.withColumn(name, F.when(F.col("_split"), again).otherwise(F.col(name)))
+        rows = rows.drop("_parts", "_text", "_split").withColumn("break_before", F.col("gap_before") >= F.col("blank_gap"))
         rows = rows.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("idx", "part")) - 1)
         return self._keep(ST.excluded_tail(rows))
 

@@ -25,6 +25,7 @@ from .operators import tree as TR
 from .plans.clinical import ClinicalGuideline
 from .plans.profile import Profile
 from .sources import adapters as A
+from .sources.store import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -916,8 +917,6 @@ a AS (SELECT n.doc_id, total, (SELECT count(*) FROM s WHERE s.doc_id = n.doc_id)
   coalesce((SELECT sum(length(title)) FROM s WHERE s.doc_id = n.doc_id), 0)::BIGINT AS titles, coalesce((SELECT sum(length(t)) FROM x WHERE x.doc_id = n.doc_id), 0)::BIGINT AS out, 5 * (SELECT count(*) FROM ow WHERE ow.doc_id = n.doc_id) AS raw FROM n)
 SELECT doc_id, sections AS sections_found, tables AS tables_found, round_even(body / total * 100, 1) AS text_coverage_pct, round_even((body + out + raw + titles) / total * 100, 1) AS text_accounted_pct FROM a""")
 def legacy_stats(spark, sf):
-    from .sources.store import materialize
-
     placed = materialize(_v1(spark, sf))
     events = A.event_lines(A.table(spark, sf, "events"))
     tables = events.where("event_type = 'view'").select("doc_id", F.col("idx").alias("tbl_no"), F.col("page").alias("page0"), F.col("y0").alias("top"), F.lit("сырое").substr(1, 5).alias("raw_text"))
@@ -981,7 +980,7 @@ def page_layout(pages: DataFrame):
     lines = rows.select("doc_id", "seq", F.lit(1).alias("page"), T.clean_line(F.col("text")).alias("text"), box.alias("bbox"), "size", "bold", F.when(F.col("seq") > 0, 14.0).otherwise(0.0).alias("gap_before"))
     documents = pages.select(F.col("page_id").cast("string").alias("doc_id"), F.col("url").alias("path"), F.concat(F.lit("КР"), F.col("page_id").cast("string"), F.lit(".pdf")).alias("source_file"), F.lit("").alias("first_page_text"))
     sizes = documents.select("doc_id", F.lit(1).alias("page"), F.lit(600.0).alias("width"), F.lit(800.0).alias("height"))
-    return Layout(documents, sizes, lines.where("text <> ''"))
+    return Layout(documents, sizes, materialize(lines.where("text <> ''")))
 
 
 @query("result_json")

@@ -353,3 +353,22 @@ def test_shapes_add_up_to_the_joined_title(spark):
             f.grow(shapes[r["i"], j])
         t = r["t"]
         assert (f.length, f.open, f.balance) == (len(t), t.endswith(P.OPEN_ENDS), t.count("(") - t.count(")")), (cases[r["i"]], t)
+
+
+def test_windows_agree_with_groups(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [(d, i, r.choice([5.0, 10.04, 10.05, 12.0, 12.04, 30.0]) if d else 40.0, r.choice([0.0, 1.0, 5.5, 14.0, 14.5, 70.0])) for d in range(12) for i in range(3 + d * 3)]
+    df = spark.createDataFrame(rows, "doc_id int, seq int, size double, gap_before double")
+    body = {x["doc_id"]: x["body"] for x in L.body_size(df).collect()}
+    gap = {x["doc_id"]: x["blank_gap"] for x in L.blank_gap(df).collect()}
+    got = L.with_blank_gap(L.with_body(df)).collect()
+    assert len(got) == len(rows) and all(x["body"] == body.get(x["doc_id"]) and x["blank_gap"] == gap[x["doc_id"]] for x in got)
+
+
+def test_classified_takes_one_shuffle(spark):
+    found = parsed(spark, {"d": ["1. Краткая информация*", "Тело."]})
+    found._keep = lambda df: df
+    plan = found.classified._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
