@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.store import materialize, shared_dir
 
-__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "HOT", "WORD", "crc_mod", "fresh", "lot", "materialize", "maybe_broadcast", "part", "sampled", "shared_dir", "small", "spread_join", "table"]
+__all__ = ["BROADCAST_PAIRS", "BROADCAST_ROWS", "HOT", "WORD", "crc_mod", "fresh", "lot", "materialize", "maybe_broadcast", "part", "sampled", "shared_dir", "small", "spread_join", "table", "trim"]
 
 #: What separates words everywhere in this subpackage unless a docstring says otherwise.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -68,6 +71,12 @@ def crc_mod(column, n: int):
     return F.crc32(column.cast("string").cast("binary")) % n
 
 
+def trim() -> None:
+    """Gives memory that training on the driver has freed back to the system, which the C library may otherwise keep."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def lot(seed: int, *columns: str) -> Column:
     """A number of 63 bits that the values of columns draw."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 1)

@@ -16,17 +16,17 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lot, sampled
+from .common import lot, sampled, trim
 
 ORDER = 3
 #: Contexts of two bytes and more are kept if all languages together saw them so often.
 LEAST = 3
 #: Documents learned from per language at most, and their UTF-8 bytes in all languages together.
 SAMPLE_DOCS = 800
-SAMPLE_BYTES = 64_000_000
+SAMPLE_BYTES = 16_000_000
 #: Languages told apart at most; code lengths kept at most (with more languages, longer contexts are kept only if seen more often).
 LANGUAGES = 2_000
-CELLS = 1 << 27
+CELLS = 1 << 25
 #: Bytes scored at a time, for so many languages; with more, fewer.
 BLOCK, AT_ONCE = 1 << 19, 8
 UNKNOWN = "und"
@@ -162,7 +162,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages are named; a column of names of languages is needed")
     drawn = sampled(known, counts, SAMPLE_DOCS, SAMPLE_BYTES)
-    return Model({k: [t.encode("utf-8", "surrogatepass") for t in texts] for k, texts in drawn.items()})
+    model = Model({k: [t.encode("utf-8", "surrogatepass") for t in texts] for k, texts in drawn.items()})
+    del drawn
+    trim()
+    return model
 
 
 _LETTER = regex.compile(r"\p{L}").search

@@ -12,12 +12,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lot, part, sampled, small
+from .common import lot, part, sampled, small, trim
 
 BITS = 18
 #: Labelled documents learned from at most, and their UTF-8 bytes: these bound the driver's work.
 SAMPLE_DOCS = 6_000
-SAMPLE_BYTES = 64_000_000
+SAMPLE_BYTES = 16_000_000
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.05
 #: Shares of n-grams are small numbers; this brings them to the size of ordinary features.
@@ -105,7 +105,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     drawn = sampled(rows, dict.fromkeys(counts, 1), SAMPLE_DOCS // 2, SAMPLE_BYTES)
     # the two labels in turn, so that neither has the last word
     order = sorted(((i + 0.5) / len(found), kind, t) for kind, found in drawn.items() for i, t in enumerate(found))
-    return fit([(t, kind) for _, kind, t in order])
+    weights = fit([(t, kind) for _, kind, t in order])
+    del drawn, order
+    trim()
+    return weights
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
