@@ -55,18 +55,30 @@ SIZE = KNOWN + BUCKETS
 _SHAPES = {"e": (2 * SIDE, SIZE + 1, HIDDEN), "b": (HIDDEN,), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "wm": (CLASSES, HIDDEN, SIZE // CLASSES), "bm": (CLASSES, SIZE // CLASSES)}
 
 _TOKENS = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\p{L}\p{M}\p{N}\s]+").findall
+#: What ends many words.
+_MARKS = frozenset(".,;:!?)\"'")
+
+
+def _split(chunk: str) -> tuple[str, ...] | list[str]:
+    """Tokens of a chunk between spaces. Words, and those that one mark ends, need no pattern."""
+    if chunk.isalpha():
+        return (chunk,)
+    if chunk[-1] in _MARKS and (word := chunk[:-1]).isalpha():
+        return word, chunk[-1]
+    return _TOKENS(chunk)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(counts: Counter) -> pa.RecordBatch:
-        tokens: Counter = Counter()
+        tokens: dict[str, int] = {}
+        get, put = tokens.get, tokens.__setitem__
         for chunk, n in counts.items():
             if chunk.isalpha():
-                tokens[chunk] += n
+                put(chunk, n + get(chunk, 0))
             else:
-                for t in _TOKENS(chunk):
-                    tokens[t] += n
-        return pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(tokens.values(), pa.int64())], names=["token", "n"])
+                for t in _split(chunk):
+                    put(t, n + get(t, 0))
+        return pa.RecordBatch.from_arrays([pa.array(list(tokens), pa.string()), pa.array(list(tokens.values()), pa.int64())], names=["token", "n"])
 
     counts: Counter = Counter()
     for batch in batches:
@@ -95,7 +107,10 @@ def vocabulary(docs: DataFrame, text: str = "text", tokens: DataFrame | None = N
 
 
 def _hash(token: str) -> int:
-    return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), SEED)
+    try:
+        return xxhash.xxh64_intdigest(token, SEED)
+    except UnicodeEncodeError:
+        return xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"), SEED)
 
 
 @dataclass
@@ -161,11 +176,11 @@ class _Chunks(dict):
 
     def tokens(self, chunk: str) -> list[int]:
         number = self.number
-        return [number[t] if t in number else KNOWN + _hash(t) % BUCKETS for t in ((chunk,) if chunk.isalpha() else _TOKENS(chunk))]
+        return [number[t] if t in number else KNOWN + _hash(t) % BUCKETS for t in _split(chunk)]
 
     def __missing__(self, chunk: str) -> int:
         number, near = self.number, self.near
-        tokens = (chunk,) if chunk.isalpha() else _TOKENS(chunk)
+        tokens = _split(chunk)
         code, log_n, shift = 0, 0.0, 3
         for t in tokens:
             n = number.get(t)
@@ -209,7 +224,7 @@ class Tokens:
         value = float(np.nansum(logs)) - float(self.totals[numbers[numbers >= KNOWN] - KNOWN].sum())
         number, near, far = self.known.number, self.known.near, []
         for i in np.flatnonzero(np.isnan(logs)).tolist():
-            for t in (chunks[i],) if chunks[i].isalpha() else _TOKENS(chunks[i]):
+            for t in _split(chunks[i]):
                 if t in near:
                     value += near[t]
                 elif t not in number:
@@ -253,46 +268,61 @@ _AROUND = np.array([o for o in range(-SIDE, SIDE + 1) if o])
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(np.minimum(x, 60))
-    return x / (x @ _ONES)[:, None]
+    """Softmax of the rows, in their place."""
+    np.exp(np.minimum(x, 60, out=x), out=x)
+    x *= (1 / (x @ _ONES))[:, None]
+    return x
 
 
-def _hidden(w: dict, around: np.ndarray) -> np.ndarray:
-    total = np.tile(w["b"], (len(around), 1))
-    for k in range(2 * SIDE):
-        total += w["e"][k][around[:, k]]
-    return np.tanh(total)
+def _hidden(w: dict, around: list[np.ndarray]) -> np.ndarray:
+    total = w["e"][0].take(around[0], axis=0)
+    for e, ids in zip(w["e"][1:], around[1:]):
+        total += e.take(ids, axis=0)
+    total += w["b"]
+    return np.tanh(total, out=total)
 
 
-def _by_class(tokens: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """An order of tokens by class, and where each class stands in it."""
+def _by_class(around: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """An order of tokens by class; in it the tokens at each place around, the classes and places in them; and where each class stands."""
     kind = (tokens // (SIZE // CLASSES)).astype(np.uint16)  # so narrow numbers are sorted by radix
     order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
-    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    kind = kind[order].astype(np.intp)
+    cuts = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    return order, [ids.take(order) for ids in around.T], kind, tokens[order] % (SIZE // CLASSES), [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+
+def _within(w: dict, h: np.ndarray, kind: np.ndarray, classes: list[tuple[int, slice]]) -> np.ndarray:
+    """Inputs of the softmax in each row's class; rows stand by class."""
+    y = np.empty((len(h), SIZE // CLASSES), np.float32)
+    for c, rows in classes:
+        np.matmul(h[rows], w["wm"][c], out=y[rows])
+    y += w["bm"].take(kind, axis=0)
+    return y
 
 
 _ONES = np.ones(CLASSES, np.float32)
 
 
 def _log_sum(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Log of the rows' summed exponentials. Hidden values are within 1, so small weights can't overflow unshifted."""
-    if np.abs(weights).sum(0).max() + np.abs(bias).max() < 60:
-        return np.log(np.exp(x) @ _ONES)
+    """Log of the rows' summed exponentials, which take their place. Hidden values are within 1, so small weights can't overflow unshifted."""
+    if np.abs(weights).sum(-2).max() + np.abs(bias).max() < 60:
+        return np.log(np.exp(x, out=x) @ _ONES)
     most = x.max(1)
-    return most + np.log(np.exp(x - most[:, None]) @ _ONES)
+    x -= most[:, None]
+    return most + np.log(np.exp(x, out=x) @ _ONES)
 
 
 def log_probabilities(w: dict, around: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural log of each token's conditional probability."""
-    order, classes = _by_class(tokens)
-    tokens = tokens[order]
-    h = _hidden(w, around[order])
-    x = h @ w["wc"] + w["bc"]
-    here = x[np.arange(len(tokens)), tokens // (SIZE // CLASSES)] - _log_sum(x, w["wc"], w["bc"])
-    for c, rows in classes:
-        y = h[rows] @ w["wm"][c] + w["bm"][c]
-        here[rows] += y[np.arange(len(y)), tokens[rows] % (SIZE // CLASSES)] - _log_sum(y, w["wm"][c], w["bm"][c])
+    order, around, kind, place, classes = _by_class(around, tokens)
+    each = np.arange(len(tokens))
+    h = _hidden(w, around)
+    x = h @ w["wc"]
+    x += w["bc"]
+    y = _within(w, h, kind, classes)
+    here = x[each, kind] + y[each, place]
+    here -= _log_sum(x, w["wc"], w["bc"])
+    here -= _log_sum(y, w["wm"], w["bm"])
     out = np.empty(len(tokens))
     out[order] = here
     return out
@@ -317,29 +347,35 @@ class Trainer:
             return
         self.windows += n
         w = self.w
-        order, classes = _by_class(tokens)
-        around, tokens = around[order], tokens[order]
+        _, around, kind, place, classes = _by_class(around, tokens)
+        each, ones = np.arange(n), np.full(n, 1 / n, np.float32)
         h = _hidden(w, around)
-        g = _softmax(h @ w["wc"] + w["bc"])
-        g[np.arange(n), tokens // (SIZE // CLASSES)] -= 1
-        g /= n
-        back = g @ w["wc"].T
+        x = h @ w["wc"]
+        x += w["bc"]
+        x = _softmax(x)
+        x[each, kind] -= 1
+        y = _softmax(_within(w, h, kind, classes))
+        y[each, place] -= 1
+        back = np.empty_like(h)
         wm, bm = np.zeros_like(w["wm"]), np.zeros_like(w["bm"])
         for c, rows in classes:
-            y = _softmax(h[rows] @ w["wm"][c] + w["bm"][c])
-            y[np.arange(len(y)), tokens[rows] % (SIZE // CLASSES)] -= 1
-            y /= n
-            back[rows] += y @ w["wm"][c].T
-            wm[c], bm[c] = h[rows].T @ y, y.sum(0)
-        back *= 1 - h * h
-        for name, delta in (("wc", h.T @ g), ("bc", g.sum(0)), ("wm", wm), ("bm", bm)):
+            np.matmul(y[rows], w["wm"][c].T, out=back[rows])
+            np.matmul(h[rows].T, y[rows], out=wm[c])
+            np.matmul(ones[rows], y[rows], out=bm[c])
+        back += x @ w["wc"].T
+        for name, delta in (("wc", h.T @ x / n), ("bc", ones @ x), ("wm", wm / n), ("bm", bm)):
             self._move(name, ..., delta)
+        h *= h
+        back *= np.subtract(1, h, out=h)
+        back /= n
         self._move("b", ..., back.sum(0))
-        for k in range(2 * SIDE):
-            order = np.argsort(around[:, k].astype(np.uint16), kind="stable")
-            ids = around[order, k]
-            first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-            self._move("e", (k, ids[first]), np.add.reduceat(back[order], first, axis=0))
+        # pairs of numbers are added up as complex ones, which takes half as many additions
+        pairs = back.view(np.complex64).ravel()
+        each = np.arange(HIDDEN // 2)
+        for k, ids in enumerate(around):
+            total = np.zeros((SIZE + 1) * HIDDEN // 2, np.complex64)
+            np.add.at(total, np.add.outer(ids * (HIDDEN // 2), each).ravel(), pairs)
+            self._move("e", k, total.view(np.float32).reshape(SIZE + 1, HIDDEN))
 
 
 def _line(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

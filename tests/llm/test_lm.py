@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from corpus import frame, none, odd, words
 from docstruct.llm import lm
@@ -158,3 +159,54 @@ def test_conditionals_sum_to_one_over_the_counted_tokens(spark, monkeypatch):
             log_n = share.near.get(r["token"], far.get(int(np.uint64(h).view(np.int64)), 0.0))
             within[h % lm.BUCKETS] += np.exp(log_n - share.totals[h % lm.BUCKETS])
     assert np.allclose(within, 1) and abs(total + (slots[lm.KNOWN :] * within).sum() - 1) < 1e-4
+
+
+def test_a_step_makes_both_levels_at_once(monkeypatch):
+    """One softmax for each level, however many classes, and the gradients that windows give one by one."""
+    made, softmax = [], lm._softmax
+    monkeypatch.setattr(lm, "_softmax", lambda x: made.append(len(x)) or softmax(x))
+    r = np.random.default_rng(4)
+    around, tokens = r.integers(0, lm.SIZE + 1, (300, 4)), r.integers(0, lm.SIZE, 300)
+    around[:50], around[0] = [7, lm.SIZE, 7, 900], 7
+    w = weights(5)
+    g = {k: np.zeros(s) for k, s in lm._SHAPES.items()}
+    for a, t in zip(around, tokens):
+        c, m = divmod(int(t), lm.SIZE // lm.CLASSES)
+        h = np.tanh(w["b"] + sum(w["e"][k][a[k]] for k in range(4)))
+        x, y = np.exp(h @ w["wc"] + w["bc"]), np.exp(h @ w["wm"][c] + w["bm"][c])
+        x, y = x / x.sum() - np.eye(lm.CLASSES)[c], y / y.sum() - np.eye(lm.SIZE // lm.CLASSES)[m]
+        back = (w["wc"] @ x + w["wm"][c] @ y) * (1 - h * h)
+        g["wc"] += np.outer(h, x)
+        g["bc"] += x
+        g["wm"][c] += np.outer(h, y)
+        g["bm"][c] += y
+        g["b"] += back
+        for k in range(4):
+            g["e"][k][a[k]] += back
+    trainer = lm.Trainer(w)
+    trainer.step(around, tokens)
+    assert made == [300, 300]
+    for k, v in g.items():
+        v /= len(tokens)
+        assert np.allclose(trainer.w[k], w[k] - lm.RATE * v / np.sqrt(1e-3 + v * v), atol=1e-5), k
+
+
+def test_scoring_makes_both_levels_at_once(monkeypatch):
+    made, log_sum = [], lm._log_sum
+    monkeypatch.setattr(lm, "_log_sum", lambda x, *w: made.append(len(x)) or log_sum(x, *w))
+    lm.log_probabilities(weights(6), np.full((2000, 4), 5), np.arange(2000) % lm.SIZE)
+    assert made == [2000, 2000]
+
+
+def test_words_and_their_marks_need_no_pattern(monkeypatch):
+    seen, find = [], lm._TOKENS
+    monkeypatch.setattr(lm, "_TOKENS", lambda chunk: seen.append(chunk) or find(chunk))
+    text = "Word word, été. 日本語! straße; a) b\" c' ok? x:"
+    tokens = lm.Tokens(["word", ","])
+    got = tokens(text)
+    rows = {t: n for b in lm._count(iter([pa.record_batch([pa.array([text, None])], names=["t"])])) for t, n in zip(*(c.to_pylist() for c in b.columns))}
+    assert seen == []
+    want = find(text.lower())
+    assert rows == {t: want.count(t) for t in want} and len(got) == len(want)
+    for chunk in ("a,", ",", ",,", "a,,", "a.b.", "1,", "a1,", "é,", "́,", "_", "a_", "“a”", "²,", "ⅷ.", "ª)"):
+        assert list(lm._split(chunk)) == find(chunk), chunk
