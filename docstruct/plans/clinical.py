@@ -134,26 +134,42 @@ class ClinicalGuideline(Profile):
         stem = F.regexp_replace(source_file, r"(?iU)\.pdf$", "")
         return F.coalesce(T.group(stem, P.ID_IN_NAME), T.group(stem, P.ID_ANY), T.group(first_page, P.ID_ON_PAGE))
 
+    @staticmethod
+    def told(registry: DataFrame) -> DataFrame:
+        """registry with what each row says about a document in place of the row itself."""
+        value = R.values(F.col("row"), P.ALIASES)
+
+        def says(v: Column) -> Column:
+            return F.struct(
+                v["title"].alias("title"), F.coalesce(v["year"], T.group(v["published"], P.PUBLICATION_YEAR)).alias("year"), v["age"].alias("age"),
+                F.when(v["codes"].isNotNull(), T.icd_codes(v["codes"])).alias("codes"), F.regexp_replace(v["developer"], r"(?U)\.\s*,", ",").alias("developer"),
+                v["approval"].alias("approval"), v["published"].alias("published"), v["application"].alias("application"),
+            )
+
+        return registry.select("ord", "id", F.when(F.col("row").isNotNull(), T.let(value, says)).alias("row"))
+
     def metadata(self, texts: DataFrame, registry: DataFrame | None = None) -> DataFrame:
-        """Metadata of each document: the registry's word before the title page's, except for the year."""
-        page = self.title_page(texts)
+        """Metadata of each document: the registry's word before the title page's, except for the year.
+
+        A registry's row is read once and each distinct id looked up once; documents meet what was found by their id.
+        """
+        page = self.title_page(texts).withColumn("_p", T.norm(F.col("id")))
         if registry is None:
-            registry = texts.sparkSession.createDataFrame([], "ord int, id string, row map<string,string>")
-        known = F.lit(not registry.isEmpty())
-        found = R.lookup(page.select("doc_id", F.col("id").alias("probe")), registry)
-        joined = page.join(found.select("doc_id", F.col("id").alias("_rid"), "row"), "doc_id", "left")
-        value = {k: R.value(F.col("row"), names) for k, names in P.ALIASES.items()}
-        developer = F.regexp_replace(value["developer"], r"(?U)\.\s*,", ",")
-        year = F.coalesce("year", value["year"], T.group(value["published"], P.PUBLICATION_YEAR))
-        matched = F.col("row").isNotNull()
+            empty = texts.sparkSession.range(0).selectExpr("cast(null as int) as ord", "cast(null as string) as id", "cast(null as map<string,string>) as row")
+            row = self.told(empty).schema["row"].dataType
+            known, joined = F.lit(False), page.withColumn("_rid", F.lit(None).cast("string")).withColumn("row", F.lit(None).cast(row))
+        else:
+            known = F.lit(not registry.isEmpty())
+            found = R.best(page, self.told(registry)).withColumnRenamed("id", "_rid")
+            joined = page.join(found, "_p", "left")
+        said = F.col("row")
         return joined.select(
             "doc_id", "source_file", F.lit(self.document_type).alias("document_type"),
-            F.coalesce(value["title"], "title").alias("title"), F.coalesce("_rid", "id").alias("id"),
-            F.when(matched, year).otherwise(F.col("year")).alias("year"), "end_year",
-            F.coalesce(value["age"], "age_group").alias("age_group"),
-            F.when(value["codes"].isNotNull(), T.icd_codes(value["codes"])).otherwise(F.col("mkb_codes")).alias("mkb_codes"),
-            developer.alias("developer"), value["approval"].alias("approval_status"), value["published"].alias("publication_date"),
-            value["application"].alias("application_status"), matched.alias("registry_matched"), known.alias("registry_known"), F.col("id").alias("probe"),
+            F.coalesce(said["title"], "title").alias("title"), F.coalesce("_rid", "id").alias("id"),
+            F.coalesce("year", said["year"]).alias("year"), "end_year",
+            F.coalesce(said["age"], "age_group").alias("age_group"), F.coalesce(said["codes"], "mkb_codes").alias("mkb_codes"),
+            said["developer"].alias("developer"), said["approval"].alias("approval_status"), said["published"].alias("publication_date"),
+            said["application"].alias("application_status"), said.isNotNull().alias("registry_matched"), known.alias("registry_known"), F.col("id").alias("probe"),
         )
 
 

@@ -819,11 +819,13 @@ def metadata_full(spark, sf):
         "Дата публикации": F.when(key % 3 == 1, F.concat(F.lit("12.05."), (2000 + key % 20).cast("string"))),
     }
     row = F.create_map(*[x for name, value in pairs.items() for x in (F.lit(name), value)])
-    registry = A.table(spark, sf, "customer").where(key % 5 != 0).select(key.cast("int").alias("ord"), k.alias("id"), row.alias("row"))
+    customers = A.spread(A.table(spark, sf, "customer").select("c_custkey", "c_name").where(key % 5 != 0), "c_custkey")
+    registry = customers.select(key.cast("int").alias("ord"), k.alias("id"), row.alias("row"))
     o = F.col("o_orderkey")
     year = F.when(o % 2 == 0, F.concat(F.lit("Год утверждения (частота): "), (2000 + o % 24).cast("string"), F.lit("\n"))).otherwise("")
     full = F.concat(year, F.lit("Возрастная категория - взрослые и дети\nМКБ-10: N13."), (o % 10).cast("string"), F.lit(", С50 и N13."), (o % 10).cast("string"))
-    texts = A.table(spark, sf, "orders").select(o.alias("doc_id"), F.concat(F.lit("кр "), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("source_file"), full.alias("full_text"), F.lit("КЛИНИЧЕСКИЕ РЕКОМЕНДАЦИИ\nID: 5\n Название  титула").alias("first_page_text"))
+    orders = A.spread(A.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    texts = orders.select(o.alias("doc_id"), F.concat(F.lit("кр "), F.col("o_custkey").cast("string"), F.lit(".pdf")).alias("source_file"), full.alias("full_text"), F.lit("КЛИНИЧЕСКИЕ РЕКОМЕНДАЦИИ\nID: 5\n Название  титула").alias("first_page_text"))
     found = ClinicalGuideline().metadata(texts, registry)
     return found.select("doc_id", "title", "id", "year", "age_group", F.array_join("mkb_codes", " ").alias("mkb_codes"), "developer", "approval_status", "publication_date", "registry_matched")
 

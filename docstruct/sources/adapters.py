@@ -10,6 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt out to all cores by their key, for work that is much longer than the rows.
+
+    A table of few bytes comes in few row groups, and so in few tasks, however many rows it has; adaptive execution would
+    join small parts again, which it can't where their number is given.
+    """
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def document_lines(documents: DataFrame) -> DataFrame:
     """DL: (doc_id, seq, text), a row per line of a text."""
     return documents.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("seq", "text"))

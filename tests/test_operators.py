@@ -18,6 +18,7 @@ from docstruct.operators import tables as TB
 from docstruct.operators import tree as TR
 from docstruct.plans.clinical import ClinicalGuideline
 from docstruct.plans.profile import available_profiles, create_profile
+from docstruct.sources import adapters as A
 from layouts import excluded, layout, parsed, sections
 
 
@@ -208,6 +209,30 @@ def test_value_by_alias(spark):
     assert [r[0] for r in rows.select(R.value(F.col("row"), P.ALIASES["application"])).collect()] == ["да", None, None]
 
 
+def test_a_registry_row_is_read_once_and_a_probe_looked_up_once(spark):
+    registry = spark.createDataFrame([(i, f"7_{i}", {"Год": str(2000 + i), "название": " А  б ", "Наименование": " "}) for i in range(3)], S.REGISTRY)
+    texts = spark.createDataFrame([(f"{i}", f"КР{p}.pdf", "", "") for i, p in enumerate(("7_2", "7_9", "7_2", "8", "7"))], "doc_id string, source_file string, full_text string, first_page_text string")
+    found = ClinicalGuideline().metadata(texts, registry)
+    rows = {r.doc_id: (r.id, r.title, r.year, r.registry_matched) for r in found.collect()}
+    assert rows == {"0": ("7_2", "А б", "2002", True), "1": ("7_0", "А б", "2000", True), "2": ("7_2", "А б", "2002", True), "3": ("8", None, None, False), "4": ("7_0", "А б", "2000", True)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_entries") == 1
+    (best,) = [line for line in plan.splitlines() if "min_by" in line]
+    assert "Aggregate [_p#" in best  # by what is asked for, not by document
+
+
+def test_metadata_without_a_registry(spark):
+    texts = spark.createDataFrame([("a", "КР7.pdf", "Год утверждения: 2020", "")], "doc_id string, source_file string, full_text string, first_page_text string")
+    found = ClinicalGuideline().metadata(texts)
+    assert [(r.id, r.year, r.registry_matched, r.registry_known, r.probe, r.developer) for r in found.collect()] == [("7", "2020", False, False, "7", None)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_row_groups_are_dealt_out(spark):
+    rows = A.spread(spark.range(1000).coalesce(1), "id")
+    assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
 def test_title_page(spark):
     first = "Клинические рекомендации\nID: 5\nГод\nРак молочной железы\n"
     full = "Кодирование по статистической классификации проблем, связанных со здоровьем: С50, Е11.9\nГод утверждения: 2024\nГод окончания действия: 2026\nВозрастная категория: Взрослые и  дети"
