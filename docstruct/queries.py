@@ -438,7 +438,7 @@ def _probes(spark, sf) -> DataFrame:
     base = (F.col("o_custkey") % 1100).cast("string")
     key = F.col("o_orderkey")
     probe = F.when(key % 3 == 0, base).when(key % 3 == 1, F.concat_ws("_", base, (key % 6).cast("string"))).otherwise(F.concat(base, F.lit("_1_2")))
-    return A.table(spark, sf, "orders").select(key.alias("doc_id"), probe.alias("probe"))
+    return A.spread(A.table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(key.alias("doc_id"), probe.alias("probe"))
 
 
 @query("registry_priority_lookup", f"""WITH {RG}, {DEDUP}, {PROBE} SELECT doc_id, id FROM pr JOIN reg ON split_part(id, '_', 1) = split_part(probe, '_', 1)

@@ -233,6 +233,15 @@ def test_few_row_groups_are_dealt_out(spark):
     assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
 
 
+def test_metadata_of_few_row_groups_takes_all_cores(spark, tmp_path):
+    from docstruct.queries import QUERIES
+
+    spark.range(200).selectExpr("id as o_orderkey", "id % 20 as o_custkey").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(20).selectExpr("id as c_custkey", "'n' || id as c_name", "id as c_nationkey", "1.0D as c_acctbal", "'X' as c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    found = QUERIES["metadata_merge"](spark, str(tmp_path))
+    assert found.count() == 200 and "hashpartitioning(o_orderkey#" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_title_page(spark):
     first = "Клинические рекомендации\nID: 5\nГод\nРак молочной железы\n"
     full = "Кодирование по статистической классификации проблем, связанных со здоровьем: С50, Е11.9\nГод утверждения: 2024\nГод окончания действия: 2026\nВозрастная категория: Взрослые и  дети"
