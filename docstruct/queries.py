@@ -894,7 +894,7 @@ def legacy_metadata(spark, sf):
         F.when(k % 2 == 0, F.lit("Возрастная категория: Взрослые и дети ")), F.when(k % 5 != 0, F.concat(F.lit("ID: "), key)),
         F.when(k % 6 != 0, F.concat(F.lit("Разработчик клинической рекомендации\nСоюз А\nМосквы\nФонд "), key, F.lit("\nОдобрено НПС\nСоюз Б"))),
     ]
-    texts = A.table(spark, sf, "part").select(k.alias("doc_id"), F.concat(F.lit("файл."), key, F.lit(".pdf")).alias("source_file"), F.concat_ws("\n", *rows).alias("first_page_text"))
+    texts = A.spread(A.table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey").select(k.alias("doc_id"), F.concat(F.lit("файл."), key, F.lit(".pdf")).alias("source_file"), F.concat_ws("\n", *rows).alias("first_page_text"))
     # the first page's lines: the largest is the second; the mark is larger but no title
     lines = texts.select("doc_id", F.posexplode(F.array(F.lit("Клинические рекомендации"), F.lit("мелко"), F.concat(F.lit("крупно "), F.col("doc_id").cast("string")), F.lit("так же крупно"))).alias("seq", "text"))
     lines = lines.withColumn("page", F.lit(0)).withColumn("size", F.when(F.col("seq") == 0, 30.0).when(F.col("seq") >= 2, 20.0).otherwise(10.0))

@@ -242,6 +242,14 @@ def test_metadata_of_few_row_groups_takes_all_cores(spark, tmp_path):
     assert found.count() == 200 and "hashpartitioning(o_orderkey#" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_predecessor_metadata_of_few_row_groups_takes_all_cores(spark, tmp_path):
+    from docstruct.queries import QUERIES
+
+    spark.range(200).selectExpr("id as p_partkey", "'name ' || id as p_name").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    found = QUERIES["legacy_metadata"](spark, str(tmp_path))
+    assert found.count() == 200 and "hashpartitioning(p_partkey#" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_title_page(spark):
     first = "Клинические рекомендации\nID: 5\nГод\nРак молочной железы\n"
     full = "Кодирование по статистической классификации проблем, связанных со здоровьем: С50, Е11.9\nГод утверждения: 2024\nГод окончания действия: 2026\nВозрастная категория: Взрослые и  дети"
