@@ -106,9 +106,10 @@ class ClinicalGuideline(Profile):
         return T.let(T.norm(title), decide)
 
     def parts(self, text: Column) -> Column:
-        whole = T.norm(text)
-        parts = F.filter(F.transform(F.split(whole, P.INLINE_SPLIT, -1), T.norm), lambda p: p != "")
-        return F.when(F.size(F.split(whole, P.INLINE_SPLIT, -1)) <= 1, F.array(text)).otherwise(parts)
+        def decide(found: Column) -> Column:
+            return F.when(F.size(found) > 1, F.filter(F.transform(found, T.norm), lambda p: p != ""))
+
+        return F.coalesce(T.let(F.split(T.norm(text), P.INLINE_SPLIT, -1), decide), F.array(text))
 
     # --- metadata -------------------------------------------------------------------------------------------------------
     def title_page(self, texts: DataFrame) -> DataFrame:

@@ -108,7 +108,10 @@ class Result:
 
     @cached_property
     def body(self) -> DataFrame:
-        """Lines of the content, inline headings split off and classified anew, with the excluded tail marked."""
+        """Lines of the content, inline headings split off and classified anew, with the excluded tail marked and what the fold needs.
+
+        All windows are by document and in its order: one shuffle for all of it.
+        """
         rows = self.started.where("idx >= start").withColumn("_parts", self.profile.parts(F.col("text")))
         rows = rows.withColumn("_split", F.size("_parts") > 1).select("*", F.posexplode("_parts").alias("part", "_text"))
         rows = rows.withColumn("text", T.strip(F.col("_text"))).where("text <> ''")
@@ -117,14 +120,12 @@ class Result:
             rows = rows.withColumn(name, F.when(F.col("_split"), again).otherwise(F.col(name)))
         rows = rows.drop("_parts", "_text", "_split").withColumn("break_before", F.col("gap_before") >= F.col("blank_gap"))
         rows = rows.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("idx", "part")) - 1)
-        return self._keep(ST.excluded_tail(rows))
+        return self._keep(FO.features(ST.excluded_tail(rows), self.profile))
 
     @cached_property
     def placed(self) -> DataFrame:
         """(doc_id, seq, text, heading, attach_title, action, sec_no) of the lines before the excluded tail."""
-        rows = FO.features(self.body, self.profile).where("not tail")
-        done = FO.fold(rows)
-        return self._keep(rows.select("doc_id", "seq", "text", "number", "title", "level", "attach_title").join(done, ["doc_id", "seq"]))
+        return self._keep(FO.fold(self.body.where("not tail"), carry=("text", "number", "title", "level", "attach_title")))
 
     # --- sections -------------------------------------------------------------------------------------------------------
     @cached_property

@@ -32,10 +32,12 @@ HTML_BOLD = ("h1", "h2", "h3", "h4", "h5", "h6", "b", "strong", "th")
 def html_lines(pages: DataFrame) -> DataFrame:
     """PB: (doc_id, seq, tag, text, size, bold): every text between tags but those of scripts, styles and comments, with the tag before it."""
     shown = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->", "")
-    pattern = F.lit(r"<(/?[a-zA-Z][a-zA-Z0-9]*)[^<>]*>([^<]*)")
-    page = F.concat(F.lit("<p>"), shown)
-    rows = pages.select(F.col("page_id").alias("doc_id"), F.arrays_zip(F.regexp_extract_all(page, pattern, F.lit(1)).alias("tag"), F.regexp_extract_all(page, pattern, F.lit(2)).alias("text")).alias("m"))
-    rows = rows.select("doc_id", F.posexplode("m").alias("seq", "m")).select("doc_id", "seq", F.lower("m.tag").alias("tag"), "m.text").where(F.trim("text") != "")
+    tag = "<(/?[a-zA-Z][a-zA-Z0-9]*)"
+    # one search of the page: of what was found, the tag stands at its head and the text behind its first bracket
+    found = F.regexp_extract_all(F.concat(F.lit("<p>"), shown), F.lit(tag + "[^<>]*>[^<]*"), F.lit(0))
+    rows = pages.select(F.col("page_id").alias("doc_id"), F.posexplode(found).alias("seq", "m"))
+    rows = rows.withColumn("text", F.expr("substring(m, locate('>', m) + 1)")).where(F.trim("text") != "")
+    rows = rows.select("doc_id", "seq", F.lower(F.regexp_extract("m", "^" + tag, 1)).alias("tag"), "text")
     size = F.lit(12.0)
     for tag, value in HTML_SIZES.items():
         size = F.when(F.col("tag") == tag, value).otherwise(size)

@@ -110,3 +110,35 @@ def test_same_result_on_other_partitions(spark, found):
         assert sections(parsed(spark, few, body_only=True)) == {k: found[k] for k in few}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_lines_are_dealt_by_document_once_for_all_that_the_fold_needs(spark):
+    result = parsed(spark, {"d": ["1. Краткая информация*", "Тело.", "2. Диагностика*", "Тело."]}, body_only=True)
+    kept, result._keep = result._keep, lambda df: df
+    body = result.body._jdf.queryExecution().executedPlan().toString()
+    result.body = kept(result.body)
+    placed = result.placed._jdf.queryExecution().executedPlan().toString()
+    # the fold takes lines from the table of the body and gives them back with their text: nothing is joined to them again
+    assert "attach_lines" in body and placed.count("Exchange") == 1 and "Join" not in placed
+
+
+def test_a_document_over_many_batches_is_folded_as_one(spark):
+    from docstruct.operators import fold as FO
+
+    asked = FO.FEATURES.replace("kind string", "doc_id string, seq int, kind string, text string")
+    rows = []
+    for d, n in (("a", 7), ("b", 23), ("c", 1), ("d", 8)):
+        for i in range(n):
+            number = {0: "1", n // 2: "2"}.get(i)
+            rows.append((d, i, number and "numbered", f"{d}{i}", number, number and 1, True, True, False, False, False, False, None, 3, False, False, False, False, 0))
+    df = spark.createDataFrame(rows, asked)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    out = []
+    try:
+        for size in ("3", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            out.append(sorted(tuple(r) for r in FO.fold(df, carry=("text",)).select("doc_id", "seq", "text", "action", "sec_no").collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert out[0] == out[1] and len(out[0]) == len(rows) and all(t == f"{d}{i}" for d, i, t, *_ in out[0])
+    assert [x[3:] for x in out[0] if x[0] == "a"] == [("open", 0), ("body", 0), ("body", 0), ("open", 1), ("body", 1), ("body", 1), ("body", 1)]
