@@ -167,7 +167,7 @@ class Result:
     @cached_property
     def texts(self) -> DataFrame:
         full = L.page_texts(self.layout.pages, self.layout.lines)
-        return self.layout.documents.join(full, "doc_id", "left").withColumn("full_text", F.coalesce("full_text", F.lit("")))
+        return self._keep(self.layout.documents.join(full, "doc_id", "left").withColumn("full_text", F.coalesce("full_text", F.lit(""))))
 
     @cached_property
     def metadata(self) -> DataFrame:

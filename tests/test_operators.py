@@ -414,3 +414,13 @@ def test_classified_takes_one_shuffle(spark):
     found._keep = lambda df: df
     plan = found.classified._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_page_texts_are_put_together_once(spark):
+    found = parsed(spark, {"d": ["1. Краткая информация*", "Тело."]})
+    written = []
+    keep = found._keep
+    found._keep = lambda df: (written.append(df.columns), keep(df))[1]
+    assert found.stats.count() == found.metadata.count() == 1 and found.warnings.count() >= 0
+    assert sum("full_text" in c for c in written) == 1
+    assert "collect_list" not in found.texts._jdf.queryExecution().optimizedPlan().toString()
